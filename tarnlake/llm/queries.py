@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm.chat import chat_examples, read_back
 from tarnlake.llm.mix import mix_documents, word_count
+from tarnlake.llm.pack import pack_documents
 from tarnlake.llm.shards import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +82,9 @@ SELECT conv_id, CAST(any_value(n_turns) AS BIGINT) AS n_turns,
   CAST(sum(upto) FILTER (WHERE role = 'assistant' OR n = n_turns) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+
+@query
+def op6_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +28,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Enough where both see that folder (local mode, a shared home); elsewhere the package is
+    installed on the executors or sent with ``--py-files`` as usual.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
