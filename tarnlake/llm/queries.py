@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm.chat import chat_examples, read_back
+from tarnlake.llm.labelled import fold
 from tarnlake.llm.mix import mix_documents, word_count
 from tarnlake.llm.pack import pack_documents
+from tarnlake.llm.quality import learn_quality, score_quality
 from tarnlake.llm.shards import shard_documents
+from tarnlake.llm.toxicity import learn_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -88,3 +91,19 @@ FROM f GROUP BY conv_id
 def op6_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def _predicted(scored: DataFrame, folds: int, out: int) -> DataFrame:
+    return scored.select("doc_id", (fold(F.col("doc_id"), folds) == out).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op3_toxicity_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _predicted(score_toxicity(docs, learn_toxicity(docs, labels, fold(F.col("doc_id"), 3) != 1)), 3, 1)
+
+
+@query
+def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _predicted(score_quality(docs, learn_quality(docs, labels, fold(F.col("doc_id"), 4) != 2)), 4, 2)
