@@ -13,6 +13,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.llm.boost import Boosted, fit_boosted
 from tarnlake.llm.labelled import sample_documents
 from tarnlake.llm.scratch import importable
 from tarnlake.llm.words import lower, span_hashes, text_runs, word_spans
@@ -21,7 +22,11 @@ from tarnlake.llm.words import lower, span_hashes, text_runs, word_spans
 LEARN_DOCS = 2000
 #: Bytes of the ordinary dictionary and, at most, of what is toxic in the other.
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
-LEVEL, GRAM, MOST_GAIN, STORE_WORDS = 9, 4, 12, 500_000
+LEVEL, GRAM, LONGEST, MANY, MOST_GAIN, STORE_WORDS = 9, 4, 9, 6, 12, 500_000
+#: A count is no chance when its Poisson log likelihood ratio is so large.
+UNLIKELY = 15.0
+#: Classes of a gain for its window's length.
+COVERS = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
 _stores: dict[bytes, dict[int, int]] = {}
 
@@ -32,24 +37,24 @@ class ToxicityModel:
 
     toxic: bytes
     ordinary: bytes
-    evidence: np.ndarray  # log odds of a window by its gain
-    slope: float
-    intercept: float
+    evidence: np.ndarray  # log odds of a window by its kind: gain, and gain for its length
+    thresholds: Boosted | None  # over what a document's windows say
     base: float  # share of toxic documents learned from; the score of texts without windows
 
-    def gains(self) -> Callable[[bytes], int]:
-        """Bytes that the toxic dictionary saves over the ordinary one on a window."""
+    def kinds(self) -> Callable[[bytes], int]:
+        """Kind of a window, by the bytes that the toxic dictionary saves over the ordinary one."""
         same = {"level": LEVEL, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
         if not self.toxic:
             return lambda window: 0
         a, b = (zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), **same).compress for d in (self.ordinary, self.toxic))
 
         # The compressor leaves the last bytes of its input unmatched and keeps what it can't shrink as it is; the frame keeps a window clear of both.
-        def gain(window: bytes) -> int:
+        def kind(window: bytes) -> int:
             framed = b"\x02" * 24 + b" " + window + b" " + b"\x02" * 16
-            return min(max(len(a(framed)) - len(b(framed)), 0), MOST_GAIN)
+            gain = min(max(len(a(framed)) - len(b(framed)), 0), MOST_GAIN)
+            return gain * COVERS + min(gain * COVERS // (len(window) + 1), COVERS - 1)
 
-        return gain
+        return kind
 
     def scores(self, data: np.ndarray, offsets: np.ndarray, gain: Callable[[bytes], int], known: dict[int, int]) -> np.ndarray:
         """Scores of the texts in ``data``; a window is a word, and equal windows are compressed once."""
@@ -65,38 +70,62 @@ class ToxicityModel:
         for h, i in zip(keys, first.tolist(), strict=True):
             if h not in known:
                 known[h] = gain(raw[starts[i] : ends[i]])
-        gains = np.fromiter((known[h] for h in keys), dtype=np.int64, count=len(keys))[inverse]
-        total = np.bincount(row, weights=self.evidence[gains], minlength=len(offsets) - 1)
-        score = 1 / (1 + np.exp(-np.clip(self.slope * total + self.intercept, -500, 500)))
-        return np.where(np.bincount(row, minlength=len(offsets) - 1) > 0, score, self.base)
+        kinds = np.fromiter((known[h] for h in keys), dtype=np.int64, count=len(keys))[inverse]
+        found = window_statistics(row, self.evidence[kinds], len(offsets) - 1)
+        if self.thresholds is None:
+            return np.full(len(found), self.base)
+        return np.where(np.bincount(row, minlength=len(found)) > 0, self.thresholds.probability(found), self.base)
+
+
+def window_statistics(row: np.ndarray, evidence: np.ndarray, rows: int) -> np.ndarray:
+    """Per row: the evidence of its windows in all, on average, and of its three strongest."""
+    n = np.bincount(row, minlength=rows)
+    total = np.bincount(row, weights=evidence, minlength=rows)
+    order = np.lexsort((-evidence, row))
+    start = np.cumsum(n) - n
+    top = np.zeros((rows, 3))
+    for k in range(3):
+        has = n > k
+        top[has, k] = evidence[order[start[has] + k]]
+    return np.c_[total, total / np.maximum(n, 1), top.cumsum(axis=1), (top > 1).sum(axis=1)]
+
+
+def _stretches(word: str) -> list[tuple[int, int]]:
+    """Candidates in a word, a space before it: its beginnings of up to LONGEST characters and all runs of GRAM letters."""
+    n = len(word) + 1
+    return [(0, e) for e in range(GRAM, min(n, LONGEST) + 1)] + [(i, i + GRAM) for i in range(1, n - GRAM + 1)]
 
 
 def _typical(toxic: list[str], ordinary: list[str]) -> set[str]:
-    """Letter sequences of GRAM letters in many times more toxic than ordinary documents."""
+    """Stretches in many times more toxic than ordinary documents, and more than chance would give."""
 
     def documents_with(texts: list[str]) -> Counter:
         found: Counter = Counter()
         for text in texts:
-            found.update({w[i : i + GRAM] for w in set(_LETTERS.findall(text.lower())) for i in range(len(w) - GRAM + 1)})
+            found.update({f" {w}"[s:e] for w in set(_LETTERS.findall(text.lower())) for s, e in _stretches(w)})
         return found
 
     a, b = documents_with(toxic), documents_with(ordinary)
-    return {g for g, n in a.items() if n >= 5 and n / len(toxic) >= 10 * (b[g] + 1) / len(ordinary)}
+    each = len(toxic) / len(ordinary)
+
+    def stands_out(n: int, due: float) -> bool:
+        return n >= MANY * due and n * np.log(n / due) - (n - due) >= UNLIKELY
+
+    return {g for g, n in a.items() if n >= 4 and stands_out(n, each * (b[g] + 1))}
 
 
 def _toxic_content(toxic: list[str], typical: set[str]) -> bytes:
-    """The stretches of toxic words that typical sequences cover, trained into a dictionary's content, frequent ones nearest."""
+    """What typical stretches cover of toxic words: a dictionary's content, frequent ones nearest."""
     spans: Counter = Counter()
     for text in toxic:
         for word in _LETTERS.findall(text.lower()):
-            covered = np.zeros(len(word) + 1, dtype=bool)
-            for i in range(len(word) - GRAM + 1):
-                if word[i : i + GRAM] in typical:
-                    covered[i : i + GRAM] = True
-            edges = np.flatnonzero(covered[1:] != covered[:-1]) + 1
-            edges = [*([0] if covered[0] else []), *edges.tolist()]
+            covered = np.zeros(len(word) + 3, dtype=bool)
+            for s, e in _stretches(word):
+                if f" {word}"[s:e] in typical:
+                    covered[s + 1 : e + 1] = True
+            edges = np.flatnonzero(covered[1:] != covered[:-1]).tolist()
             for s, e in zip(edges[::2], edges[1::2], strict=True):
-                spans[(" " if s == 0 else "") + word[s:e]] += 1
+                spans[f" {word}"[s:e]] += 1
     content = b""
     for span, _ in spans.most_common():
         if len(content) + len(span.encode()) > TOXIC_BYTES:
@@ -105,12 +134,31 @@ def _toxic_content(toxic: list[str], typical: set[str]) -> bytes:
     return content
 
 
+def _unlike(texts: list[str]) -> list[int]:
+    """Indexes of texts that share less than half of their runs of four words with earlier ones."""
+    seen: set[tuple[str, ...]] = set()
+    kept = []
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        runs = {tuple(words[j : j + 4]) for j in range(max(1, len(words) - 3))}
+        if 2 * len(runs & seen) < len(runs):
+            kept.append(i)
+            seen |= runs
+    return kept
+
+
 def fit_toxicity(texts: list[str], labels: list[int]) -> ToxicityModel:
-    """Train both dictionaries, then calibrate: evidence of each gain, and a logistic curve over a document's sum."""
+    """Train both dictionaries, then calibrate the evidence of each kind of window and thresholds over a document's windows.
+
+    Copies would pass for many documents, so texts are dropped that mostly repeat earlier ones.
+    """
+    kept = _unlike(texts)
+    texts, labels = [texts[i] for i in kept], [labels[i] for i in kept]
     toxic = [t or "" for t, y in zip(texts, labels, strict=True) if y]
     ordinary = [t or "" for t, y in zip(texts, labels, strict=True) if not y]
     base = len(toxic) / max(1, len(texts))
-    none = ToxicityModel(b"", b"", np.zeros(MOST_GAIN + 1), 1.0, float(np.log((base + 1e-6) / (1 - base + 1e-6))), base)
+    kinds = (MOST_GAIN + 1) * COVERS
+    none = ToxicityModel(b"", b"", np.zeros(kinds), None, base)
     if not toxic or not ordinary:
         return none
     content = _toxic_content(toxic, _typical(toxic, ordinary))
@@ -122,44 +170,20 @@ def fit_toxicity(texts: list[str], labels: list[int]) -> ToxicityModel:
     except zstandard.ZstdError:  # too little text to train on: take it as it is
         shared = b" ".join(samples)[-ORDINARY_BYTES:]
     # The toxic stretches take the place of bytes that no text holds, so all else lies at the same distance in both.
-    model = ToxicityModel(content + shared, b"\x01" * len(content) + shared, np.zeros(MOST_GAIN + 1), 1.0, 0.0, base)
-    gain, known = model.gains(), {}
-    counts = np.zeros((2, MOST_GAIN + 1))
-    per_text = []
-    for text, y in zip(texts, labels, strict=True):
-        words = [w.encode() for w in (text or "").lower().split()]
-        row = np.bincount([known.setdefault(w, gain(w)) if w not in known else known[w] for w in words], minlength=MOST_GAIN + 1)
-        counts[y] += row
-        per_text.append(row)
-    smooth = counts + np.maximum(counts.sum(axis=0), 1)[None, :] / counts.sum() * 2 + 0.5
-    share = smooth / smooth.sum(axis=1, keepdims=True)
+    model = ToxicityModel(content + shared, b"\x01" * len(content) + shared, np.zeros(kinds), None, base)
+    kind = model.kinds()
+    known: dict[bytes, int] = {}
+    words = [(t or "").lower().encode().split() for t in texts]
+    for w in {w for text in words for w in text}:
+        known[w] = kind(w)
+    row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+    found = np.array([known[w] for text in words for w in text], dtype=np.int64)
+    y = np.array(labels, dtype=float)
+    counts = np.stack([np.bincount(found[y[row] == v], minlength=kinds) for v in (0, 1)]).astype(float)
+    share = (counts + 0.5 * counts.sum(axis=1, keepdims=True) / counts.sum()) / (counts.sum(axis=1, keepdims=True) + 1)
     evidence = np.clip(np.log(share[1] / share[0]), -1, 8)
-    total = np.array(per_text) @ evidence
-    slope, intercept = _logistic(total, np.array(labels, dtype=float))
-    return ToxicityModel(model.toxic, model.ordinary, evidence, slope, intercept, base)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve, by Newton's method with halved steps."""
-    scale = max(float(np.std(x)), 1e-9)
-    a = np.c_[x / scale, np.ones_like(x)]
-    w = np.zeros(2)
-
-    def loss(w: np.ndarray) -> float:
-        z = a @ w
-        return float(np.sum(np.logaddexp(0, z) - y * z) + ridge * w[0] ** 2 / 2)
-
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
-        grad = a.T @ (p - y) + np.array([ridge * w[0], 0])
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag([ridge, 1e-9]), grad)
-        t = 1.0
-        while t > 1e-6 and loss(w - t * step) > loss(w):
-            t /= 2
-        w = w - t * step
-        if np.abs(t * step).max() < 1e-8:
-            break
-    return float(w[0] / scale), float(w[1])
+    thresholds = fit_boosted(window_statistics(row, evidence[found], len(texts)), y, trees=40, depth=2, rate=0.2, least=2.0)
+    return ToxicityModel(model.toxic, model.ordinary, evidence, thresholds, base)
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int = LEARN_DOCS) -> ToxicityModel:
@@ -176,7 +200,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id: str = "doc_id", te
     importable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gain, known = model.gains(), _stores.setdefault(model.toxic + model.ordinary, {})
+        gain, known = model.kinds(), _stores.setdefault(model.toxic + model.ordinary, {})
         for batch in batches:
             found = [model.scores(data, offsets, gain, known) for _, data, offsets in text_runs(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.concatenate(found or [np.zeros(0)]))], ["doc_id", "score"])
