@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm.chat import chat_examples, read_back
+from tarnlake.llm.jaccard import jaccard_components
 from tarnlake.llm.labelled import fold
 from tarnlake.llm.mix import mix_documents, word_count
 from tarnlake.llm.pack import pack_documents
@@ -107,3 +108,8 @@ def op3_toxicity_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return _predicted(score_quality(docs, learn_quality(docs, labels, fold(F.col("doc_id"), 4) != 2)), 4, 2)
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
