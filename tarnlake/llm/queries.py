@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm.chat import chat_examples, read_back
+from tarnlake.llm.collide import nearest_by_collisions
+from tarnlake.llm.hamming import nearest_codes
 from tarnlake.llm.jaccard import jaccard_components
 from tarnlake.llm.labelled import fold
 from tarnlake.llm.mix import mix_documents, word_count
@@ -113,3 +115,24 @@ def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
+@query
+def op5_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_by_collisions(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op7_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_codes(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE_SQL["op7_multi_index_hashing"] = r"""
+WITH c AS (
+  SELECT vec_id, list_sum(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN CAST(1 AS HUGEINT) << CAST(i - 1 AS INT) ELSE 0 END))::UBIGINT AS code
+  FROM embeddings WHERE vec_id IS NOT NULL AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(bit_count(xor(q.code, c.code)::BIT) AS INT) AS distance
+      FROM c AS q JOIN c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank FROM p)
+SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
+"""
