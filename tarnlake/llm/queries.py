@@ -15,6 +15,7 @@ from tarnlake.llm.jaccard import jaccard_components
 from tarnlake.llm.labelled import fold
 from tarnlake.llm.mix import mix_documents, word_count
 from tarnlake.llm.pack import pack_documents
+from tarnlake.llm.passages import repeated_passages
 from tarnlake.llm.quality import learn_quality, score_quality
 from tarnlake.llm.shards import shard_documents
 from tarnlake.llm.toxicity import learn_toxicity, score_toxicity
@@ -136,3 +137,8 @@ p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(bit_count(xor(q.code, c.code):
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank FROM p)
 SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
 """
+
+
+@query
+def op1_substring_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("key")
