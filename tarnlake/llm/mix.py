@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.llm.running import bucket_count, same, total_before
+from tarnlake.llm.running import bucket_count, total_before
 from tarnlake.llm.scratch import keep
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,7 +37,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     return sources.select("source", "source_size", F.coalesce(F.least("cap", free * F.col("weight")), F.col("cap")).alias("target"), "budget")
 
 
-def mix_documents(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, id: str = "doc_id", source: str = "source", seed: str = "mix") -> DataFrame:
+def mix_documents(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, id: str = "doc_id", source: str = "source", seed: str = "mix", key: Column | None = None) -> DataFrame:
     """Whole documents, repeated up to ``epochs`` times, that fill ``share`` of the corpus in proportion to target weights.
 
     Each source is shuffled (by md5 of seed and id). A copy's virtual finish time is the
@@ -46,13 +46,13 @@ def mix_documents(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5,
     would pass the budget. The order is cut into ranges of finish time; only range totals
     are summed along it, so neither a hot source nor the whole order meets in one task.
 
-    Returns ``doc_id, size, source_size, target, taken`` for every row of ``docs``.
+    Returns ``doc_id, size, source_size, target, taken`` for every row of ``docs``, and ``key`` if one is given.
     A null source is a source of its own; a null id is shuffled as an empty one; documents
     without words take part with size 0; repeated rows are separate documents. Other columns
     are ignored. Results depend only on the rows, not on their partitioning.
     """
     shuffled = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit(""))))
-    rows = keep(docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), size.cast("long").alias("size"), shuffled.alias("shuffle")).withColumn("row", F.monotonically_increasing_id()), "mix")
+    rows = keep(docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), size.cast("long").alias("size"), shuffled.alias("shuffle"), (F.lit(None).cast("long") if key is None else key).alias("key")).withColumn("row", F.monotonically_increasing_id()), "mix")
     targets = keep(source_targets(rows, weights, share, epochs), "mix-targets")
     buckets = bucket_count(rows.count())
     part = F.shiftright(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("long") * buckets, 32).cast("int")
@@ -65,7 +65,4 @@ def mix_documents(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5,
     order = ["finish", F.col("source").asc_nulls_last(), "epoch", "shuffle", "doc_id", "size", "row"]
     ranked = total_before(copies, [], "range", order, "size", "ahead")
     taken = F.when(F.col("ahead") + F.col("size") <= F.col("budget"), F.col("size")).otherwise(0)
-    return ranked.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum(taken).alias("taken")).drop("row")
-
-
-__all__ = ["mix_documents", "same", "source_targets", "word_count"]
+    return ranked.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum(taken).alias("taken"), F.first("key").alias("key")).drop("row", *(["key"] if key is None else []))

@@ -21,10 +21,6 @@ def hash_bucket(hashed: Column, buckets: int) -> Column:
     return F.pmod(F.shiftright(hashed, 20), F.lit(buckets)).cast("int")
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
-
-
 def total_before(df: DataFrame, group: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows of the row's group.
 

@@ -12,6 +12,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tarnlake.llm.boost import Boosted, fit_boosted
 from tarnlake.llm.labelled import sample_documents
@@ -206,3 +207,17 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.concatenate(found or [np.zeros(0)]))], ["doc_id", "score"])
 
     return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+
+
+def with_toxicity(docs: DataFrame, model: ToxicityModel, out: str, text: str = "text") -> DataFrame:
+    """All rows and columns of ``docs`` and their score as the new column ``out``."""
+    importable(docs.sparkSession)
+    schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gain, known = model.kinds(), _stores.setdefault(model.toxic + model.ordinary, {})
+        for batch in batches:
+            found = [model.scores(data, offsets, gain, known) for _, data, offsets in text_runs(batch[text])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found or [np.zeros(0)]))], [*batch.schema.names, out])
+
+    return docs.mapInArrow(run, schema)
