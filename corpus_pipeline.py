@@ -1,14 +1,67 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``; part of the llm subpackage."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from tarnlake.llm.jaccard import jaccard_components
+from tarnlake.llm.mix import mix_documents, word_count
+from tarnlake.llm.pack import pack_documents
+from tarnlake.llm.passages import repeated_passages, row_key, without_passages
+from tarnlake.llm.scratch import keep
+from tarnlake.llm.toxicity import learn_toxicity, with_toxicity
+
+#: Score from which a document counts as toxic and goes.
+TOXIC = 0.7
+TOKENIZER, END_ID, WINDOW = "word_bpe_49k.json", 2, 4096
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learn from the labelled documents, score all, drop those that score TOXIC or more; nothing else goes."""
+    model = learn_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), F.lit(True))
+    return with_toxicity(docs, model, "_toxicity").where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that links reach (runs of five words, Jaccard 0.8), the one of smallest id stays.
+
+    Rows without an id stay; of rows that repeat an id and text, one.
+    """
+    groups = keep(jaccard_components(docs, k=5, num=4, den=5), "groups")
+    left = docs.join(groups.where("doc_id <> component_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    total, distinct = groups.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    return left if total == distinct else left.dropDuplicates(["doc_id", "text"])
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of 40 words or more that repeat one of another document; all documents stay."""
+    return without_passages(docs, repeated_passages(docs)).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in code point order weigh 5, 2, 1 and share 150 % of all words; documents come up to twice, or go."""
+    mixed = mix_documents(docs, word_count(F.col("text")), key=row_key())
+    copies = mixed.where("taken > 0").groupBy(F.col("key").alias("_key")).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias("_copies"))
+    rows = docs.withColumn("_key", row_key()).join(copies, "_key")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids that fill windows to the sources' proportions."""
+    return pack_documents(docs, public_tokenizers.path(TOKENIZER), END_ID, WINDOW)
+
+
+STAGES = [("toxicity", drop_toxic), ("jaccard", drop_near_copies), ("passages", cut_passages), ("mix", mix), ("pack", pack)]
+
+#: No SQL can express compression lengths, chaining or tokenizers.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each result is written as Parquet and read again."""
+    """Apply the stages to documents; each result is written as Parquet and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = keep(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
