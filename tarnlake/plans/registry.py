@@ -1,10 +1,35 @@
-"""All queries over the reference's own operators, and their SQL."""
+"""All queries over the library's own operators, and their SQL."""
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from tarnlake.plans.sql_views import with_views
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, with the SQL that gives its rows over the driver's tables if SQL can."""
+
+    def put(f: Query) -> Query:
+        key = name or f.__name__
+        QUERIES[key] = f
+        if sql:
+            ORACLE_SQL[key] = with_views(sql)
+        return f
+
+    return put
+
+
+for _module in ("basics", "stays", "measures", "privacy", "quality", "models", "texts"):
+    try:
+        importlib.import_module(f"tarnlake.plans.{_module}")
+    except ModuleNotFoundError as missing:
+        if missing.name != f"tarnlake.plans.{_module}":
+            raise
