@@ -88,4 +88,4 @@ def open_on(start: Column, end: Column, day: Column) -> Column:
 
 
 def whole_word(text: Column, word: Column) -> Column:
-    return F.lower(text).rlike(F.concat(F.lit(r"\b"), word, F.lit(r"\b")))
+    return F.regexp_like(F.lower(text), F.concat(F.lit(r"\b"), word, F.lit(r"\b")))
