@@ -16,10 +16,10 @@ from tarnlake.llm.components import connected_components
 from tarnlake.llm.scratch import importable, keep
 from tarnlake.llm.words import distinct_sorted, mix, shingle_hashes, text_runs, word_hashes
 
-#: Bits of a set's parity sketch.
-SKETCH_BITS = 2048
+#: Bits of a set's parity sketch: the power of two from twice its size, within these bounds.
+LEAST_BITS, MOST_SKETCH = 256, 8192
 #: Shingles in more prefixes than this come last in the common order, at most so many of them.
-FREQUENT, MOST_FREQUENT = 64, 1_000_000
+FREQUENT, MOST_FREQUENT = 24, 1_000_000
 #: What reading one more posting of a list weighs against one subset, in the choice of the boundary.
 SCAN_COST = 4.0
 #: Members of an inverted list that one task compares at a time.
@@ -95,17 +95,31 @@ def _fingerprints(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, rows, row, h, key in _sets(batch, k):
-                bit = (mix(h + np.uint64(77)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-                parity = np.zeros((rows, SKETCH_BITS), dtype=np.uint8)
-                np.add.at(parity.reshape(-1), row * SKETCH_BITS + bit, 1)
-                sketch = np.packbits(parity & 1, axis=1)
-                held = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((np.arange(rows + 1) * (SKETCH_BITS // 8)).astype(np.int32)), pa.py_buffer(sketch.tobytes())])
+                n = np.bincount(row, minlength=rows)
+                bits = np.clip(1 << np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64), LEAST_BITS, MOST_SKETCH)
+                start = np.cumsum(bits) - bits
+                spot = start[row] + (mix(h + np.uint64(77)) & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+                sketch = np.packbits((np.bincount(spot, minlength=int(bits.sum())) & 1).astype(np.uint8))
+                held = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((np.r_[start, bits.sum()] // 8).astype(np.int32)), pa.py_buffer(sketch.tobytes())])
                 part = batch.slice(first, rows)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(np.bincount(row, minlength=rows)), pa.array(key), held], ["doc_id", "n", "key", "sketch"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n), pa.array(key), held], ["doc_id", "n", "key", "sketch"])
 
     return run
 
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which sketches differ, at most the shingles that one set has and the other has not.
+
+    A bit is the parity of the shingles that fall on it, so halves of a larger sketch, combined
+    by exclusive or, are the smaller sketch.
+    """
+    while x.shape[-1] > y.shape[-1]:
+        x = x[..., : x.shape[-1] // 2] ^ x[..., x.shape[-1] // 2 :]
+    while y.shape[-1] > x.shape[-1]:
+        y = y[..., : y.shape[-1] // 2] ^ y[..., y.shape[-1] // 2 :]
+    return np.bitwise_count(x ^ y).sum(axis=-1).astype(np.int64)
+
+
 def _postings(rule: Rule, light: int, frequent: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Tokens of every set that can link to another: subsets of light ones, prefixes of heavy ones.
 
@@ -228,36 +242,85 @@ def _close(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(v.as_py() for v in batch[c]), dtype=np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
+            pairs = zip(batch["x"], batch["y"], strict=True)
+            apart = np.array([int(_apart(*(np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in p))) for p in pairs], dtype=np.int64)
             good = pa.array((rule.den + rule.num) * apart <= (rule.den - rule.num) * (batch["n"].to_numpy() + batch["hub_n"].to_numpy()))
             yield pa.RecordBatch.from_arrays([batch["a"].filter(good), batch["b"].filter(good)], ["a", "b"])
 
     return run
 
 
+def _forest(x: np.ndarray, y: np.ndarray, apart: np.ndarray, root: np.ndarray, key: np.ndarray) -> list[int]:
+    """Indexes of the pairs, closest first, that each join two roots not joined before."""
+    parent: dict[int, int] = {}
+
+    def top(g: int) -> int:
+        while (up := parent.get(g, g)) != g:
+            parent[g] = parent.get(up, up)
+            g = up
+        return g
+
+    out = []
+    for p in np.lexsort((np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), apart)).tolist():
+        a, b = top(int(root[x[p]])), top(int(root[y[p]]))
+        if a != b:
+            parent[a] = b
+            out.append(p)
+    return out
+
+
+def _pairs_within(at: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one group, for all groups side by side: neighbours at distance 1, 2, ... as far as groups reach."""
+    end = np.repeat(at[1:], np.diff(at))
+    x = np.arange(rows)
+    d = 1
+    while len(x := x[x + d < end[x]]):
+        yield x, x + d
+        d += 1
+
+
 def _compare(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs of a block's members in different components that may link, from their sketches."""
+    """For every block of members, pairs across components that pass the bounds and were not refuted (``no``): the closest ones that would join all they can."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, ["token", "i", "j"], 20_000):
-            key, n, root, block = (table[c].to_numpy() for c in ("key", "n", "root", "block"))
-            sketch = np.frombuffer(b"".join(x.as_py() for x in table["sketch"]), dtype=np.uint64).reshape(-1, SKETCH_BITS // 64)
-            i, j = table["i"].to_numpy(), table["j"].to_numpy()
-            a_out, b_out = [], []
-            for s, e in zip(at[:-1], at[1:], strict=True):
-                same = i[s] == j[s]
-                for x in range(s, e - 1):
-                    y = np.arange(x + 1, e)
-                    y = y[(root[y] != root[x]) & (key[y] != key[x]) & (same | (block[y] != block[x]))]
-                    y = y[rule.den * np.minimum(n[x], n[y]) >= rule.num * np.maximum(n[x], n[y])]
-                    if len(y):
-                        apart = np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1)
-                        y = y[(rule.den + rule.num) * apart.astype(np.int64) <= (rule.den - rule.num) * (n[x] + n[y])]
-                        a_out.append(np.maximum(key[y], key[x]))
-                        b_out.append(np.minimum(key[y], key[x]))
-            if a_out:
-                pairs = np.unique(np.stack((np.concatenate(a_out), np.concatenate(b_out)), axis=1), axis=0)
+            key, n, root, block, i, j = (table[c].to_numpy() for c in ("key", "n", "root", "block", "i", "j"))
+            column = table["sketch"].combine_chunks() if isinstance(table["sketch"], pa.ChunkedArray) else table["sketch"]
+            sketches = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in column]
+            wide = np.array([len(v) for v in sketches])
+            place = np.zeros(len(wide), dtype=np.int64)
+            stacks = {}
+            for w in np.unique(wide).tolist():
+                m = np.flatnonzero(wide == w)
+                place[m] = np.arange(len(m))
+                stacks[w] = np.stack([sketches[v] for v in m])
+            xs, ys, ds = [], [], []
+            for x, y in _pairs_within(at, len(key)):
+                pick = (root[x] != root[y]) & (key[x] != key[y]) & ((i[x] == j[x]) | (block[x] != block[y])) & (rule.den * np.minimum(n[x], n[y]) >= rule.num * np.maximum(n[x], n[y]))
+                x, y = x[pick], y[pick]
+                for w, v in {(int(w), int(v)) for w, v in zip(wide[x], wide[y], strict=True)}:
+                    own = (wide[x] == w) & (wide[y] == v)
+                    u, t = x[own], y[own]
+                    d = _apart(stacks[w][place[u]], stacks[v][place[t]])
+                    fine = (rule.den + rule.num) * d <= (rule.den - rule.num) * (n[u] + n[t])
+                    xs.append(u[fine])
+                    ys.append(t[fine])
+                    ds.append(d[fine])
+            x, y, d = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys, ds))
+            if not len(x):
+                continue
+            no = table["no"].to_pylist()
+            fine = np.array([not no[u] or int(key[t]) not in no[u] for u, t in zip(x.tolist(), y.tolist(), strict=True)])
+            x, y, d = x[fine], y[fine], d[fine]
+            group = np.searchsorted(at, x, side="right")
+            order = np.argsort(group, kind="stable")
+            x, y, d, group = x[order], y[order], d[order], group[order]
+            found: list[tuple[int, int]] = []
+            for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(group)) + 1):
+                if len(part):
+                    found += [(max(key[x[part[p]]], key[y[part[p]]]), min(key[x[part[p]]], key[y[part[p]]])) for p in _forest(x[part], y[part], d[part], root, key)]
+            if found:
+                pairs = np.unique(np.array(found, dtype=np.int64), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     return run
@@ -280,14 +343,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
        that pass exact bounds (sizes, parity sketches) are verified on whole sets, and
        links are joined into components.
     4. Lists whose members now lie in one component are done: nothing in them can change the
-       result. In the others all pairs across components are compared, in blocks of
-       %d members by %d, and those that pass the bounds are verified. So no link between
-       different texts is lost, whatever the length of a list.
+       result. In the others all pairs across components are compared by the exact bounds, in
+       blocks of 512 members by 512; of those that pass, the closest that would join all
+       members of a block are verified. This goes on, without refuted pairs, until no
+       pair is left that could join components. So no link between different texts is
+       missed, whatever the length of a list, and a block gives less pairs than it has members.
 
     Sets are recomputed from the texts where they are needed rather than moved about. A null
     text is empty; repeated rows are kept; a null id is ignored in the smallest id; other
     columns are ignored; an empty table gives no rows.
-    """ % (BLOCK, BLOCK)
+    """
     spark: SparkSession = docs.sparkSession
     importable(spark)
     rule = Rule(k, num, den)
@@ -315,17 +380,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     links = _verify(only, rule, close)
     groups = keep(connected_components(links), "groups")
 
-    pairs = members.select("token", "key", "n").unionByName(members.select("token", F.col("hub").alias("key"), F.col("hub_n").alias("n"))).distinct()
-    rooted = pairs.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    rooted = keep(rooted, "rooted")
-    split = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    open_ = rooted.join(split, "token").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    open_ = open_.join(sketches, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    open_ = open_.select("token", "key", "n", "root", "block", "sketch", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    grouped = open_.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    more = keep(grouped.mapInArrow(_compare(rule), "a long, b long").distinct().join(close, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        groups = keep(connected_components(links.unionByName(_verify(only, rule, more))), "groups")
+    rows = keep(members.select("token", "key", "n").unionByName(members.select("token", F.col("hub").alias("key"), F.col("hub_n").alias("n"))).distinct(), "members")
+    refuted = close.join(links, ["a", "b"], "left_anti")
+    while True:
+        rooted = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        split = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        open_ = keep(rooted.join(split, "token"), "open")
+        no = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("no"))
+        parts = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).join(sketches, "key").join(no, "key", "left").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        parts = parts.select("token", "key", "n", "root", "block", "sketch", "no", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        order = ["token", "i", "j"]
+        more = keep(parts.repartition(*order).sortWithinPartitions(*order).mapInArrow(_compare(rule), "a long, b long").distinct(), "more")
+        if more.isEmpty():
+            break
+        good = _verify(only, rule, more)
+        refuted = keep(refuted.unionByName(more.join(good, ["a", "b"], "left_anti")), "refuted")
+        links = keep(links.unionByName(good), "links")
+        groups = keep(connected_components(links), "groups")
+        rows = open_.select("token", "key", "n")
 
     named = classes.select("key", "least_id").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
