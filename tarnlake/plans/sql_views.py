@@ -67,4 +67,6 @@ def with_views(sql: str) -> str:
         return sql
     heads = ", ".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {heads}, {body[15:]}"
     return f"WITH {heads}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {heads} {body}"
