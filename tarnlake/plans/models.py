@@ -15,7 +15,7 @@ from tarnlake.plans.stays import signal
 
 SPLIT = ("1995-01-01", "1999-01-01", "1998-12-01")
 VIEWS["part"] = "SELECT *, CASE WHEN admit_day >= DATE '1995-01-01' AND admit_day < DATE '1999-01-01' AND discharge_day <= DATE '1998-12-01' THEN 'train' WHEN admit_day >= DATE '1999-01-01' THEN 'production' ELSE 'gap' END AS part FROM signal"
-VIEWS["ruled"] = "SELECT *, length_of_stay * 10 + conditions_at_admit AS score, CASE WHEN length_of_stay > 5 THEN 0.3 ELSE 0.1 END AS p FROM part"
+VIEWS["ruled"] = "SELECT *, (length_of_stay * 10 + conditions_at_admit)::DOUBLE AS score, CASE WHEN length_of_stay > 5 THEN 0.3 ELSE 0.1 END AS p FROM part"
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:

@@ -27,5 +27,20 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return put
 
 
+_shared: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def shared(build: Query) -> Query:
+    """An intermediate table that many queries start from: persisted at its first use in an application, memory first, then disk."""
+
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, build.__name__, sf_dir)
+        if key not in _shared:
+            _shared[key] = build(spark, sf_dir).persist()
+        return _shared[key]
+
+    return get
+
+
 for _module in ("basics", "stays", "measures", "privacy", "quality", "models", "texts"):
     importlib.import_module(f"tarnlake.plans.{_module}")
