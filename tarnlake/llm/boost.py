@@ -36,6 +36,11 @@ def fit_boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, b
     if not n or y.min() == y.max():
         return Boosted(np.zeros((1, inner), np.int64), np.full((1, inner), np.inf), np.zeros((1, leaves)), base)
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(width)]
+    # A cut lies halfway to the next value seen, so rows between two groups aren't all counted with one of them.
+    cuts = []
+    for f, e in enumerate(edges):
+        seen = np.unique(x[:, f])
+        cuts.append((e + seen[np.minimum(np.searchsorted(seen, e, side="right"), len(seen) - 1)]) / 2)
     binned = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(edges)], axis=1)
     cell = np.arange(width) * bins + binned
     total = np.full(n, base)
@@ -55,7 +60,7 @@ def fit_boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, b
             feature, cut = best // bins, best % bins
             for i in np.flatnonzero(gain.reshape(count, -1)[np.arange(count), best] > 1e-9):
                 if cut[i] < len(edges[feature[i]]):
-                    out.feature[t, first + i], out.threshold[t, first + i] = feature[i], edges[feature[i]][cut[i]]
+                    out.feature[t, first + i], out.threshold[t, first + i] = feature[i], cuts[feature[i]][cut[i]]
             node = 2 * node + 1 + (x[np.arange(n), out.feature[t, node]] > out.threshold[t, node])
         g, h = (np.bincount(node - inner, weights=v, minlength=leaves) for v in (grad, hess))
         out.value[t] = -rate * g / (h + l2)
