@@ -279,8 +279,8 @@ def _pairs_within(at: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.nd
         d += 1
 
 
-def _compare(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For every block of members, pairs across components that pass the bounds and were not refuted (``no``): the closest ones that would join all they can."""
+def _compare(rule: Rule, closest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For every block of members, pairs across components that pass the bounds and were not refuted (``no``): all, or the ``closest`` ones that would join all they can."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, at in whole_groups(batches, ["token", "i", "j"], 20_000):
@@ -315,13 +315,12 @@ def _compare(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             group = np.searchsorted(at, x, side="right")
             order = np.argsort(group, kind="stable")
             x, y, d, group = x[order], y[order], d[order], group[order]
-            found: list[tuple[int, int]] = []
-            for part in np.split(np.arange(len(x)), np.flatnonzero(np.diff(group)) + 1):
-                if len(part):
-                    found += [(max(key[x[part[p]]], key[y[part[p]]]), min(key[x[part[p]]], key[y[part[p]]])) for p in _forest(x[part], y[part], d[part], root, key)]
-            if found:
-                pairs = np.unique(np.array(found, dtype=np.int64), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            if closest:
+                parts = np.split(np.arange(len(x)), np.flatnonzero(np.diff(group)) + 1)
+                pick = np.array([part[p] for part in parts if len(part) for p in _forest(x[part], y[part], d[part], root, key)], dtype=np.int64)
+                x, y = x[pick], y[pick]
+            token = table["token"].to_numpy()[x]
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.maximum(key[x], key[y])), pa.array(np.minimum(key[x], key[y]))], ["token", "a", "b"])
 
     return run
 
@@ -344,10 +343,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
        links are joined into components.
     4. Lists whose members now lie in one component are done: nothing in them can change the
        result. In the others all pairs across components are compared by the exact bounds, in
-       blocks of 512 members by 512; of those that pass, the closest that would join all
-       members of a block are verified. This goes on, without refuted pairs, until no
-       pair is left that could join components. So no link between different texts is
-       missed, whatever the length of a list, and a block gives less pairs than it has members.
+       blocks of 512 members by 512. Of those that pass, the closest that would join all
+       members of a block are verified first, less than it has members; then, in lists that
+       had any, all pairs that still pass and lie across components, until there are none.
+       So no link between different texts is missed, whatever the length of a list.
 
     Sets are recomputed from the texts where they are needed rather than moved about. A null
     text is empty; repeated rows are kept; a null id is ignored in the smallest id; other
@@ -381,7 +380,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     groups = keep(connected_components(links), "groups")
 
     rows = keep(members.select("token", "key", "n").unionByName(members.select("token", F.col("hub").alias("key"), F.col("hub_n").alias("n"))).distinct(), "members")
-    refuted = close.join(links, ["a", "b"], "left_anti")
+    refuted, closest = close.join(links, ["a", "b"], "left_anti"), True
     while True:
         rooted = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         split = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
@@ -390,14 +389,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
         parts = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).join(sketches, "key").join(no, "key", "left").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         parts = parts.select("token", "key", "n", "root", "block", "sketch", "no", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
         order = ["token", "i", "j"]
-        more = keep(parts.repartition(*order).sortWithinPartitions(*order).mapInArrow(_compare(rule), "a long, b long").distinct(), "more")
-        if more.isEmpty():
+        candidates = keep(parts.repartition(*order).sortWithinPartitions(*order).mapInArrow(_compare(rule, closest), "token long, a long, b long"), "candidates")
+        if candidates.isEmpty():
             break
+        more = candidates.select("a", "b").distinct()
         good = _verify(only, rule, more)
         refuted = keep(refuted.unionByName(more.join(good, ["a", "b"], "left_anti")), "refuted")
         links = keep(links.unionByName(good), "links")
         groups = keep(connected_components(links), "groups")
-        rows = open_.select("token", "key", "n")
+        # A list without a candidate now has none later: bounds don't change, and components only grow.
+        rows, closest = keep(open_.select("token", "key", "n").join(candidates.select("token").distinct(), "token", "left_semi"), "members"), False
 
     named = classes.select("key", "least_id").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
