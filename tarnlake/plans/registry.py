@@ -42,5 +42,5 @@ def shared(build: Query) -> Query:
     return get
 
 
-for _module in ("basics", "stays", "measures", "privacy", "quality", "models", "texts"):
+for _module in ("basics", "stays", "measures", "privacy", "quality", "models", "texts", "questions"):
     importlib.import_module(f"tarnlake.plans.{_module}")

@@ -65,7 +65,7 @@ def with_views(sql: str) -> str:
             todo |= _needs(VIEWS[name], name)
     if not wanted:
         return sql
-    heads = ", ".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in wanted)
+    heads = ", ".join(f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in VIEWS if n in wanted)  # each computed once
     body = sql.strip()
     if body.upper().startswith("WITH RECURSIVE "):
         return f"WITH RECURSIVE {heads}, {body[15:]}"
