@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +32,18 @@ _shared: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def shared(build: Query) -> Query:
-    """An intermediate table that many queries start from: persisted at its first use in an application, memory first, then disk."""
+    """An intermediate table that many queries start from: checkpointed at its first use in an application.
+
+    That also cuts its long lineage, which each further step of a query would analyse again.
+    The folder is the cluster's ``spark.checkpoint.dir``; a temporary one only where that is unset (tests).
+    """
 
     def get(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, build.__name__, sf_dir)
         if key not in _shared:
-            _shared[key] = build(spark, sf_dir).persist()
+            if not spark.conf.get("spark.checkpoint.dir", ""):
+                spark.sparkContext.setCheckpointDir(f"file://{tempfile.gettempdir()}/tarnlake-checkpoints")
+            _shared[key] = build(spark, sf_dir).checkpoint()
         return _shared[key]
 
     return get
