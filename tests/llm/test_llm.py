@@ -95,6 +95,29 @@ def test_passages_found_and_cut(spark):
     assert passages.repeated_passages(docs.limit(0)).count() == 0
 
 
+def test_passages_around_a_foreign_block(spark):
+    rng = np.random.default_rng(17)
+    one, two = sentence(rng, 60), sentence(rng, 60)
+    seven, nine = sentence(rng, 100), sentence(rng, 100)
+    rows = [(1, f"{one} {seven} {two}", "a"), (2, f"{one} {nine} {two}", "a"), (3, sentence(rng, 30) + " " + seven, "b"), (4, sentence(rng, 30) + " " + nine, "b")]
+    docs = make(spark, rows)
+    left = [x["text"] for x in passages.without_passages(docs, passages.repeated_passages(docs)).collect()]
+    for block in (one, seven, two, nine):
+        inner = " ".join(block.split()[2:-2])
+        assert sum(inner in t for t in left) == 1
+
+
+def test_split_finds_all_parts_that_pass():
+    a, b = np.arange(400, dtype=np.uint64), np.arange(1000, 1400, dtype=np.uint64)
+    at = [(0, 30), (42, 30), (110, 6), (170, 39), (300, 50)]  # the first two pass together only, the fourth is too short
+    for s, n in at:
+        b[s : s + n] = a[s : s + n]
+    x, size = np.array([s for s, _ in at]), np.array([n for _, n in at])
+    found = passages.split(a, b, x, x, size, 40, 0.8)
+    assert [(f[0], f[1]) for f in found] == [(0, 72), (300, 350)]
+    assert found[0][4] == 60 / 72 and found[1][4] == 1.0
+
+
 def test_chain_is_collinear_and_pays_for_gaps():
     x, y, size = np.array([0, 10, 20, 400]), np.array([5, 15, 2, 405]), np.full(4, 6)
     first = passages.chain(x, y, size)[0].tolist()
