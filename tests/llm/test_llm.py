@@ -118,6 +118,23 @@ def test_split_finds_all_parts_that_pass():
     assert found[0][4] == 60 / 72 and found[1][4] == 1.0
 
 
+def test_passages_of_phrases_that_many_hold(spark):
+    rng = np.random.default_rng(23)
+    shared = sentence(rng, 60).split()
+    around = lambda ws: f"{sentence(rng, 40)} {' '.join(ws)} {sentence(rng, 40)}"
+    tries = [(i, around(shared), "a") for i in range(60)]
+    last = sorted((r["key"], r["doc_id"]) for r in make(spark, tries).select("doc_id", passages.row_key().alias("key")).collect())[-2:]
+    both = {i for _, i in last}  # of late keys, so a seed's first holders have a phrase of 30 words only
+    rows = [r for r in tries if r[0] in both]
+    rows += [(100 + 20 * o + i, around(shared[o : o + 30]), "b") for o in (0, 10, 20, 30) for i in range(12)]
+    docs = make(spark, rows)
+    found = passages.repeated_passages(docs)
+    assert {r["doc_id"] for r in found.select("doc_id").collect()} <= both
+    left = [words(x["text"]) for x in passages.without_passages(docs, found).collect()]
+    runs = [shared[i : i + 40] for i in range(21)]
+    assert [sum(any(t[j : j + 40] == r for j in range(len(t) - 39)) for t in left) for r in runs] == [1] * 21
+
+
 def test_chain_is_collinear_and_pays_for_gaps():
     x, y, size = np.array([0, 10, 20, 400]), np.array([5, 15, 2, 405]), np.full(4, 6)
     first = passages.chain(x, y, size)[0].tolist()
