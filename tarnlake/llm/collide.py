@@ -2,83 +2,142 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from math import erf, sqrt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.blocks import search_blocks
+from tarnlake.llm.blocks import Block, Search, search_blocks
 
 #: Projections; half a window's width for radius 1; the factor by which radii grow.
-PROJECTIONS, WIDTH, GROWTH = 40, 1.0, 1.15
+PROJECTIONS, WIDTH, GROWTH = 192, 0.5, 1.03
 #: Standard deviations below the expected collisions of a vector just inside the radius.
-SLACK = 2.0
-#: Share of the pairwise distances, seen from a few rows, at which the first radius lies.
-FIRST = 0.002
+SLACK = 0.7
+#: Queries that look for the first radius, which is their mean k-th distance among so many rows, drawn out to all.
+FIRST_QUERIES, FIRST_ROWS = 64, 4096
+#: Bound on the error of a score in single precision, as a share of the product of both lengths.
+ERROR = 1e-4
 SEED = 20240
 
 
-def _near(radius_share: float) -> float:
-    """Chance that a standard normal lies within the window of a vector at this share of the radius."""
-    from math import erf, sqrt
+def threshold() -> int:
+    """Windows that a row just inside the radius lies in, less SLACK standard deviations.
 
-    return erf(WIDTH / radius_share / sqrt(2))
+    The chance that a standard normal lies within a window of this width for its distance is the same
+    for every radius, so one threshold serves them all.
+    """
+    share = erf(WIDTH / sqrt(2))
+    return int(PROJECTIONS * share - SLACK * sqrt(PROJECTIONS * share * (1 - share)))
 
 
-def collision_search(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """Nearest rows by inner product, for the queries of one block.
+class Arrays:
+    """The index of a block: every row in PROJECTIONS arrays, each sorted by one projection.
 
-    Inner products become distances: rows are scaled by the largest norm of the block and
-    given one more component that makes them unit vectors; queries are made unit vectors. Every
-    row is in the index: PROJECTIONS arrays of its projections, each sorted. For a radius a
-    query opens a window around its own projection in every array; a row that lies in at least
-    ``threshold`` windows is a candidate and is verified exactly. Windows grow with the radius
-    (virtual rehashing) until k candidates were verified within the radius: a row within it
-    fails the threshold with a chance of a few hundredths. No bound is set on candidates.
+    Inner products become distances: rows are scaled by the block's largest norm and given one
+    more component that makes them unit vectors; queries are made unit vectors.
     """
-    share = _near(1.0)
-    threshold = int(np.floor(PROJECTIONS * share - SLACK * np.sqrt(PROJECTIONS * share * (1 - share))))
 
-    def search(data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids = data["vec_id"].to_numpy()
-        vectors = np.stack(data["embedding"].to_numpy()).astype(np.float64)
-        queries = np.stack(asked["embedding"].to_numpy()).astype(np.float64)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.ids, self.vectors, self.single = ids, vectors, vectors.astype(np.float32)
+        self.room = np.zeros(0, dtype=np.int64)
         norms = np.sqrt((vectors**2).sum(axis=1))
-        top = norms.max()
-        unit = np.c_[vectors / top, np.sqrt(np.maximum(0.0, 1 - (norms / top) ** 2))]
-        lines = np.random.default_rng(SEED).standard_normal((unit.shape[1], PROJECTIONS))
-        at = unit @ lines
-        order = np.argsort(at, axis=0, kind="stable").astype(np.int32)
-        arrays = [(np.ascontiguousarray(at[order[:, j], j]), np.ascontiguousarray(order[:, j])) for j in range(PROJECTIONS)]
-        length = np.sqrt((queries**2).sum(axis=1))
-        own = np.c_[queries / length[:, None], np.zeros(len(queries))] @ lines
-        first = np.sqrt(np.maximum(1e-9, np.quantile(2 - 2 * (queries[:32] / length[:32, None]) @ (vectors / top).T, min(1.0, max(FIRST, k / len(ids))))))
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for q, (query_id, vector) in enumerate(zip(asked["vec_id"].to_numpy(), queries, strict=True)):
-            radius, checked = first, np.zeros(len(ids), dtype=bool)
-            found, scores = np.zeros(0, np.int64), np.zeros(0)
-            while True:
-                if radius > 2.0 * GROWTH:  # no two unit vectors are further apart: all rows are inside
-                    new = np.flatnonzero(~checked)
-                else:
-                    half = WIDTH * radius
-                    inside = [rows[np.searchsorted(v, own[q, j] - half) : np.searchsorted(v, own[q, j] + half, side="right")] for j, (v, rows) in enumerate(arrays)]
-                    new = np.flatnonzero((np.bincount(np.concatenate(inside), minlength=len(ids)) >= threshold) & ~checked)
-                checked[new] = True
-                new = new[ids[new] != query_id]
-                found, scores = np.r_[found, new], np.r_[scores, (vectors[new] * vector).sum(axis=1)]
-                close = 2 - 2 * scores / (length[q] * top) <= radius**2
-                if close.sum() >= k or radius > 2.0 * GROWTH:
-                    break
-                radius *= GROWTH
-            best = np.lexsort((ids[found], -scores))[:k]
-            out.append((np.full(len(best), query_id), ids[found[best]], scores[best]))
-        query_id, vec_id, score = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pd.DataFrame({"query_id": query_id, "vec_id": vec_id, "score": score})
-
-    return search
+        self.top = norms.max()
+        unit = np.c_[vectors / self.top, np.sqrt(np.maximum(0.0, 1 - (norms / self.top) ** 2))]
+        self.lines = np.random.default_rng(SEED).standard_normal((unit.shape[1], PROJECTIONS))
+        at = (unit @ self.lines).T
+        self.rows = np.argsort(at, axis=1, kind="stable").astype(np.int32)
+        self.values = np.take_along_axis(at, self.rows, axis=1).astype(np.float32)
+
+    def first_radius(self, unit: np.ndarray, k: int) -> float:
+        """A radius within which about k rows of the block lie: where windows begin to open. It decides nothing else."""
+        step = max(1, len(self.ids) // FIRST_ROWS)
+        near = 2 - 2 * unit[:FIRST_QUERIES] @ (self.vectors[::step] / self.top).T
+        return float(np.sqrt(max(1e-9, np.quantile(near, min(1.0, 0.5 * k / len(self.ids))))))
+
+    def _ends(self, left: np.ndarray, low: np.ndarray, high: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rows in [left, low) and [high, right) of every array."""
+        parts = [r[a:b] for r, a, b in zip(self.rows, left.tolist(), low.tolist(), strict=True)] + [r[a:b] for r, a, b in zip(self.rows, high.tolist(), right.tolist(), strict=True)]
+        size = int((low - left).sum() + (right - high).sum())
+        if size > len(self.room):
+            self.room = np.zeros(2 * size, dtype=np.int64)
+        return np.concatenate(parts, out=self.room[:size])
+
+    def windows(self, at: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
+        """Where the windows around ``at`` (queries x projections) begin and end in the arrays."""
+        low, high = (at - half).astype(np.float32), (at + half).astype(np.float32)
+        left = [v.searchsorted(a) for v, a in zip(self.values, low.T, strict=True)]
+        right = [v.searchsorted(a, "right") for v, a in zip(self.values, high.T, strict=True)]
+        return np.stack(left, axis=1), np.stack(right, axis=1)
+
+    def _near(self, rows: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of ``rows`` and all that tie with them, by their exact scores.
+
+        Scores in single precision tell which rows could be among the k best; their error is far below ERROR of both lengths.
+        """
+        if len(rows) > 2 * k:
+            rough = self.single[rows] @ vector.astype(np.float32)
+            margin = ERROR * self.top * np.sqrt((vector**2).sum())
+            rows = rows[rough >= np.partition(rough, -k)[-k] - margin]
+        return rows, (self.vectors[rows] * vector).sum(axis=1)
+
+    def nearest(self, query_id: int, vector: np.ndarray, at: np.ndarray, radius: float, left: np.ndarray, right: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(rows, scores, rows verified) of the k best rows found for a query, whose first windows are [left, right)."""
+        length, n, least = np.sqrt((vector**2).sum()), len(self.ids), threshold()
+        low = high = left
+        count, checked = np.zeros(n, dtype=np.int64), self.ids == query_id
+        found, scores, verified = np.zeros(0, np.int64), np.zeros(0), 0
+        while True:
+            if radius > 2 * GROWTH:  # no two unit vectors are further apart: all rows are inside
+                new = np.flatnonzero(~checked)
+            else:
+                # Windows grow at their ends; what they hold already is counted.
+                count += np.bincount(self._ends(left, low, high, right), minlength=n)
+                low, high = left, right
+                new = np.flatnonzero((count >= least) & ~checked)
+            checked[new] = True
+            verified += len(new)
+            new, more = self._near(new, vector, k)
+            found, scores = np.r_[found, new], np.r_[scores, more]
+            inside = 2 - 2 * scores / (length * self.top) <= radius**2
+            if inside.sum() >= k or radius > 2 * GROWTH:
+                break
+            radius *= GROWTH
+            left, right = (x[0] for x in self.windows(at[None], WIDTH * radius))
+        best = np.lexsort((self.ids[found], -scores))[:k]
+        return found[best], scores[best], verified
+
+
+def collision_search(k: int) -> Search:
+    """Nearest rows by inner product, for blocks of rows and the queries that pass them.
+
+    For a radius a query opens a window around its own projection in every array; a row that lies in
+    at least :func:`threshold` windows is a candidate and is verified exactly. Windows grow with the radius
+    (virtual rehashing) until k rows were verified within the radius. No bound is set on candidates.
+    """
+
+    def index(block: Block) -> Callable[[Block], Iterator[pa.RecordBatch]]:
+        arrays = Arrays(block.ids, block.vectors)
+        first: list[float] = []
+
+        def ask(queries: Block) -> Iterator[pa.RecordBatch]:
+            unit = queries.vectors / np.sqrt((queries.vectors**2).sum(axis=1))[:, None]
+            own = np.c_[unit, np.zeros(len(unit))] @ arrays.lines
+            if not first:
+                first.append(arrays.first_radius(unit, k))
+            left, right = arrays.windows(own, WIDTH * first[0])
+            out = []
+            for i, (query_id, vector) in enumerate(zip(queries.ids.tolist(), queries.vectors, strict=True)):
+                rows, scores, verified = arrays.nearest(query_id, vector, own[i], first[0], left[i], right[i], k)
+                out.append((np.full(len(rows), query_id), arrays.ids[rows], scores, np.r_[verified, np.zeros(len(rows), np.int64)][: len(rows)]))
+            columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score", "verified"])
+
+        return ask
+
+    return index
 
 
 def usable(vector: str) -> Column:
@@ -89,11 +148,13 @@ def usable(vector: str) -> Column:
 
 
 def nearest_by_collisions(rows: DataFrame, is_query: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k rows of largest inner product found for each query row.
+    """``query_id, rank, vec_id, score, verified``: the k rows of largest inner product found for each query row.
 
-    A row is no candidate of its own id; ties go to the smaller id; with fewer than k candidates
-    all are returned. Vectors that are null, zero or hold a null or non-finite component take
-    no part, nor do rows without an id; other columns are ignored; vectors are of one length.
+    ``verified`` counts the rows of all blocks whose inner product the query needed. A row is no candidate
+    of its own id; ties go to the smaller id; with fewer than k candidates all are returned. Rows
+    that repeat an id count once, with the least of their vectors in the order of components. Vectors
+    that are null, zero or hold a null or non-finite component take no part, nor do rows without an
+    id; other columns are ignored; vectors are of one length; an empty table gives no rows.
     """
-    clean = rows.where(usable(vector) & F.col(id).isNotNull()).select(F.col(id).cast("long").alias("vec_id"), F.col(vector).alias("embedding"))
-    return search_blocks(clean, is_query, "embedding", collision_search(k), k, "score", F.desc("score"))
+    clean = rows.where(usable(vector) & F.col(id).isNotNull()).select(F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), is_query.alias("query"))
+    return search_blocks(clean, collision_search(k), k, "score double, verified long", F.desc("score"), "verified")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm.arrow import whole_groups
@@ -24,6 +24,12 @@ FREQUENT, MOST_FREQUENT = 24, 1_000_000
 SCAN_COST = 4.0
 #: Members of an inverted list that one task compares at a time.
 BLOCK = 512
+#: A token that more members than this of one batch hold is first gathered within the batch.
+CROWD = 8
+#: Sets that are compared with one copy of their hub's set.
+STREAM = 2000
+#: Passing pairs that a task holds before it hands them on.
+HELD = 200_000
 #: Largest filter of wanted sets, in bits.
 MOST_BITS = 1 << 27
 
@@ -78,6 +84,22 @@ def boundary(rule: Rule, sizes: dict[int, int]) -> int:
     return best
 
 
+class _Recent:
+    """Keys met lately, in a table of fixed size: a key that another one has pushed out counts as new again."""
+
+    def __init__(self, slots: int = 1 << 16) -> None:
+        self.slots = np.arange(slots, dtype=np.uint64) ^ np.uint64(1)  # a value that belongs elsewhere: empty
+
+    def new(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys.view(np.uint64)
+        at = (keys & np.uint64(len(self.slots) - 1)).astype(np.int64)
+        fresh = np.zeros(len(keys), dtype=bool)
+        fresh[np.unique(keys, return_index=True)[1]] = True
+        fresh &= self.slots[at] != keys
+        self.slots[at[fresh]] = keys[fresh]
+        return fresh
+
+
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, rows, row of each shingle, distinct shingles, fingerprint of each row's set) of runs of texts."""
     for first, data, offsets in text_runs(batch["text"]):
@@ -102,7 +124,7 @@ def _fingerprints(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 sketch = np.packbits((np.bincount(spot, minlength=int(bits.sum())) & 1).astype(np.uint8))
                 held = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((np.r_[start, bits.sum()] // 8).astype(np.int32)), pa.py_buffer(sketch.tobytes())])
                 part = batch.slice(first, rows)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(n), pa.array(key), held], ["doc_id", "n", "key", "sketch"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["row"], pa.array(n), pa.array(key), held], ["doc_id", "row", "n", "key", "sketch"])
 
     return run
 
@@ -120,6 +142,20 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=-1).astype(np.int64)
 
 
+def _crowds(token: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Postings of a batch. Members of a crowded token form a group of their own; its smallest one goes to the token's list for all."""
+    order = np.lexsort((key, token))
+    token, key, n = token[order], key[order], n[order]
+    first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(token) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[first, len(token)])
+    crowd = np.repeat(size > CROWD, size)
+    lead = first[size > CROWD]
+    token, key, n = (np.r_[v, v[lead]] for v in (token, key, n))
+    salt = int(mix(key.view(np.uint64)).sum() >> np.uint64(2)) | 1  # follows from the batch, so a task that runs again gives the same
+    group = np.r_[np.where(crowd, salt, 0), np.zeros(len(lead), np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(group), pa.array(key), pa.array(n)], ["token", "salt", "key", "n"])
+
+
 def _postings(rule: Rule, light: int, frequent: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Tokens of every set that can link to another: subsets of light ones, prefixes of heavy ones.
 
@@ -128,42 +164,44 @@ def _postings(rule: Rule, light: int, frequent: np.ndarray | None) -> Callable[[
     as leave less than the least overlap. Without ``frequent``, the prefix in plain hash order.
     """
 
+    def tokens(rows: int, row: np.ndarray, h: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = np.bincount(row, minlength=rows)
+        start = np.cumsum(n) - n
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        heavy = new & (np.array([rule.largest(int(v)) for v in n]) > light)
+        pick = heavy[row]
+        r, s = row[pick], h[pick]
+        if len(r):
+            if frequent is not None and len(frequent):
+                last = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
+                order = np.lexsort((s, last, r))
+                r, s = r[order], s[order]
+            rank = np.arange(len(r)) - np.repeat(np.flatnonzero(np.r_[True, r[1:] != r[:-1]]), np.diff(np.r_[np.flatnonzero(np.r_[True, r[1:] != r[:-1]]), len(r)]))
+            inside = rank < (n - rule.least(n) + 1)[r]
+            out.append((r[inside], s[inside]))
+        if frequent is not None:
+            for i in np.flatnonzero(new & (n <= light)):
+                own = h[start[i] : start[i] + n[i]]
+                for c in _subset_sizes(rule, int(n[i])):
+                    subsets = np.array(list(itertools.combinations(own, c)), dtype=np.uint64)
+                    found = mix(mix(subsets).sum(axis=1, dtype=np.uint64) + np.uint64(c))
+                    out.append((np.full(len(found), i), found))
+        r, s = (np.concatenate(x) for x in zip(*out, strict=True))
+        return r, s
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        recent = _Recent()
         for batch in batches:
+            found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
             for _, rows, row, h, key in _sets(batch, rule.k):
                 n = np.bincount(row, minlength=rows)
-                start = np.cumsum(n) - n
-                keys = key.tolist()
-                new = np.zeros(rows, dtype=bool)
-                for i, x in enumerate(keys):  # copies in a task are indexed once
-                    if n[i] and x not in seen:
-                        seen.add(x)
-                        new[i] = True
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                out: list[tuple[np.ndarray, np.ndarray]] = []
-                heavy = new & (np.array([rule.largest(int(v)) for v in n]) > light)
-                pick = heavy[row]
-                r, s = row[pick], h[pick]
-                if len(r):
-                    if frequent is not None and len(frequent):
-                        last = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
-                        order = np.lexsort((s, last, r))
-                        r, s = r[order], s[order]
-                    rank = np.arange(len(r)) - np.repeat(np.flatnonzero(np.r_[True, r[1:] != r[:-1]]), np.diff(np.r_[np.flatnonzero(np.r_[True, r[1:] != r[:-1]]), len(r)]))
-                    inside = rank < (n - rule.least(n) + 1)[r]
-                    out.append((r[inside], s[inside]))
-                if frequent is not None:
-                    for i in np.flatnonzero(new & (n <= light)):
-                        own = h[start[i] : start[i] + n[i]]
-                        for c in _subset_sizes(rule, int(n[i])):
-                            subsets = np.array(list(itertools.combinations(own, c)), dtype=np.uint64)
-                            tokens = mix(mix(subsets).sum(axis=1, dtype=np.uint64) + np.uint64(c))
-                            out.append((np.full(len(tokens), i), tokens))
-                if out:
-                    r, s = (np.concatenate(x) for x in zip(*out, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(key[r]), pa.array(n[r])], ["token", "key", "n"])
+                r, s = tokens(rows, row, h, recent.new(key) & (n > 0))  # copies in a task are indexed once
+                found.append((s, key[r], n[r]))
+            token, key, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            if frequent is None:
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64))], ["token"])
+            else:
+                yield _crowds(token, key, n)
 
     return run
 
@@ -181,44 +219,50 @@ def _wanted_bits(keys: DataFrame) -> np.ndarray:
 
 def _wanted_sets(k: int, wanted: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        recent = _Recent()
         mask = np.uint64(len(wanted) * 64 - 1)
         for batch in batches:
             for _, rows, row, h, key in _sets(batch, k):
-                maybe = np.ones(rows, dtype=bool)
+                maybe = recent.new(key)
                 for s in (0, 17, 34):
                     bit = (key.view(np.uint64) >> np.uint64(s)) & mask
                     maybe &= (wanted[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
                 n = np.bincount(row, minlength=rows)
                 start = np.cumsum(n) - n
-                keys, found = [], []
-                for i in np.flatnonzero(maybe & (n > 0)):
-                    if int(key[i]) not in seen:
-                        seen.add(int(key[i]))
-                        keys.append(int(key[i]))
-                        found.append(h[start[i] : start[i] + n[i]].tobytes())
-                if len(seen) > 1_000_000:
-                    seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary())], ["key", "shingles"])
+                pick = np.flatnonzero(maybe & (n > 0))
+                found = [h[start[i] : start[i] + n[i]].tobytes() for i in pick]
+                yield pa.RecordBatch.from_arrays([pa.array(key[pick]), pa.array(found, pa.binary())], ["key", "shingles"])
 
     return run
 
 
 def _linked(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Which sets link with their hub's: rows ``b, salt, a, shingles``, the hub's own set (``a`` null) first in its group."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, of = np.zeros(0, np.uint64), None
         for batch in batches:
-            good = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(batch["x"], batch["y"], strict=True)):
-                a, b = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                both = len(a) + len(b) - len(np.unique(np.concatenate((a, b))))
-                good[i] = rule.den * both >= rule.num * (len(a) + len(b) - both)
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(pa.array(good)), batch["b"].filter(pa.array(good))], ["a", "b"])
+            a, b, good = batch["a"], batch["b"].to_numpy(), np.zeros(batch.num_rows, dtype=bool)
+            own = a.is_null().to_numpy(zero_copy_only=False)
+            for i, value in enumerate(batch["shingles"]):
+                x = np.frombuffer(value.as_buffer(), dtype=np.uint64)
+                if own[i]:
+                    hub, of = x.copy(), b[i]
+                    continue
+                assert of == b[i]
+                both = int((hub[np.minimum(np.searchsorted(hub, x), len(hub) - 1)] == x).sum())
+                good[i] = rule.den * both >= rule.num * (len(x) + len(hub) - both)
+            yield pa.RecordBatch.from_arrays([a.filter(pa.array(good)), batch["b"].filter(pa.array(good))], ["a", "b"])
 
     return run
 
 
 def _verify(texts: DataFrame, rule: Rule, pairs: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of sets that link, by their whole sets, written."""
+    """The ``pairs`` (a, b) of sets that link, by their whole sets, written.
+
+    Pairs are grouped by b, the hub. Its set goes once to each group of at most about STREAM
+    pairs, so a hub of very many pairs is spread; the other sets stream past it.
+    """
     spark = texts.sparkSession
     ends = keep(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "ends")
     bits = spark.sparkContext.broadcast(_wanted_bits(ends))
@@ -228,9 +272,16 @@ def _verify(texts: DataFrame, rule: Rule, pairs: DataFrame) -> DataFrame:
 
     found = texts.mapInArrow(sets, "key long, shingles binary").join(ends, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles"))
     found = keep(found, "sets")
-    left = pairs.join(found.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(found.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-    return keep(both.select("a", "b", "x", "y").mapInArrow(_linked(rule), "a long, b long"), "linked")
+    hubs = pairs.groupBy("b").agg(F.ceil(F.count("*") / STREAM).cast("int").alias("parts"))
+    crowded = hubs.where("parts > 1")
+    asked = pairs.join(crowded, "b", "left").select("b", F.coalesce(F.pmod(F.xxhash64("a"), F.col("parts")), F.lit(0)).cast("int").alias("salt"), "a")
+    asked = asked.join(found.withColumnRenamed("key", "a"), "a")
+    own = hubs.select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")).join(found.withColumnRenamed("key", "b"), "b").withColumn("a", F.lit(None).cast("long"))
+    rows = asked.select("b", "salt", "a", "shingles").unionByName(own.select("b", "salt", "a", "shingles"))
+    rows = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
+    out = keep(rows.mapInArrow(_linked(rule), "a long, b long"), "linked")
+    bits.unpersist()
+    return out
 
 
 def _close(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -250,11 +301,11 @@ def _close(rule: Rule) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
-def _forest(x: np.ndarray, y: np.ndarray, apart: np.ndarray, root: np.ndarray, key: np.ndarray) -> list[int]:
-    """Indexes of the pairs, closest first, that each join two roots not joined before."""
-    parent: dict[int, int] = {}
+def _forest(x: np.ndarray, y: np.ndarray, apart: np.ndarray, group: np.ndarray, root: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Indexes of the pairs, closest first, that each join two roots of a group not joined before."""
+    parent: dict[tuple[int, int], tuple[int, int]] = {}
 
-    def top(g: int) -> int:
+    def top(g: tuple[int, int]) -> tuple[int, int]:
         while (up := parent.get(g, g)) != g:
             parent[g] = parent.get(up, up)
             g = up
@@ -262,11 +313,11 @@ def _forest(x: np.ndarray, y: np.ndarray, apart: np.ndarray, root: np.ndarray, k
 
     out = []
     for p in np.lexsort((np.minimum(key[x], key[y]), np.maximum(key[x], key[y]), apart)).tolist():
-        a, b = top(int(root[x[p]])), top(int(root[y[p]]))
+        a, b = top((int(group[p]), int(root[x[p]]))), top((int(group[p]), int(root[y[p]])))
         if a != b:
             parent[a] = b
             out.append(p)
-    return out
+    return np.array(out, dtype=np.int64)
 
 
 def _pairs_within(at: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -279,12 +330,37 @@ def _pairs_within(at: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.nd
         d += 1
 
 
+def _refuted(table: pa.Table) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether pairs (row, smaller key) are in the rows' lists ``no``, which are held as one sorted array."""
+    column = table["no"].combine_chunks() if isinstance(table["no"], pa.ChunkedArray) else table["no"]
+    count = column.value_lengths().fill_null(0).to_numpy()
+    flat = column.flatten().to_numpy().view(np.uint64)
+
+    def mark(row: np.ndarray, key: np.ndarray) -> np.ndarray:
+        return mix(key.view(np.uint64) ^ mix(row.astype(np.uint64)))
+
+    held = np.sort(mark(np.repeat(np.arange(len(count)), count), flat))
+
+    def test(row: np.ndarray, key: np.ndarray) -> np.ndarray:
+        if not len(held):
+            return np.zeros(len(row), dtype=bool)
+        m = mark(row, key)
+        return held[np.minimum(np.searchsorted(held, m), len(held) - 1)] == m
+
+    return test
+
+
 def _compare(rule: Rule, closest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """For every block of members, pairs across components that pass the bounds and were not refuted (``no``): all, or the ``closest`` ones that would join all they can."""
+    """For every two blocks of members, pairs across components that pass the bounds and were not refuted: all, or the ``closest`` ones that would join all they can.
+
+    Passing pairs are handed on as they are found; of closest ones only those that join two
+    roots are held, as joining the rest later gives the same forest.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, at in whole_groups(batches, ["token", "i", "j"], 20_000):
-            key, n, root, block, i, j = (table[c].to_numpy() for c in ("key", "n", "root", "block", "i", "j"))
+        for table, at in whole_groups(batches, ["token", "i", "j"], 8_000):
+            key, n, root, block, i, j, token = (table[c].to_numpy() for c in ("key", "n", "root", "block", "i", "j", "token"))
+            refuted = _refuted(table)
             column = table["sketch"].combine_chunks() if isinstance(table["sketch"], pa.ChunkedArray) else table["sketch"]
             sketches = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in column]
             wide = np.array([len(v) for v in sketches])
@@ -294,38 +370,41 @@ def _compare(rule: Rule, closest: bool) -> Callable[[Iterator[pa.RecordBatch]],
                 m = np.flatnonzero(wide == w)
                 place[m] = np.arange(len(m))
                 stacks[w] = np.stack([sketches[v] for v in m])
-            xs, ys, ds = [], [], []
+            held = [np.zeros(0, np.int64)] * 3
+
+            def told(x: np.ndarray, y: np.ndarray, token: np.ndarray = token, key: np.ndarray = key) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array(token[x]), pa.array(np.maximum(key[x], key[y])), pa.array(np.minimum(key[x], key[y]))], ["token", "a", "b"])
+
+            def joined(held: list[np.ndarray], at: np.ndarray = at, root: np.ndarray = root, key: np.ndarray = key) -> list[np.ndarray]:
+                x, y, d = held
+                pick = _forest(x, y, d, np.searchsorted(at, x, side="right"), root, key)
+                return [x[pick], y[pick], d[pick]]
+
             for x, y in _pairs_within(at, len(key)):
                 pick = (root[x] != root[y]) & (key[x] != key[y]) & ((i[x] == j[x]) | (block[x] != block[y])) & (rule.den * np.minimum(n[x], n[y]) >= rule.num * np.maximum(n[x], n[y]))
                 x, y = x[pick], y[pick]
                 for w, v in {(int(w), int(v)) for w, v in zip(wide[x], wide[y], strict=True)}:
-                    own = (wide[x] == w) & (wide[y] == v)
-                    u, t = x[own], y[own]
-                    d = _apart(stacks[w][place[u]], stacks[v][place[t]])
-                    fine = (rule.den + rule.num) * d <= (rule.den - rule.num) * (n[u] + n[t])
-                    xs.append(u[fine])
-                    ys.append(t[fine])
-                    ds.append(d[fine])
-            x, y, d = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys, ds))
-            if not len(x):
-                continue
-            no = table["no"].to_pylist()
-            fine = np.array([not no[u] or int(key[t]) not in no[u] for u, t in zip(x.tolist(), y.tolist(), strict=True)])
-            x, y, d = x[fine], y[fine], d[fine]
-            group = np.searchsorted(at, x, side="right")
-            order = np.argsort(group, kind="stable")
-            x, y, d, group = x[order], y[order], d[order], group[order]
-            if closest:
-                parts = np.split(np.arange(len(x)), np.flatnonzero(np.diff(group)) + 1)
-                pick = np.array([part[p] for part in parts if len(part) for p in _forest(x[part], y[part], d[part], root, key)], dtype=np.int64)
-                x, y = x[pick], y[pick]
-            token = table["token"].to_numpy()[x]
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.maximum(key[x], key[y])), pa.array(np.minimum(key[x], key[y]))], ["token", "a", "b"])
+                    own = np.flatnonzero((wide[x] == w) & (wide[y] == v))
+                    for part in np.array_split(own, -(-len(own) * max(w, v) // 1_000_000)):
+                        u, t = x[part], y[part]
+                        d = _apart(stacks[w][place[u]], stacks[v][place[t]])
+                        fine = (rule.den + rule.num) * d <= (rule.den - rule.num) * (n[u] + n[t])
+                        u, t, d = u[fine], t[fine], d[fine]
+                        fine = ~refuted(np.where(key[u] > key[t], u, t), np.minimum(key[u], key[t]))
+                        held = [np.concatenate(p) for p in zip(held, (u[fine], t[fine], d[fine]), strict=True)]
+                if len(held[0]) > HELD:
+                    if closest:
+                        held = joined(held)
+                    else:
+                        yield told(*held[:2])
+                        held = [np.zeros(0, np.int64)] * 3
+            if len(held[0]):
+                yield told(*(joined(held) if closest else held)[:2])
 
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id: str = "doc_id", text: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id: str = "doc_id", text: str = "text", row: Column | None = None) -> DataFrame:
     """Groups of documents that links reach: ``doc_id, n_shingles, component_id`` for every row.
 
     A document's set holds the distinct runs of ``k`` words (ASCII lower case, ASCII white
@@ -338,15 +417,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     2. Light sets, up to a size chosen by cost from the counts of all sizes, enumerate
        their subsets of fixed sizes; a pair links only if it shares one. Heavy sets are
        found through inverted lists of their prefixes.
-    3. In each list, every member is paired with the list's smallest member only. Pairs
-       that pass exact bounds (sizes, parity sketches) are verified on whole sets, and
-       links are joined into components.
+    3. In each list, every member is paired with the list's smallest member only. Of a token
+       that a batch of texts holds often, the batch's members are paired with their own smallest
+       one, and that one alone goes to the list for all, so a token that a third of all texts
+       hold has a list of batches, not of texts. Pairs that pass exact bounds (sizes, parity
+       sketches) are verified on whole sets, and links are joined into components.
     4. Lists whose members now lie in one component are done: nothing in them can change the
-       result. In the others all pairs across components are compared by the exact bounds, in
-       blocks of 512 members by 512. Of those that pass, the closest that would join all
-       members of a block are verified first, less than it has members; then, in lists that
-       had any, all pairs that still pass and lie across components, until there are none.
-       So no link between different texts is missed, whatever the length of a list.
+       result. In the others, members outside the list's largest component are compared by the
+       exact bounds with all members of other components, in blocks of 512 by 512; a
+       list of which nearly all is joined is read about twice. Of the pairs that pass, the
+       closest that would join all members of two blocks are verified first, less than they have
+       members; then, in lists that had any, all pairs that still pass and lie across
+       components, until there are none. So no link between different texts is missed, whatever
+       the length of a list.
+
+    With ``row``, a 64-bit key of the rows, it comes back as a column, and ``root`` with it: the same
+    for all rows of a group, whatever their ids, and null for rows without words.
 
     Sets are recomputed from the texts where they are needed rather than moved about. A null
     text is empty; repeated rows are kept; a null id is ignored in the smallest id; other
@@ -355,23 +441,22 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     spark: SparkSession = docs.sparkSession
     importable(spark)
     rule = Rule(k, num, den)
-    texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    prints = keep(texts.mapInArrow(_fingerprints(k), "doc_id long, n long, key long, sketch binary"), "prints")
+    texts = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), (F.lit(None) if row is None else row).cast("long").alias("row"))
+    prints = keep(texts.mapInArrow(_fingerprints(k), "doc_id long, row long, n long, key long, sketch binary"), "prints")
     classes = keep(prints.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     sizes = {r["n"]: r["count"] for r in classes.where("n < 64").groupBy("n").count().collect()}
     light = boundary(rule, sizes)
     only = texts.select("text")
-    schema = "token long, key long, n long"
-    counted = only.mapInArrow(_postings(rule, light, None), schema).groupBy("token").count().where(F.col("count") > FREQUENT)
+    counted = only.mapInArrow(_postings(rule, light, None), "token long").groupBy("token").count().where(F.col("count") > FREQUENT)
     often = counted.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT).select("token").toArrow()["token"].to_numpy()
     frequent = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)) if len(often) else np.zeros(0, np.uint64))
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _postings(rule, light, frequent.value)(batches)
 
-    in_list = Window.partitionBy("token").orderBy("key")
-    lists = only.mapInArrow(postings, schema).withColumn("hub", F.first("key").over(in_list)).withColumn("hub_n", F.first("n").over(in_list))
-    members = keep(lists.where("hub <> key"), "lists")
+    in_list = Window.partitionBy("token", "salt").orderBy("key")
+    lists = only.mapInArrow(postings, "token long, salt long, key long, n long").withColumn("hub", F.first("key").over(in_list)).withColumn("hub_n", F.first("n").over(in_list))
+    members = keep(lists.where("hub <> key").drop("salt"), "lists")
     sketches = classes.select("key", "sketch")
     stars = members.where(f"{den} * least(n, hub_n) >= {num} * greatest(n, hub_n)").select(F.col("key").alias("a"), F.col("hub").alias("b"), "n", "hub_n").distinct()
     seen = stars.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("key").alias("b"), F.col("sketch").alias("y")), "b")
@@ -383,10 +468,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     refuted, closest = close.join(links, ["a", "b"], "left_anti"), True
     while True:
         rooted = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        split = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low <> high").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        shares = rooted.groupBy("token", "root").agg(F.count("*").alias("size"))
+        split = shares.groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.max("size").alias("inside"), F.sum("size").alias("size"), F.count("*").alias("roots")).where("roots > 1")
+        split = split.select("token", "most", F.ceil((F.col("size") - F.col("inside")) / BLOCK).cast("int").alias("outer"), F.ceil(F.col("inside") / BLOCK).cast("int").alias("inner"))
         open_ = keep(rooted.join(split, "token"), "open")
-        no = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("no"))
-        parts = open_.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).join(sketches, "key").join(no, "key", "left").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        # Outsiders lie in blocks before those of the largest component, whose members meet outsiders only.
+        outside, mixed = F.col("root") != F.col("most"), F.xxhash64("key")
+        block = F.when(outside, F.pmod(mixed, F.col("outer"))).otherwise(F.col("outer") + F.pmod(mixed, F.col("inner"))).cast("int")
+        last = F.when(outside, F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
+        no = refuted.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("no"))
+        parts = open_.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last))).join(sketches, "key").join(no, "key", "left")
         parts = parts.select("token", "key", "n", "root", "block", "sketch", "no", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
         order = ["token", "i", "j"]
         candidates = keep(parts.repartition(*order).sortWithinPartitions(*order).mapInArrow(_compare(rule, closest), "token long, a long, b long"), "candidates")
@@ -402,6 +493,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
 
     named = classes.select("key", "least_id").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(smallest, "root").select("key", "component_id")
-    out = prints.select("doc_id", "n", "key").join(of_class, "key", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    of_class = named.join(smallest, "root").select("key", "component_id", "root")
+    out = prints.select("doc_id", "row", "n", "key").join(of_class, "key", "left")
+    own = ["row", "root"] if row is not None else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *own)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bytes of text of either label to learn from, at most.
+LEARN_BYTES = 64_000_000
+
 
 def fold(id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
@@ -17,7 +20,14 @@ def sample_ids(labels: DataFrame, label: str, value: int, learn: Column, most: i
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).withColumn("label", F.lit(value))
 
 
-def sample_documents(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> DataFrame:
-    """``doc_id, text, label`` of at most ``most`` learning documents for each of the labels 0 and 1."""
+def sample_documents(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int, most_bytes: int = LEARN_BYTES) -> DataFrame:
+    """``doc_id, text, label`` of at most ``most`` learning documents for each of the labels 0 and 1.
+
+    Of these, in the order of a hash of the id, as many whole texts as have ``most_bytes`` bytes for
+    a label; so what a driver collects is bounded in rows and in bytes.
+    """
     ids = sample_ids(labels, label, 0, learn, most).unionByName(sample_ids(labels, label, 1, learn, most))
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")).join(F.broadcast(ids), "doc_id")
+    upto = F.sum("size").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
+    fit = sizes.withColumn("upto", upto).groupBy("doc_id", "label").agg(F.max("upto").alias("upto")).where(F.col("upto") <= most_bytes).select("doc_id", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(fit), "doc_id")

@@ -11,11 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary folder only where that is unset in local mode (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", "")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found.rstrip("/") if found else f"file://{tempfile.gettempdir()}/tarnlake-scratch"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

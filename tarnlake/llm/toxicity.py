@@ -22,14 +22,13 @@ from tarnlake.llm.words import lower, span_hashes, text_runs, word_spans
 #: Documents of either label to learn from, at most.
 LEARN_DOCS = 2000
 #: Bytes of the ordinary dictionary and, at most, of what is toxic in the other.
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
-LEVEL, GRAM, LONGEST, MANY, MOST_GAIN, STORE_WORDS = 9, 4, 9, 6, 12, 500_000
+ORDINARY_BYTES, TOXIC_BYTES = 6144, 4096
+LEVEL, GRAM, LONGEST, MANY, MOST_GAIN, STORE_WORDS = 9, 4, 9, 6, 12, 100_000
 #: A count is no chance when its Poisson log likelihood ratio is so large.
 UNLIKELY = 15.0
 #: Classes of a gain for its window's length.
 COVERS = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
-_stores: dict[bytes, dict[int, int]] = {}
 
 
 @dataclass(frozen=True)
@@ -167,7 +166,7 @@ def fit_toxicity(texts: list[str], labels: list[int]) -> ToxicityModel:
         return none
     samples = [p for t in ordinary for p in re.findall(rb"(?s).{1,60}", t.lower().encode())]
     try:
-        shared = zstandard.train_dictionary(ORDINARY_BYTES, samples[:50_000], level=3).as_bytes()[-ORDINARY_BYTES * 3 // 4 :]
+        shared = zstandard.train_dictionary(ORDINARY_BYTES, samples, level=3).as_bytes()
     except zstandard.ZstdError:  # too little text to train on: take it as it is
         shared = b" ".join(samples)[-ORDINARY_BYTES:]
     # The toxic stretches take the place of bytes that no text holds, so all else lies at the same distance in both.
@@ -188,7 +187,7 @@ def fit_toxicity(texts: list[str], labels: list[int]) -> ToxicityModel:
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int = LEARN_DOCS) -> ToxicityModel:
-    """Fit on at most ``most`` learning documents of either label (the documented bound); all of their text is used."""
+    """Fit on at most ``most`` learning documents of either label, of at most LEARN_BYTES (the documented bound); all of their text is used."""
     found = sorted((x["doc_id"], x["text"] or "", x["label"]) for x in sample_documents(docs, labels, "toxic", learn, most).collect())
     return fit_toxicity([x[1] for x in found], [x[2] for x in found])
 
@@ -201,7 +200,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id: str = "doc_id", te
     importable(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gain, known = model.kinds(), _stores.setdefault(model.toxic + model.ordinary, {})
+        gain, known = model.kinds(), {}
         for batch in batches:
             found = [model.scores(data, offsets, gain, known) for _, data, offsets in text_runs(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(np.concatenate(found or [np.zeros(0)]))], ["doc_id", "score"])
@@ -210,12 +209,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id: str = "doc_id", te
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel, out: str, text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` and their score as the new column ``out``."""
+    """All rows and columns of ``docs`` and their score as the new column ``out``, a name that ``docs`` doesn't have."""
     importable(docs.sparkSession)
     schema = StructType([*docs.schema.fields, StructField(out, DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gain, known = model.kinds(), _stores.setdefault(model.toxic + model.ordinary, {})
+        gain, known = model.kinds(), {}
         for batch in batches:
             found = [model.scores(data, offsets, gain, known) for _, data, offsets in text_runs(batch[text])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found or [np.zeros(0)]))], [*batch.schema.names, out])

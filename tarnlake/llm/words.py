@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are taken in runs of about so many bytes (one text at least), which bounds memory.
-RUN_BYTES = 2_000_000
+RUN_BYTES = 500_000
 _P = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_P, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
