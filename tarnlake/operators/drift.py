@@ -8,60 +8,101 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarnlake.functions.columns import ratio, wilson
+from tarnlake.functions.ranks import cumulated, quantiles
 
 FLOOR, BINS = 1e-4, 10
 
 
-def psi_number(train: DataFrame, prod: DataFrame, column: str) -> DataFrame:
-    """Population stability index over right-closed bins at the training deciles; missing values are a bin of their own."""
-    edges = train.agg(F.array_distinct(F.percentile(column, F.array(*[F.lit(i / BINS) for i in range(1, BINS)]))).alias("edges"))
-    both = train.select(F.col(column).cast("double").alias("x"), F.lit(0).alias("side")).unionByName(prod.select(F.col(column).cast("double").alias("x"), F.lit(1).alias("side")))
-    bin_ = F.when(F.col("x").isNull() | F.isnan("x"), -1).otherwise(F.size(F.filter("edges", lambda e: e < F.col("x"))))
-    return _psi(both.crossJoin(F.broadcast(edges)).select("side", bin_.cast("string").alias("bin")), column)
+#: Upper bounds of the index, each with what it says up to there; beyond the last one a feature has shifted.
+STEADY, BEYOND = ((0.1, False, "stable"), (0.25, True, "watch")), "shifted"
+#: How far a flag's rate may lie from training before that matters, if it lies outside the interval.
+MATERIAL = 0.05
 
 
-def psi_category(train: DataFrame, prod: DataFrame, column: str) -> DataFrame:
-    """The same over categories; those that training never saw share one bin."""
-    known = train.select(F.col(column).cast("string").alias("bin")).distinct().withColumn("seen", F.lit(True))
-    both = train.select(F.coalesce(F.col(column).cast("string"), F.lit("<missing>")).alias("bin"), F.lit(0).alias("side")).unionByName(prod.select(F.coalesce(F.col(column).cast("string"), F.lit("<missing>")).alias("bin"), F.lit(1).alias("side")))
-    return _psi(both.join(known.fillna("<missing>", ["bin"]), "bin", "left").select("side", F.when(F.col("seen"), F.col("bin")).otherwise("<unseen>").alias("bin")), column)
+def unpivoted(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """``feature, number, label`` of every row and feature: numbers as doubles, the rest as text."""
+    one = [F.struct(F.lit(f).alias("feature"), (F.col(f).cast("double") if k == "number" else F.lit(None).cast("double")).alias("number"), (F.lit(None).cast("string") if k == "number" else F.col(f).cast("string")).alias("label")) for f, k in kinds.items()]
+    return rows.select("production", F.explode(F.array(*one)).alias("v")).select("production", "v.*")
 
 
-def _psi(binned: DataFrame, feature: str) -> DataFrame:
-    whole = Window.partitionBy()
-    n = binned.groupBy("bin").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
-    p, q = (F.greatest(F.col(c).cast("double") / F.sum(c).over(whole), F.lit(FLOOR)) for c in ("a", "b"))
-    shares = n.select(p.alias("p"), q.alias("q"))
-    return shares.agg(F.lit(feature).alias("feature"), F.sum((F.col("q") - F.col("p")) * F.log(F.col("q") / F.col("p"))).alias("psi"))
+def counted_bins(train: DataFrame, prod: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """``feature, bin, before, now``: rows of both sides in every bin of every feature, in one grouped pass.
+
+    Numbers fall into right-closed bins at training's deciles; a missing number has a bin of its own.
+    A missing label is a label; labels that training never had lie in one bin.
+    """
+    numeric = [f for f, k in kinds.items() if k == "number"]
+    both = train.withColumn("production", F.lit(False)).unionByName(prod.withColumn("production", F.lit(True)), allowMissingColumns=True)
+    values = unpivoted(both, kinds)
+    for f in numeric:
+        deciles = quantiles(train, F.col(f), [i / BINS for i in range(1, BINS)]).select(F.array_distinct("quantiles").alias(f"_{f}"))
+        values = values.crossJoin(F.broadcast(deciles))
+    number = F.lit(None).cast("string")
+    for f in numeric:
+        x = F.col("number")
+        number = F.when(F.col("feature") == f, F.when(x.isNull() | F.isnan(x), "none").otherwise(F.size(F.filter(f"_{f}", lambda e: e < x)).cast("string"))).otherwise(number)
+    bins = values.withColumn("bin", F.when(F.col("feature").isin(numeric), number).otherwise(F.coalesce("label", F.lit("<missing>"))))
+    counts = bins.groupBy("feature", "bin").agg(F.count_if(~F.col("production")).alias("before"), F.count_if("production").alias("now"))
+    known = F.col("feature").isin(numeric) | (F.col("before") > 0)
+    return counts.groupBy("feature", F.when(known, F.col("bin")).otherwise("<unseen>").alias("bin")).agg(F.sum("before").alias("before"), F.sum("now").alias("now"))
+
+
+def stability(counts: DataFrame) -> DataFrame:
+    """``feature, psi``: how far the shares of the bins moved."""
+    whole = Window.partitionBy("feature")
+    share = lambda c: F.greatest(F.col(c).cast("double") / F.sum(c).over(whole), F.lit(FLOOR))
+    moved = counts.select("feature", share("before").alias("p"), share("now").alias("q"))
+    return moved.groupBy("feature").agg(F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi"))
+
+
+def psi(train: DataFrame, prod: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """``feature, psi`` for numbers and categories."""
+    return stability(counted_bins(train, prod, kinds))
 
 
 def status(value: Column) -> Column:
-    return F.when(value < 0.1, "stable").when(value <= 0.25, "watch").otherwise("shifted")
+    """What the bounds say of an index."""
+    said = F.lit(BEYOND)
+    for bound, closed, word in reversed(STEADY):
+        said = F.when(value <= bound if closed else value < bound, word).otherwise(said)
+    return said
 
 
 def interval_status(reference: Column, k: Column, n: Column) -> Column:
-    low, high = wilson(k, n)
-    return F.when(reference.between(low, high), "stable").otherwise("shifted")
+    """Stable while the reference rate lies in the interval of k out of n."""
+    return F.when(reference.between(*wilson(k, n)), STEADY[0][2]).otherwise(BEYOND)
 
 
-def rate_status(reference: Column, k: Column, n: Column, material: float = 0.05) -> Column:
-    far = F.abs(ratio(k, n) - reference) >= material
-    return F.when(interval_status(reference, k, n) == "stable", "stable").when(far, "shifted").otherwise("watch")
+def rate_status(reference: Column, k: Column, n: Column, material: float = MATERIAL) -> Column:
+    """As :func:`interval_status`, but only to be watched while the rate is near the reference."""
+    near = F.abs(ratio(k, n) - reference) < material
+    return F.when(reference.between(*wilson(k, n)), STEADY[0][2]).when(near, STEADY[1][2]).otherwise(BEYOND)
 
 
 def drift_report(train: DataFrame, prod: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """One row per feature; a flag's status comes from its rate, since the index hardly moves on 0/1."""
-    rows = []
-    for feature, kind in kinds.items():
-        one = (psi_number if kind == "number" else psi_category)(train, prod, feature)
-        if kind == "flag":
-            ref = train.agg(F.avg(F.col(feature).cast("double")).alias("ref"))
-            now = prod.agg(F.count_if(feature).alias("k"), F.count("*").alias("n"))
-            one = one.crossJoin(ref).crossJoin(now).select("feature", "psi", rate_status(F.col("ref"), F.col("k"), F.col("n")).alias("status"))
-        else:
-            one = one.withColumn("status", status(F.col("psi")))
-        rows.append(one)
-    return reduce(DataFrame.unionByName, rows)
+    """``feature, psi, status``, every feature from the same pass over both sides.
+
+    The index of a yes/no feature is nearly blind to changes of a rate, so such a feature is judged
+    by its production rate against training's.
+    """
+    counts = counted_bins(train, prod, kinds)
+    yes = F.col("bin") == "true"
+    rates = counts.groupBy("feature").agg(*[F.sum(F.when(c, F.col(v))).cast("double").alias(a) for a, c, v in (("hit", yes, "before"), ("all", F.lit(True), "before"), ("k", yes, "now"), ("n", F.lit(True), "now"))]).fillna(0.0, ["hit", "k"])
+    flags = F.col("feature").isin([f for f, k in kinds.items() if k == "flag"])
+    told = F.when(flags, rate_status(ratio(F.col("hit"), F.col("all")), F.col("k"), F.col("n"))).otherwise(status(F.col("psi")))
+    return stability(counts).join(rates, "feature").select("feature", "psi", told.alias("status"))
+
+
+def unseen_categories(train: DataFrame, prod: DataFrame, column: str) -> DataFrame:
+    """``category, rows, share`` of production rows whose category training never had."""
+    counts = counted_categories(train, prod, column)
+    total = F.sum("now").over(Window.partitionBy(F.lit(0)))
+    return counts.withColumn("share", F.col("now") / total).where("before = 0 AND now > 0").select("category", F.col("now").alias("rows"), "share")
+
+
+def counted_categories(train: DataFrame, prod: DataFrame, column: str) -> DataFrame:
+    both = train.select(F.col(column).alias("category"), F.lit(False).alias("production")).unionByName(prod.select(F.col(column).alias("category"), F.lit(True).alias("production")))
+    return both.groupBy("category").agg(F.count_if(~F.col("production")).alias("before"), F.count_if("production").alias("now"))
 
 
 def time_split(signals: DataFrame, start: str, boundary: str, cutoff: str) -> DataFrame:
@@ -73,16 +114,14 @@ def time_split(signals: DataFrame, start: str, boundary: str, cutoff: str) -> Da
 
 def average_precision(scored: DataFrame, score: str, hit: str) -> DataFrame:
     """Area under the steps of the precision-recall curve; rows of one score enter together."""
-    g = scored.groupBy(F.col(score).alias("s")).agg(F.count("*").alias("n"), F.count_if(hit).alias("k"))
-    upto = Window.orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy()
-    g = g.withColumn("rank", F.sum("n").over(upto)).withColumn("tp", F.sum("k").over(upto)).withColumn("all", F.sum("k").over(total))
-    return g.agg(F.sum(F.col("k") / F.col("all") * F.col("tp") / F.col("rank")).alias("average_precision"))
+    g = scored.groupBy(F.col(score).cast("double").alias("s")).agg(F.count("*").alias("n"), F.count_if(hit).alias("k"))
+    steps = cumulated(g, "s", ["n", "k"], descending=True)
+    return steps.agg((F.sum(F.col("k") * F.col("upto_k") / F.col("upto_n")) / F.sum("k")).alias("average_precision"))
 
 
 def threshold(scored: DataFrame, score: str, share: float) -> DataFrame:
     """The score above which ``share`` of the rows lies."""
-    return scored.agg(F.percentile(score, F.lit(1.0 - share)).alias("cutoff"))
+    return quantiles(scored, F.col(score), [1.0 - share]).select(F.col("quantiles")[0].alias("cutoff"))
 
 
 def recall_at(scored: DataFrame, score: str, hit: str, k: int, id: str) -> DataFrame:
@@ -92,29 +131,76 @@ def recall_at(scored: DataFrame, score: str, hit: str, k: int, id: str) -> DataF
 
 
 def evaluate(scored: DataFrame, score: str, hit: str, probability: str, budget: float, groups: dict[str, Column]) -> DataFrame:
-    """Per group of rows: how many would be flagged, caught and missed under one cutoff, and the Brier score."""
-    cut = threshold(scored, score, budget)
-    rows = scored.crossJoin(F.broadcast(cut)).withColumn("flag", F.col(score) > F.col("cutoff"))
+    """Per group of rows: flagged hits and misses under one cutoff for all, recall with its interval, average precision and Brier score."""
+    rows = scored.crossJoin(F.broadcast(threshold(scored, score, budget))).withColumn("flag", F.col(score) > F.col("cutoff"))
+    own = rows.withColumn("rows", F.explode(F.array_compact(F.array(*[F.when(test, name) for name, test in groups.items()]))))
     y = F.when(F.col(hit), 1.0).otherwise(0.0)
-    one = lambda name, keep: rows.where(keep).agg(F.lit(name).alias("rows"), F.count("*").alias("n"), F.count_if(hit).alias("hits"), F.count_if(F.col("flag") & F.col(hit)).alias("caught"), F.count_if(~F.col("flag") & F.col(hit)).alias("missed"), F.avg(F.pow(F.col(probability) - y, F.lit(2))).alias("brier"))
-    return reduce(DataFrame.unionByName, [one(k, v) for k, v in groups.items()])
+    counts = own.groupBy("rows").agg(F.count("*").alias("n"), F.count_if(hit).alias("hits"), F.count_if(F.col("flag") & F.col(hit)).alias("caught"), F.count_if(~F.col("flag") & F.col(hit)).alias("missed"), F.avg(F.pow(F.col(probability) - y, F.lit(2))).alias("brier"))
+    precision = reduce(DataFrame.unionByName, [average_precision(scored.where(test), score, hit).withColumn("rows", F.lit(name)) for name, test in groups.items()])
+    low, high = wilson(F.col("caught"), F.col("hits"))
+    return counts.join(F.broadcast(precision), "rows").withColumns({"recall": ratio(F.col("caught"), F.col("hits")), "recall_low": low, "recall_high": high})
+
 
+#: Cumulative chances of a Poisson(1) count of 0, 1, 2, ...; fixed values.
+POISSON = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183]
+RESAMPLES = 1000
 
-def cluster_bootstrap(scored: DataFrame, key: str, value: Column, resamples: int, seed: int = 7) -> DataFrame:
-    """2.5, 50 and 97.5 percentiles of a mean over resamples of whole clusters.
 
-    Instead of drawing clusters with replacement, each cluster gets a Poisson(1) weight per
-    resample from a hash of (seed, resample, cluster), so nothing is materialised but
-    one sum and one count per cluster.
+def resampled(per: DataFrame, key: str, sums: list[str], resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
+    """``b`` and the weighted totals of ``sums`` for every resample of whole clusters (one row of ``per`` each).
+
+    Instead of drawing clusters with replacement, each cluster gets a Poisson(1) weight per resample
+    from a hash of (seed, resample, cluster), so a rerun draws the same. A task takes a share of the
+    clusters through all resamples and sends one row per resample on.
     """
-    per = scored.groupBy(key).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
     u = F.pmod(F.xxhash64(F.lit(seed), "b", key), F.lit(1 << 30)).cast("double") / (1 << 30)
-    steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183]
-    weight = reduce(lambda x, y: x + y, [(u >= s).cast("int") for s in steps])
+    weight = reduce(lambda x, y: x + y, [(u >= s).cast("int") for s in POISSON])
     drawn = per.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("w", weight)
-    means = drawn.groupBy("b").agg((F.sum(F.col("w") * F.col("s")) / F.sum(F.col("w") * F.col("n"))).alias("m"))
-    q = F.percentile("m", F.array(*[F.lit(x) for x in (0.025, 0.5, 0.975)]))
-    return means.agg(q.alias("q")).select(F.col("q")[0].alias("low"), F.col("q")[1].alias("mid"), F.col("q")[2].alias("high"))
+    return drawn.groupBy("b").agg(*[F.sum(F.col("w") * F.col(s)).alias(s) for s in sums])
+
+
+def interval(draws: DataFrame, value: Column) -> DataFrame:
+    """2.5, 50 and 97.5 percentiles over resamples, of which there are a fixed number."""
+    q = draws.agg(F.percentile(value, F.array(*[F.lit(x) for x in (0.025, 0.5, 0.975)])).alias("q"))
+    return q.select(F.col("q")[0].alias("low"), F.col("q")[1].alias("mid"), F.col("q")[2].alias("high"))
+
+
+def cluster_bootstrap(scored: DataFrame, key: str, first: Column, second: Column, resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
+    """The interval of the difference between two scorers' means, over resamples of whole clusters."""
+    per = scored.groupBy(key).agg(F.sum(first).alias("a"), F.sum(second).alias("b_"), F.count(first).alias("n"))
+    draws = resampled(per, key, ["a", "b_", "n"], resamples, seed)
+    return interval(draws, (F.col("a") - F.col("b_")) / F.col("n"))
+
+
+def cut_bootstrap(scored: DataFrame, key: str, score: str, rule: Column, hit: str, share: float, resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
+    """The interval of the score's recall at its cutoff (``share`` of the rows) less the rule's, over resamples of whole clusters.
+
+    The rule flags more rows than the cutoff; thinned at random to as many, it would catch the same share
+    of its hits as it keeps of its flags, so that its recall needs no drawing.
+    """
+    rows = scored.crossJoin(F.broadcast(threshold(scored, score, share)))
+    one = lambda test: F.sum(test.cast("double"))
+    flag, good = F.col(score) > F.col("cutoff"), F.col(hit)
+    per = rows.groupBy(key).agg(one(flag).alias("flags"), one(rule).alias("ruled"), one(flag & good).alias("caught"), one(rule & good).alias("by_rule"), one(good).alias("hits"))
+    draws = resampled(per, key, ["flags", "ruled", "caught", "by_rule", "hits"], resamples, seed)
+    thinned = F.col("by_rule") * F.least(F.lit(1.0), F.try_divide(F.col("flags"), F.col("ruled")))
+    return interval(draws, F.try_divide(F.col("caught") - F.coalesce(thinned, F.lit(0.0)), F.col("hits")))
+
+
+def verdict(low: Column, hits: Column, least: int = 30) -> Column:
+    """A scorer beats another if the lower bound of their difference is above zero, given enough hits to tell."""
+    return F.when(hits < least, "too few").when(low > 0, "beats").otherwise("no better")
+
+
+def verdicts(scored: DataFrame, group: str, key: str, first: Column, second: Column, hit: str, resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
+    """``group, low, hits, verdict``: per group, whether ``second``'s mean error is surely below ``first``'s."""
+    u = F.pmod(F.xxhash64(F.lit(seed), "b", key), F.lit(1 << 30)).cast("double") / (1 << 30)
+    per = scored.groupBy(group, key).agg(F.sum(first - second).alias("gain"), F.count("*").alias("n"))
+    drawn = per.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("w", reduce(lambda x, y: x + y, [(u >= s).cast("int") for s in POISSON]))
+    draws = drawn.groupBy(group, "b").agg((F.sum(F.col("w") * F.col("gain")) / F.sum(F.col("w") * F.col("n"))).alias("d"))
+    bounds = draws.groupBy(group).agg(F.percentile("d", F.lit(0.025)).alias("low"))
+    hits = scored.groupBy(group).agg(F.count_if(hit).alias("hits"))
+    return bounds.join(hits, group).select(group, "low", "hits", verdict(F.col("low"), F.col("hits")).alias("verdict"))
 
 
 def windows(as_of: Column, months: int = 12, known_after: int = 30) -> dict[str, Column]:

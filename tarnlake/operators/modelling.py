@@ -40,8 +40,8 @@ def features(signals: DataFrame, rare: dict[str, list[str]] | None = None) -> Da
 
 
 def frequent(train: DataFrame, least: int = 20) -> dict[str, list[str]]:
-    """Categories with at least ``least`` training rows; others, and unseen ones, are infrequent."""
-    return {c: [r[c] for r in train.groupBy(c).count().where(F.col("count") >= least).orderBy(F.desc("count"), c).limit(1000).collect() if r[c] is not None] for c in CATEGORIES}
+    """Categories with at least ``least`` training rows; others, and unseen ones, are infrequent. The list is as long as the feature vector is wide."""
+    return {c: [r[c] for r in train.groupBy(c).count().where(F.col("count") >= least).orderBy(F.desc("count"), c).collect() if r[c] is not None] for c in CATEGORIES}
 
 
 def pipeline(kind: str = "logistic") -> Pipeline:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -76,20 +76,55 @@ def contract(df: DataFrame, declared: StructType) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in declared.fields if have.get(f.name) != f.dataType.simpleString()]
 
 
+NUMBERS = {"double", "float", "decimal", "integer", "long", "short", "byte"}
+
+
+def _folded(df: DataFrame, letter: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Columns named by place, texts without case or outer blanks and numbers as doubles; the names of either."""
+    names = [f"{letter}{i}" for i in range(len(df.columns))]
+    number = [f.dataType.typeName() in NUMBERS for f in df.schema.fields]
+    columns = [F.col(f"`{f.name}`").cast("double") if n else F.lower(F.trim(F.col(f"`{f.name}`").cast("string"))) for f, n in zip(df.schema.fields, number, strict=True)]
+    out = df.select(*[c.alias(x) for c, x in zip(columns, names, strict=True)])
+    return out, [x for x, n in zip(names, number, strict=True) if not n], [x for x, n in zip(names, number, strict=True) if n]
+
+
+def _summary(df: DataFrame, texts: list[str], numbers: list[str]) -> dict[str, tuple]:
+    """Per column, what doesn't depend on the order of rows: of a text its rows and hashes, of a number its rows, extremes and sum."""
+    one = [F.struct(F.count(x), F.sum(F.xxhash64(x).cast("decimal(38,0)"))).alias(x) for x in texts] + [F.struct(F.count(x), F.min(x), F.max(x), F.sum(x)).alias(x) for x in numbers]
+    row = df.agg(*one, F.count("*").alias("rows")).first()
+    return {x: tuple(row[x]) for x in [*texts, *numbers]} | {"": (row["rows"],)}
+
+
 def same_results(expected: DataFrame, actual: DataFrame, within: float = 0.005) -> DataFrame:
-    """Whether two results hold the same rows, as one row ``same``: numbers to ``within``, texts folded, rows in any order.
+    """Whether two results hold the same rows, as one row ``same``.
 
-    Columns are matched by place after the frame's own order; numbers are compared as
-    multiples of twice ``within``, which also splits pairs that straddle an edge.
+    Rows and columns come in any order, and ``actual`` may have more columns. Texts are compared without
+    case or outer blanks, numbers up to ``within``. A column is paired with the first free one of
+    its kind whose values agree as a whole. Then rows of equal texts are sorted by their
+    numbers on both sides and compared place by place, so no edge of a grid splits a pair.
     """
-    def folded(df: DataFrame) -> DataFrame:
-        out = []
-        for i, f in enumerate(df.schema.fields):
-            c = F.col(f"`{f.name}`")
-            number = f.dataType.typeName() in {"double", "float", "decimal", "integer", "long", "short", "byte"}
-            out.append((F.round(c.cast("double") / (2 * within)) if number else F.lower(F.trim(c.cast("string")))).cast("string").alias(f"c{i}"))
-        return df.select(*out)
-
-    if len(expected.columns) != len(actual.columns):
-        return expected.sparkSession.createDataFrame([(False,)], "same boolean")
-    return reconcile(folded(expected), folded(actual)).select(((F.col("only_left") == 0) & (F.col("only_right") == 0)).alias("same"))
+    spark = expected.sparkSession
+    (left, left_texts, left_numbers), (right, right_texts, right_numbers) = _folded(expected, "x"), _folded(actual, "y")
+    mine, other = _summary(left, left_texts, left_numbers), _summary(right, right_texts, right_numbers)
+
+    def near(a: tuple, b: tuple) -> bool:
+        rows = max(a[0], 1)
+        return a[0] == b[0] and all(p == q or None not in (p, q) and abs(p - q) <= t for p, q, t in zip(a[1:], b[1:], (within, within, within * rows), strict=True))
+
+    pairs: list[tuple[str, str]] = []
+    for x in [*left_texts, *left_numbers]:
+        text = x in left_texts
+        free = [y for y in (right_texts if text else right_numbers) if y not in {q for _, q in pairs}]
+        pairs += [(x, y) for y in free if (mine[x] == other[y] if text else near(mine[x], other[y]))][:1]
+    if len(pairs) < len(left.columns) or mine[""] != other[""]:
+        return spark.createDataFrame([(False,)], "same boolean")
+    texts, numbers = ([(x, y) for x, y in pairs if (x in left_texts) == t] for t in (True, False))
+
+    def placed(df: DataFrame, side: int) -> DataFrame:
+        key = F.xxhash64(F.lit(0), *[p[side] for p in texts])
+        place = F.row_number().over(Window.partitionBy("key").orderBy(*[F.asc_nulls_first(p[side]) for p in numbers] or [F.lit(0)]))
+        return df.withColumn("key", key).withColumn("place", place).select("key", "place", *[p[side] for p in pairs])
+
+    both = placed(left, 0).join(placed(right, 1), ["key", "place"], "full")
+    fits = [F.col(x).eqNullSafe(F.col(y)) for x, y in texts] + [F.coalesce(F.abs(F.col(x) - F.col(y)) <= within, F.col(x).isNull() & F.col(y).isNull()) for x, y in numbers]
+    return both.agg(F.coalesce(F.bool_and(reduce(Column.__and__, fits)), F.lit(True)).alias("same"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tarnlake.functions import ranks
 from tarnlake.functions import columns as c
 from tarnlake.plans.registry import query
 from tarnlake.plans.sql_views import DAY
@@ -30,14 +31,6 @@ def src_note_profile(spark: SparkSession, d: str) -> DataFrame:
     return a.note(spark, d).agg(F.count("*").alias("notes"), F.sum(F.octet_length("note_text")).alias("bytes"), F.avg(size).alias("mean_chars"), F.max(size).cast("long").alias("max_chars"))
 
 
-@query("SELECT 'condition' AS entity, count(*) AS rows, count(DISTINCT code) AS codes, count(*)::DOUBLE / count(DISTINCT patient_id) AS per_patient FROM condition UNION ALL SELECT 'procedure', count(*), count(DISTINCT code), count(*)::DOUBLE / count(DISTINCT patient_id) FROM procedure")
-def src_profile(spark: SparkSession, d: str) -> DataFrame:
-    def one(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.lit(name).alias("entity"), F.count("*").alias("rows"), F.count_distinct("code").alias("codes"), c.ratio(F.count("*"), F.count_distinct("patient_id")).alias("per_patient"))
-
-    return one("condition", a.condition(spark, d)).unionByName(one("procedure", a.procedure(spark, d)))
-
-
 @query("SELECT 'patient' AS name, count(*) AS rows FROM patient UNION ALL SELECT 'encounter', count(*) FROM encounter UNION ALL SELECT 'condition', count(*) FROM condition UNION ALL SELECT 'procedure', count(*) FROM procedure UNION ALL SELECT 'observation', count(*) FROM observation")
 def src_layer_counts(spark: SparkSession, d: str) -> DataFrame:
     frames = {"patient": a.patient, "encounter": a.encounter, "condition": a.condition, "procedure": a.procedure, "observation": a.observation}
@@ -287,8 +280,8 @@ def ag_having(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT quantile_cont(value, 0.025) AS low, quantile_cont(value, 0.5) AS mid, quantile_cont(value, 0.975) AS high FROM observation")
 def ag_quantile(spark: SparkSession, d: str) -> DataFrame:
-    q = F.percentile("value", F.array(*[F.lit(x) for x in (0.025, 0.5, 0.975)]))
-    return a.observation(spark, d).agg(q.alias("q")).select(F.col("q")[0].alias("low"), F.col("q")[1].alias("mid"), F.col("q")[2].alias("high"))
+    q = ranks.quantiles(a.observation(spark, d), F.col("value"), [0.025, 0.5, 0.975])
+    return q.select(F.col("quantiles")[0].alias("low"), F.col("quantiles")[1].alias("mid"), F.col("quantiles")[2].alias("high"))
 
 
 @query("SELECT encounter_class, organization_id % 3 AS part, count(*) AS n FROM encounter GROUP BY ROLLUP (encounter_class, organization_id % 3)")
@@ -345,8 +338,9 @@ def wn_topk_stable(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT patient_id, death_date, CAST(row_number() OVER (ORDER BY death_date DESC NULLS LAST, patient_id) AS INT) AS r FROM patient")
 def so_order_nulls(spark: SparkSession, d: str) -> DataFrame:
-    order = Window.orderBy(F.desc_nulls_last("death_date"), "patient_id")
-    return a.patient(spark, d).select("patient_id", "death_date", F.row_number().over(order).alias("r"))
+    rows = a.patient(spark, d).select("patient_id", "death_date")
+    along = F.coalesce(-F.unix_date("death_date").cast("double"), 1e7 + F.col("patient_id"))  # those without a date after all others, by id
+    return ranks.numbered(rows, [F.desc_nulls_last("death_date"), F.asc("patient_id")], along, "r").withColumn("r", F.col("r").cast("int"))
 
 
 @query("SELECT patient_id, CAST(sum(total_cost) AS DECIMAL(24,2)) AS cost FROM encounter GROUP BY ALL ORDER BY cost DESC, patient_id LIMIT 10")

@@ -66,25 +66,47 @@ def ag_average_precision(spark: SparkSession, d: str) -> DataFrame:
     return op.average_precision(ruled(spark, d), "score", "outcome_readmitted")
 
 
-@query("""WITH c AS (SELECT *, score > (SELECT quantile_cont(score, 0.75) FROM ruled) AS flag FROM ruled), g AS (SELECT 'all' AS rows, * FROM c UNION ALL SELECT 'new', * FROM c WHERE prior_stays_12m = 0 UNION ALL SELECT 'returning', * FROM c WHERE prior_stays_12m > 0)
-SELECT rows, count(*) AS n, count_if(outcome_readmitted) AS hits, count_if(flag AND outcome_readmitted) AS caught, count_if(NOT flag AND outcome_readmitted) AS missed, avg(power(p - outcome_readmitted::INT, 2))::DOUBLE AS brier FROM g GROUP BY rows""")
+@query("""WITH c AS (SELECT *, score > (SELECT quantile_cont(score, 0.75) FROM ruled) AS flag FROM ruled), g AS (SELECT 'all' AS rows, * FROM c UNION ALL SELECT 'new', * FROM c WHERE prior_stays_12m = 0 UNION ALL SELECT 'returning', * FROM c WHERE prior_stays_12m > 0),
+s AS (SELECT rows, score, count(*) AS n, count_if(outcome_readmitted) AS k FROM g GROUP BY ALL),
+u AS (SELECT rows, k, sum(k) OVER w AS uk, sum(n) OVER w AS un, sum(k) OVER (PARTITION BY rows) AS t FROM s WINDOW w AS (PARTITION BY rows ORDER BY score DESC)),
+ap AS (SELECT rows, sum(k::DOUBLE * uk / un) / any_value(t) AS average_precision FROM u GROUP BY rows),
+e AS (SELECT rows, count(*) AS n, count_if(outcome_readmitted) AS hits, count_if(flag AND outcome_readmitted) AS caught, count_if(NOT flag AND outcome_readmitted) AS missed, avg(power(p - outcome_readmitted::INT, 2))::DOUBLE AS brier FROM g GROUP BY rows)
+SELECT rows, n, hits, caught, missed, caught::DOUBLE / nullif(hits, 0) AS recall, average_precision::DOUBLE AS average_precision, brier, """ + WILSON_LOW.replace("k", "caught::DOUBLE").replace("n", "hits") + " AS recall_low, " + WILSON_HIGH.replace("k", "caught::DOUBLE").replace("n", "hits") + """ AS recall_high FROM e JOIN ap USING (rows)""")
 def ml_evaluate(spark: SparkSession, d: str) -> DataFrame:
     prior = F.col("prior_stays_12m")
     return op.evaluate(ruled(spark, d), "score", "outcome_readmitted", "p", 0.25, {"all": F.lit(True), "new": prior == 0, "returning": prior > 0})
 
 
-@query("SELECT admit_year, CASE WHEN count_if(outcome_readmitted) < 30 THEN 'too few' WHEN count_if(outcome_readmitted)::DOUBLE / count(*) > 0.04 THEN 'beats' ELSE 'no better' END AS verdict FROM signal GROUP BY admit_year")
-def ml_verdict(spark: SparkSession, d: str) -> DataFrame:
-    g = signal(spark, d).groupBy("admit_year").agg(F.count_if("outcome_readmitted").alias("k"), F.count("*").alias("n"))
-    return g.select("admit_year", F.when(F.col("k") < 30, "too few").when(ratio(F.col("k"), F.col("n")) > 0.04, "beats").otherwise("no better").alias("verdict"))
+def _errors() -> tuple:
+    """Squared errors of two scorers: the training rate for all, and the rule's chance."""
+    y = F.col("outcome_readmitted").cast("double")
+    return F.pow(y - 0.1, F.lit(2)), F.pow(y - F.col("p"), F.lit(2))
 
 
 @query()
 def ml_cluster_bootstrap(spark: SparkSession, d: str) -> DataFrame:
-    return op.cluster_bootstrap(signal(spark, d), "patient_id", F.col("outcome_readmitted").cast("double"), 200)
+    """How much the rule's chances improve on one chance for all: the interval of the difference of mean squared errors."""
+    return op.cluster_bootstrap(ruled(spark, d), "patient_id", *_errors())
+
+
+@query()
+def ml_cut_bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    """The score's recall at its cutoff against the rule's, thinned to as many flags."""
+    rows = parts(spark, d).withColumn("score", (F.col("length_of_stay") * 10 + F.col("conditions_at_admit")).cast("double"))
+    return op.cut_bootstrap(rows, "patient_id", "score", F.col("length_of_stay") > 5, "outcome_readmitted", 0.1)
 
 
 @query()
+def ml_verdict(spark: SparkSession, d: str) -> DataFrame:
+    """Per year: does the rule beat one chance for all, by the lower bound of the bootstrap's interval?"""
+    return op.verdicts(ruled(spark, d), "admit_year", "patient_id", *_errors(), "outcome_readmitted")
+
+
+FEATURE_SQL = ", ".join(f"coalesce({c}, 3650)::DOUBLE AS {c}" if c == "days_since_last_discharge" else f"{c}::DOUBLE AS {c}" for c in [*ml.NUMBERS, *ml.FLAGS])
+KEPT_SQL = ", ".join(f"CASE WHEN {c} IN (SELECT {c} FROM part WHERE part = 'train' GROUP BY {c} HAVING count(*) >= 20) THEN {c} ELSE 'infrequent' END AS {c}" for c in ml.CATEGORIES)
+
+
+@query(f"SELECT patient_id, stay_no, {FEATURE_SQL}, {KEPT_SQL}, outcome_readmitted::DOUBLE AS label FROM part")
 def ml_features(spark: SparkSession, d: str) -> DataFrame:
     x = parts(spark, d)
     rows = ml.features(x, ml.frequent(x.where("part = 'train'")))
@@ -101,7 +123,7 @@ def ml_pipeline(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def ml_oof(spark: SparkSession, d: str) -> DataFrame:
     x = parts(spark, d).where("part = 'train'")
-    return ml.out_of_fold(ml.features(x, ml.frequent(x)), n=3).select("patient_id", "stay_no", "fold", "score")
+    return ml.out_of_fold(ml.features(x, ml.frequent(x))).select("patient_id", "stay_no", "fold", "score")
 
 
 VIEWS["edge"] = "SELECT list_distinct(quantile_cont(length_of_stay::DOUBLE, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges FROM part WHERE part = 'train'"
@@ -119,12 +141,12 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 @query("SELECT 'length_of_stay' AS feature, psi FROM psi_number UNION ALL SELECT 'admit_reason', psi FROM psi_reason")
 def dr_psi(spark: SparkSession, d: str) -> DataFrame:
     train, prod = _sides(spark, d)
-    return op.psi_number(train, prod, "length_of_stay").unionByName(op.psi_category(train, prod, "admit_reason"))
+    return op.psi(train, prod, {"length_of_stay": "number", "admit_reason": "category"})
 
 
 @query("SELECT CASE WHEN psi < 0.1 THEN 'stable' WHEN psi <= 0.25 THEN 'watch' ELSE 'shifted' END AS status FROM psi_number")
 def dr_status(spark: SparkSession, d: str) -> DataFrame:
-    return op.psi_number(*_sides(spark, d), "length_of_stay").select(op.status(F.col("psi")).alias("status"))
+    return op.psi(*_sides(spark, d), {"length_of_stay": "number"}).select(op.status(F.col("psi")).alias("status"))
 
 
 VIEWS["yearly"] = "SELECT admit_year, count(*)::DOUBLE AS n, count_if(outcome_readmitted)::DOUBLE AS k, (SELECT avg(outcome_readmitted::INT) FROM part WHERE part = 'train')::DOUBLE AS ref FROM signal GROUP BY admit_year"
@@ -160,14 +182,14 @@ def rt_shifted_features(spark: SparkSession, d: str) -> DataFrame:
     return dr_report(spark, d).where("status = 'shifted'").select("feature")
 
 
-@query("SELECT admit_reason, count_if(part = 'production') AS rows, count_if(part = 'production')::DOUBLE / sum(count_if(part = 'production')) OVER () AS share FROM part GROUP BY ALL HAVING count_if(part = 'train' AND admit_year < 1996) = 0 OR admit_reason = 'reason 5'")
-def dr_unseen_categories(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
+VIEWS["profiled"] = "SELECT *, admit_reason || ' / ' || gender || ' / ' || conditions_at_admit AS profile FROM part"
+
 
-    prod = F.col("part") == "production"
-    g = parts(spark, d).groupBy("admit_reason").agg(F.count_if(prod).alias("rows"), F.count_if((F.col("part") == "train") & (F.col("admit_year") < 1996)).alias("seen"))
-    g = g.where((F.col("seen") == 0) | (F.col("admit_reason") == "reason 5"))
-    return g.select("admit_reason", "rows", (F.col("rows") / F.sum("rows").over(Window.partitionBy())).alias("share"))
+@query("SELECT profile AS category, count_if(part = 'production') AS rows, count_if(part = 'production')::DOUBLE / (SELECT count(*) FROM part WHERE part = 'production') AS share FROM profiled WHERE part <> 'gap' GROUP BY profile HAVING count_if(part = 'train') = 0")
+def dr_unseen_categories(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles of reason, gender and number of conditions that production has and training never had."""
+    train, prod = (x.withColumn("profile", F.concat_ws(" / ", "admit_reason", "gender", F.col("conditions_at_admit").cast("string"))) for x in _sides(spark, d))
+    return op.unseen_categories(train, prod, "profile")
 
 
 @query("SELECT count_if(admit_day > DATE '1999-06-02' AND admit_day <= DATE '2000-06-02') AS check_stays, count_if(admit_day > DATE '1998-06-02' AND admit_day <= DATE '1999-06-02') AS cut_stays FROM signal")

@@ -144,14 +144,6 @@ def pv_pseudonymise(spark: SparkSession, d: str) -> DataFrame:
     return op.pseudonyms(g, "payer", F.col("n"), "Payer", ["BUILDING"]).select("payer", "pseudonym")
 
 
-@query("SELECT 'identifier without tag' AS problem, 'customer.c_name' AS subject FROM (SELECT 1 FROM customer LIMIT 1) UNION ALL SELECT 'tag without policy', 'orders.o_orderdate' FROM (SELECT 1 FROM orders LIMIT 1)")
-def pv_tag_drift(spark: SparkSession, d: str) -> DataFrame:
-    named = [(t, c) for t in ("customer", "orders") for c in a.table(spark, d, t).columns]
-    columns = spark.createDataFrame(named, "table_name string, column_name string")
-    tags = spark.createDataFrame([("customer", "c_acctbal", "income"), ("orders", "o_orderdate", "date")], "table_name string, column_name string, tag string")
-    return op.tag_drift(columns, tags, spark.createDataFrame([("income",)], "tag string"), "name|zip|ssn")
-
-
 @query("SELECT n_name AS table_name, CAST(count(*) AS BIGINT) AS runs FROM events JOIN nation ON contains(lower('select * from ' || 'nation_' || (user_id % 25)), lower(n_name)) GROUP BY n_name")
 def pv_access_audit(spark: SparkSession, d: str) -> DataFrame:
     log = a.table(spark, d, "events").select(F.concat(F.lit("SELECT * FROM NATION_"), F.col("user_id") % 25).alias("statement"))

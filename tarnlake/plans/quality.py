@@ -104,15 +104,13 @@ def dq_two_way_text(spark: SparkSession, d: str) -> DataFrame:
     return a.table(spark, d, "part").agg(F.count_if(hit & ~like.like("%ring")).alias("false_hits"), F.count_if(like.like("% ring") & ~hit).alias("missed"))
 
 
-@query("SELECT count(*) AS left_rows, count(*) AS right_rows, 0::BIGINT AS only_left, 0::BIGINT AS only_right FROM returns")
+@query("""WITH halves AS (SELECT DISTINCT patient_id, unnest(generate_series(2 * datediff('day', DATE '1970-01-01', start_day), 2 * datediff('day', DATE '1970-01-01', stop_day))) AS half FROM eligible),
+runs AS (SELECT patient_id, min(half) AS a, max(half) AS b FROM (SELECT *, half - row_number() OVER (PARTITION BY patient_id ORDER BY half) AS run FROM halves) GROUP BY patient_id, run),
+days AS (SELECT patient_id, DATE '1970-01-01' + (a // 2)::INT AS admit_day, DATE '1970-01-01' + (b // 2)::INT AS discharge_day FROM runs), own AS (SELECT patient_id, admit_day, discharge_day FROM stay)
+SELECT (SELECT count(*) FROM own) AS left_rows, (SELECT count(*) FROM days) AS right_rows, (SELECT count(*) FROM (FROM own EXCEPT ALL FROM days)) AS only_left, (SELECT count(*) FROM (FROM days EXCEPT ALL FROM own)) AS only_right""")
 def dq_reconcile(spark: SparkSession, d: str) -> DataFrame:
-    """The stays, by windows and by SQL over a temporary view, compared row by row."""
-    e = events(spark, d)
-    a.encounter(spark, d).createOrReplaceTempView("t_encounter")
-    e.createOrReplaceTempView("t_events")
-    twin = spark.sql("""SELECT s.*, lead(admit_day) OVER (PARTITION BY patient_id ORDER BY stay_no) AS next_day FROM t_events s""")
-    twin = twin.withColumn("days_to_next", F.datediff("next_day", "discharge_day")).drop("next_day")
-    return op.reconcile(e, twin)
+    """The stays merged by windows against a second build from days in hospital, compared row by row."""
+    return op.reconcile(events(spark, d).select("patient_id", "admit_day", "discharge_day"), stay_op.stays_by_days(a.encounter(spark, d)))
 
 
 @query("SELECT count(*) AS chunks, count(DISTINCT note_id) AS notes, 0::BIGINT AS broken FROM (SELECT note_id, unnest(generate_series(0, greatest((length(note_text) - 1) // 1800, 0))) AS i FROM note)")
@@ -138,11 +136,6 @@ def bundles(spark: SparkSession, d: str) -> DataFrame:
     return o.select(F.from_json(F.to_json(doc), "entry ARRAY<STRUCT<resource: STRING>>").alias("bundle")).select(F.explode("bundle.entry").alias("e")).select("e.resource")
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'Encounter' ELSE 'Condition' END AS kind FROM orders")
-def src_json_bundle(spark: SparkSession, d: str) -> DataFrame:
-    return bundles(spark, d).select(F.get_json_object("resource", "$.id").alias("id"), F.get_json_object("resource", "$.resourceType").alias("kind"))
-
-
 @query("SELECT o_orderkey AS id, o_custkey AS patient_id, CAST(o_orderdate AS DATE) AS onset FROM orders WHERE o_orderkey % 2 <> 0")
 def src_json_typed(spark: SparkSession, d: str) -> DataFrame:
     r = bundles(spark, d).where(F.get_json_object("resource", "$.resourceType") == "Condition").select(F.from_json("resource", "id STRING, subject STRUCT<reference: STRING>, onset DATE").alias("r"))
@@ -159,28 +152,6 @@ def dq_fhir_reconcile(spark: SparkSession, d: str) -> DataFrame:
     return op.reconcile(dm_flatten_fhir(spark, d), tabular)
 
 
-@query("SELECT s_suppkey, CAST(s_suppkey % 364 + 1 AS INT) AS offset_days FROM supplier")
-def snk_insert_missing(spark: SparkSession, d: str) -> DataFrame:
-    s = a.table(spark, d, "supplier").select("s_suppkey")
-    make = lambda df: df.select("s_suppkey", (F.col("s_suppkey") % 364 + 1).cast("int").alias("offset_days"))
-    have = make(s.where("s_suppkey < 40"))
-    return have.unionByName(make(s.join(have, "s_suppkey", "left_anti")))
-
-
-@query("SELECT event_id, event_type AS stage, CASE WHEN event_type IN ('click', 'view') THEN 'new' ELSE 'old' END AS version FROM events")
-def snk_replace_stage(spark: SparkSession, d: str) -> DataFrame:
-    e = a.table(spark, d, "events").select("event_id", F.col("event_type").alias("stage"))
-    old, new = e.withColumn("version", F.lit("old")), e.where(F.col("stage").isin("click", "view")).withColumn("version", F.lit("new"))
-    return old.join(F.broadcast(new.select("stage").distinct()), "stage", "left_anti").unionByName(new)
-
-
-@query("SELECT event_id FROM events WHERE event_id % 3 <> 0 OR event_type = 'error'")
-def snk_resume(spark: SparkSession, d: str) -> DataFrame:
-    e = a.table(spark, d, "events").select("event_id", "event_type")
-    done = e.where("event_id % 3 = 0 AND event_type <> 'error'")
-    return e.join(done, "event_id", "left_anti").select("event_id")
-
-
 @query()
 def ag_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return op.fingerprint(a.encounter(spark, d))
