@@ -58,22 +58,60 @@ def detect_patterns(notes: DataFrame, patterns: dict[str, str], id: str = "note_
 
 
 def find_needles(notes: DataFrame, needles: DataFrame) -> DataFrame:
-    """All whole-word places of each note's own needles (``note_id, category, needle``): one pass over a note, its needles joined to it."""
-    own = needles.groupBy("note_id").agg(F.collect_set(F.struct("category", "needle")).alias("needles"))
+    """All whole-word places of each note's own needles (``note_id, category, needle``): one pass over a note, its needles joined to it.
+
+    A needle with several categories gives a span of each.
+    """
+    own = needles.where("needle <> ''").groupBy("note_id").agg(F.collect_set(F.struct("category", "needle")).alias("needles"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[tuple[str, ...], re.Pattern] = {}
         for frame in frames:
             rows = []
             for i, t, ns in zip(frame["note_id"], frame["note_text"], frame["needles"], strict=True):
-                kinds = {n["needle"]: n["category"] for n in ns if n["needle"]}
-                if t and kinds:
-                    any_ = re.compile(r"(?<!\w)(?:" + "|".join(re.escape(n) for n in sorted(kinds, key=len, reverse=True)) + r")(?!\w)")
-                    rows += [(i, *m.span(), kinds[m.group()], m.group()) for m in any_.finditer(t)]
+                kinds: dict[str, list[str]] = {}
+                for n in ns:
+                    kinds.setdefault(n["needle"], []).append(n["category"])
+                words = tuple(sorted(kinds, key=lambda n: (-len(n), n)))
+                if len(known) > 1000:
+                    known.clear()
+                if t and words:
+                    any_ = known.setdefault(words, re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, words)) + r")(?!\w)")) if words not in known else known[words]
+                    rows += [(i, *m.span(), k, m.group()) for m in any_.finditer(t) for k in sorted(kinds[m.group()])]
             yield pd.DataFrame(rows, columns=["note_id", "char_start", "char_end", "category", "surface"])
 
     return notes.select("note_id", "note_text").join(own, "note_id").mapInPandas(run, SPAN)
 
 
+REPLY = "array<struct<text: string, category: string>>"
+
+
+def located(replies: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """Each text that a reply (``note_id, chunk_index, char_start, chunk, reply``) names, once, with its places in the piece and a status.
+
+    ``bad_json`` for a reply that can't be read (one row, without a text), ``not_in_note`` for a text that
+    the piece doesn't hold, else ``ok``. Categories go by their aliases, in lower case where they have none.
+    Places are added up from what lies between a text's occurrences, so no Python is needed.
+    """
+    parsed = replies.withColumn("said", F.from_json("reply", REPLY))
+    items = F.when(F.col("said").isNull(), F.array(F.lit(None).cast("struct<text: string, category: string>"))).otherwise(F.array_distinct("said"))
+    one = parsed.withColumn("bad", F.col("said").isNull()).withColumn("item", F.explode(items)).select("note_id", "chunk_index", F.col("char_start").alias("shift"), "chunk", "bad", "item.*")
+    text = F.col("text")
+    parts = F.split("chunk", F.concat(F.lit("\\Q"), text, F.lit("\\E")))
+    starts = F.transform(F.sequence(F.lit(1), F.size("parts") - 1), lambda i: F.aggregate(F.slice("parts", 1, i), F.lit(0), lambda n, x: n + F.char_length(x)) + (i - 1) * F.char_length(text))
+    out = one.withColumn("parts", parts).withColumn("starts", F.when(F.size("parts") > 1, starts))
+    status = F.when(F.col("bad"), "bad_json").when(F.col("starts").isNull(), "not_in_note").otherwise("ok")
+    category = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for kv in aliases.items() for v in kv]), F.col("category")), F.lower("category"))
+    return out.select("note_id", "chunk_index", "shift", "text", category.alias("category"), "starts", status.alias("status"))
+
+
+def reply_spans(replies: DataFrame, aliases: dict[str, str]) -> DataFrame:
+    """``note_id, char_start, char_end, category`` of all located texts in the note's own places, each once."""
+    rows = located(replies, aliases).where("status = 'ok'").withColumn("at", F.explode("starts"))
+    begin = (F.col("shift") + F.col("at")).cast("int")
+    return rows.select("note_id", begin.alias("char_start"), (begin + F.char_length("text")).cast("int").alias("char_end"), "category").distinct()
+
+
 def score_spans(truth: DataFrame, guess: DataFrame) -> DataFrame:
     """Per stage and category: recall over distinct real spans, precision over distinct guesses, by overlap, cover and exactly; categories without real spans are kept."""
     t = truth.select("note_id", "category", F.col("char_start").alias("t_start"), F.col("char_end").alias("t_end")).distinct()

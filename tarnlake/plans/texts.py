@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.operators import spans as op
+from tarnlake.operators.stays import number_spans
 from tarnlake.plans.registry import query
 from tarnlake.plans.sql_views import VIEWS
 from tarnlake.sources import adapters as a
@@ -19,37 +20,89 @@ def tx_chunk(spark: SparkSession, d: str) -> DataFrame:
     return op.chunk_notes(a.note(spark, d), "note_id", "note_text")
 
 
-@query()
+def matches_sql(source: str, text: str, pattern: str, category: str, keep: str, length: str = "length(m[n])") -> str:
+    """SQL of all matches with their places: what lies between matches, split at them, adds up to their starts."""
+    return f"""SELECT {keep}, CAST(list_sum(list_transform(parts[:n], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:n - 1], lambda x: length(x))), 0) AS INT) AS char_start,
+        {length} AS size, '{category}' AS category, m[n] AS surface FROM (SELECT *, unnest(range(1, len(m) + 1)) AS n FROM (SELECT *, regexp_extract_all({text}, '{pattern}') AS m, string_split_regex({text}, '{pattern}') AS parts FROM {source}))"""
+
+
+#: In ``PATTERNS`` only ages have a group, and it begins where the match does.
+DETECTED = " UNION ALL ".join(
+    "SELECT note_id, char_start, CAST(char_start + size AS INT) AS char_end, category, left(surface, size) AS surface FROM ("
+    + matches_sql("note", "note_text", p.replace("(9", "(?:9"), k, "note_id", "length(m[n])" if k != "age" else "length(m[n]) - 9") + ")" for k, p in PATTERNS.items())
+
+
+@query(DETECTED)
 def tx_detect_pattern(spark: SparkSession, d: str) -> DataFrame:
     return op.detect_patterns(a.note(spark, d), PATTERNS)
 
 
-udf_detect_regex = query(None, "udf_detect_regex")(lambda spark, d: op.detect_patterns(a.note(spark, d), {"ip": PATTERNS["ip"]}))
+@query(f"SELECT category, count(*) AS spans, count(DISTINCT note_id) AS notes, count(DISTINCT surface) AS surfaces FROM ({DETECTED}) GROUP BY category")
+def udf_detect_regex(spark: SparkSession, d: str) -> DataFrame:
+    """All patterns in one pass over a note."""
+    found = op.detect_patterns(a.note(spark, d), PATTERNS)
+    return found.groupBy("category").agg(F.count("*").alias("spans"), F.count_distinct("note_id").alias("notes"), F.count_distinct("surface").alias("surfaces"))
 
 
-@query()
-def tx_answer_key(spark: SparkSession, d: str) -> DataFrame:
-    notes = a.note(spark, d)
-    first = F.split(F.trim("note_text"), r"\s+")
-    needles = notes.select("note_id", F.explode(F.array(F.struct(F.lit("name").alias("category"), first[0].alias("needle")), F.struct(F.lit("geography").alias("category"), first[1].alias("needle")))).alias("n")).select("note_id", "n.*").where("needle IS NOT NULL AND needle <> ''")
-    return op.find_needles(notes, needles)
+@query(r"SELECT note_id FROM note WHERE regexp_matches(note_text, '(^|[^0-9A-Za-z_])the($|[^0-9A-Za-z_])')")
+def flt_regex_lookaround(spark: SparkSession, d: str) -> DataFrame:
+    """Notes that hold a word as a whole."""
+    return a.note(spark, d).where(F.col("note_text").rlike(r"(?<![0-9A-Za-z_])the(?![0-9A-Za-z_])")).select("note_id")
 
 
-udf_find_all = query(None, "udf_find_all")(lambda spark, d: tx_answer_key(spark, d).where("category = 'name'"))
+#: A run of letters that may be a name, and one that starts like a name; the same in every engine.
+WORD, TITLED = "[a-zA-Z]{4,}", "[A-Z][a-z]{3,}"
+VIEWS["needle"] = f"SELECT note_id, note_text, unnest([{{'category': 'name', 'needle': w[1]}}, {{'category': 'geography', 'needle': w[-1]}}], recursive := true) FROM (SELECT note_id, note_text, regexp_extract_all(note_text, '{WORD}') AS w FROM note) WHERE len(w) > 0"
+VIEWS["truth"] = r"""SELECT DISTINCT note_id, char_start, CAST(char_start + length(needle) AS INT) AS char_end, category, needle AS surface FROM (SELECT note_id, note_text, category, needle, CAST(list_sum(list_transform(parts[:n], lambda x: length(x))) + (n - 1) * length(needle) AS INT) AS char_start
+  FROM (SELECT *, unnest(range(1, len(parts))) AS n FROM (SELECT *, string_split(note_text, needle) AS parts FROM needle)))
+  WHERE NOT regexp_matches(substr(note_text, char_start, CASE WHEN char_start > 0 THEN 1 ELSE 0 END), '[\pL\pN_]') AND NOT regexp_matches(substr(note_text, char_start + length(needle) + 1, 1), '[\pL\pN_]')"""
 
-VIEWS["truth"] = "SELECT event_id % 200 AS note_id, CAST(event_id * 7 % 900 AS INT) AS char_start, CAST(event_id * 7 % 900 + 5 + event_id % 4 AS INT) AS char_end, CASE WHEN event_id % 2 = 0 THEN 'name' ELSE 'date' END AS category FROM events WHERE event_id % 3 = 0"
-VIEWS["guess"] = "SELECT CASE WHEN event_id % 4 < 2 THEN 'one' ELSE 'two' END AS stage, event_id % 200 AS note_id, CAST(event_id * 7 % 900 + event_id % 5 - 2 AS INT) AS char_start, CAST(event_id * 7 % 900 + 6 + event_id % 4 AS INT) AS char_end, CASE WHEN event_id % 14 = 0 THEN 'zip' WHEN event_id % 2 = 0 THEN 'name' ELSE 'date' END AS category FROM events WHERE event_id % 3 = 0 OR event_id % 7 = 0"
+
+def needles(spark: SparkSession, d: str) -> DataFrame:
+    """Two words of every note: the first that may be a name, and the last."""
+    words = F.regexp_extract_all("note_text", F.lit(WORD), F.lit(0))
+    own = a.note(spark, d).select("note_id", words.alias("w")).where(F.size("w") > 0)
+    two = F.array(*[F.struct(F.lit(k).alias("category"), F.element_at("w", i).alias("needle")) for k, i in (("name", 1), ("geography", -1))])
+    return own.select("note_id", F.explode(two).alias("n")).select("note_id", "n.*")
 
 
 def truth(spark: SparkSession, d: str) -> DataFrame:
-    e = a.table(spark, d, "events").where("event_id % 3 = 0")
-    return e.selectExpr("event_id % 200 AS note_id", "cast(event_id * 7 % 900 AS int) AS char_start", "cast(event_id * 7 % 900 + 5 + event_id % 4 AS int) AS char_end", "CASE WHEN event_id % 2 = 0 THEN 'name' ELSE 'date' END AS category")
+    return op.find_needles(a.note(spark, d), needles(spark, d))
+
+
+@query("SELECT * FROM truth")
+def tx_answer_key(spark: SparkSession, d: str) -> DataFrame:
+    return truth(spark, d)
+
+
+@query("SELECT note_id, char_start, char_end, surface FROM truth WHERE category = 'name'")
+def udf_find_all(spark: SparkSession, d: str) -> DataFrame:
+    return op.find_needles(a.note(spark, d), needles(spark, d).where("category = 'name'")).select("note_id", "char_start", "char_end", "surface")
+
+
+GUESSES = {"name": TITLED, "zip": "[0-9]{5}"}
+VIEWS["chunk"] = "SELECT note_id, CAST(i AS INT) AS chunk_index, CAST(i * 1800 AS INT) AS shift, substr(note_text, CAST(i * 1800 + 1 AS BIGINT), 2000) AS chunk FROM (SELECT *, unnest(generate_series(0, greatest((length(note_text) - 1) // 1800, 0))) AS i FROM note)"
+VIEWS["token"] = " UNION ALL ".join(f"SELECT note_id, category AS kind, char_start + shift AS char_start, CAST(char_start + shift + size AS INT) AS char_end FROM ({matches_sql('chunk', 'chunk', p, k, 'note_id, shift')})" for k, p in GUESSES.items())
+VIEWS["merged"] = """SELECT note_id, kind, min(char_start) AS char_start, max(char_end) AS char_end FROM (SELECT *, sum(fresh) OVER (PARTITION BY note_id, kind ORDER BY char_start, char_end ROWS UNBOUNDED PRECEDING) AS part FROM (SELECT *,
+CASE WHEN char_start <= max(char_end) OVER (PARTITION BY note_id, kind ORDER BY char_start, char_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM token)) GROUP BY note_id, kind, part"""
+VIEWS["guess"] = "SELECT 'tagger' AS stage, note_id, char_start, char_end, kind AS category FROM merged UNION ALL " + " UNION ALL ".join(f"SELECT 'pattern', note_id, char_start, CAST(char_start + size AS INT), category FROM ({matches_sql('note', 'note_text', p, k, 'note_id')})" for k, p in GUESSES.items())
+
+
+def tokens(spark: SparkSession, d: str) -> DataFrame:
+    """What a tagger of pieces finds, in the note's own places: pieces overlap, so some spans come twice or cut in two."""
+    chunks = op.chunk_notes(a.note(spark, d), "note_id", "note_text").withColumn("piece", F.struct("note_id", "char_start"))
+    found = op.detect_patterns(chunks.select((F.col("note_id") * PIECES + F.col("chunk_index")).alias("note_id"), F.col("chunk").alias("note_text")), GUESSES)
+    shift = (F.col("note_id") % PIECES * STEP).cast("int")
+    return found.select(F.floor(F.col("note_id") / PIECES).cast("long").alias("note_id"), F.col("category").alias("kind"), (F.col("char_start") + shift).alias("char_start"), (F.col("char_end") + shift).alias("char_end"))
+
+
+#: More pieces than any note has, and characters from one piece to the next.
+PIECES, STEP = 10_000_000, 1800
 
 
 def guess(spark: SparkSession, d: str) -> DataFrame:
-    e = a.table(spark, d, "events").where("event_id % 3 = 0 OR event_id % 7 = 0")
-    return e.selectExpr("CASE WHEN event_id % 4 < 2 THEN 'one' ELSE 'two' END AS stage", "event_id % 200 AS note_id", "cast(event_id * 7 % 900 + event_id % 5 - 2 AS int) AS char_start", "cast(event_id * 7 % 900 + 6 + event_id % 4 AS int) AS char_end",
-                        "CASE WHEN event_id % 14 = 0 THEN 'zip' WHEN event_id % 2 = 0 THEN 'name' ELSE 'date' END AS category")
+    tagger = op.merge_tokens(tokens(spark, d)).select(F.lit("tagger").alias("stage"), "note_id", "char_start", "char_end", F.col("kind").alias("category"))
+    return tagger.unionByName(op.detect_patterns(a.note(spark, d), GUESSES).select(F.lit("pattern").alias("stage"), "note_id", "char_start", "char_end", "category"))
 
 
 VIEWS["hit"] = "SELECT DISTINCT g.stage, g.category, g.note_id, g.char_start AS gs, g.char_end AS ge, t.char_start AS ts, t.char_end AS te FROM guess g JOIN truth t ON t.note_id = g.note_id AND t.category = g.category AND g.char_start < t.char_end AND t.char_start < g.char_end"
@@ -75,18 +128,45 @@ def jn_span_overlap(spark: SparkSession, d: str) -> DataFrame:
     return guess(spark, d).join(t, ["note_id", "category"]).where("char_start < e AND s < char_end").groupBy("stage", "category").agg(F.count("*").alias("pairs"))
 
 
-MERGED = """SELECT note_id, kind, min(char_start) AS char_start, max(char_end) AS char_end FROM (SELECT *, sum(fresh) OVER (PARTITION BY note_id, kind ORDER BY char_start, char_end ROWS UNBOUNDED PRECEDING) AS part FROM (SELECT note_id, category AS kind, char_start, char_end,
-CASE WHEN char_start <= max(char_end) OVER (PARTITION BY note_id, category ORDER BY char_start, char_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM guess)) GROUP BY note_id, kind, part"""
-
-
-@query(MERGED)
+@query("SELECT * FROM merged")
 def tx_detect_tokens(spark: SparkSession, d: str) -> DataFrame:
-    return op.merge_tokens(guess(spark, d).withColumnRenamed("category", "kind").drop("stage"))
+    """A tagger's spans of overlapping pieces, shifted to the note's places and merged."""
+    return op.merge_tokens(tokens(spark, d))
 
 
-@query(MERGED)
+@query("""SELECT patient_id, min(a) AS first_day, max(b) AS last_day, count(*) AS courses FROM (SELECT *, sum(fresh) OVER (PARTITION BY patient_id ORDER BY a, b, description ROWS UNBOUNDED PRECEDING) AS part FROM (SELECT *,
+CASE WHEN a <= max(b) OVER (PARTITION BY patient_id ORDER BY a, b, description ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS fresh FROM (SELECT patient_id, description, started_on AS a, coalesce(stopped_on, started_on) AS b FROM medication))) GROUP BY patient_id, part""")
 def wn_session_merge(spark: SparkSession, d: str) -> DataFrame:
-    return op.merge_tokens(guess(spark, d).withColumnRenamed("category", "kind").drop("stage"))
+    """Courses of medication at most a day apart, as spells of a patient."""
+    m = a.medication(spark, d).select("patient_id", "description", F.col("started_on").alias("a"), F.coalesce("stopped_on", "started_on").alias("b"))
+    spells = number_spans(m, ["patient_id"], "a", "b", ["a", "b", "description"], "spell", gap=1)
+    return spells.groupBy("patient_id", "spell").agg(F.min("a").alias("first_day"), F.max("b").alias("last_day"), F.count("*").alias("courses")).drop("spell")
+
+
+#: How a tagger may name a category; fixed values.
+ALIASES = {"PERSON": "name", "per": "name", "loc": "geography"}
+VIEWS["reply"] = f"SELECT note_id, shift, chunk, chunk_index % 7 = 3 AS broken, unnest(list_concat(regexp_extract_all(chunk, '{TITLED}'), ['Zzyzx'])) AS t FROM chunk"
+VIEWS["located"] = """SELECT note_id, shift, t, unnest(range(1, len(parts))) AS n, parts FROM (SELECT DISTINCT note_id, shift, t, string_split(chunk, t) AS parts FROM reply WHERE NOT broken)"""
+
+
+def replies(spark: SparkSession, d: str) -> DataFrame:
+    """A tagger's replies to pieces, as text: every seventh is cut off, and each names a word that isn't there."""
+    chunks = op.chunk_notes(a.note(spark, d), "note_id", "note_text")
+    names = F.concat(F.regexp_extract_all("chunk", F.lit(TITLED), F.lit(0)), F.array(F.lit("Zzyzx")))
+    reply = F.to_json(F.transform(names, lambda x: F.struct(x.alias("text"), F.lit("PERSON").alias("category"))))
+    return chunks.withColumn("reply", reply).withColumn("reply", F.when(F.col("chunk_index") % 7 == 3, F.expr("left(reply, length(reply) - 1)")).otherwise(F.col("reply")))
+
+
+@query("SELECT status, count(*) AS texts FROM (SELECT DISTINCT note_id, shift, CASE WHEN broken THEN 'bad_json' WHEN contains(chunk, t) THEN 'ok' ELSE 'not_in_note' END AS status, CASE WHEN NOT broken THEN t END AS t FROM reply) GROUP BY status")
+def udf_spans_for(spark: SparkSession, d: str) -> DataFrame:
+    """What became of each text that a reply names."""
+    return op.located(replies(spark, d), ALIASES).groupBy("status").agg(F.count("*").alias("texts"))
+
+
+@query("SELECT DISTINCT note_id, CAST(shift + list_sum(list_transform(parts[:n], lambda x: length(x))) + (n - 1) * length(t) AS INT) AS char_start, CAST(shift + list_sum(list_transform(parts[:n], lambda x: length(x))) + n * length(t) AS INT) AS char_end, 'name' AS category FROM located")
+def tx_parse_replies(spark: SparkSession, d: str) -> DataFrame:
+    """Spans of the replies in the note's places, those of overlapping pieces once."""
+    return op.reply_spans(replies(spark, d), ALIASES)
 
 
 @query("""WITH RECURSIVE o AS (SELECT note_id, char_start, char_end, row_number() OVER (PARTITION BY note_id ORDER BY char_start, char_end DESC) AS n FROM (SELECT DISTINCT note_id, char_start, char_end FROM guess)),
@@ -104,7 +184,11 @@ def pv_deid_note(spark: SparkSession, d: str) -> DataFrame:
     return op.redact(notes, found, (F.col("note_id") % 364 + 1).cast("int"))
 
 
-udf_deid_text = query(None, "udf_deid_text")(lambda spark, d: pv_deid_note(spark, d).select("note_id", F.char_length("note_text").alias("chars")))
+@query("SELECT note_id, note_text IS NULL OR NOT regexp_matches(note_text, '[A-Za-z0-9_]@[A-Za-z0-9_]') AS clean FROM note WHERE NOT regexp_matches(coalesce(note_text, ''), '[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+')")
+def udf_deid_text(spark: SparkSession, d: str) -> DataFrame:
+    """Notes that had no address are left without one."""
+    before = a.note(spark, d).where(~F.coalesce("note_text", F.lit("")).rlike("[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+")).select("note_id")
+    return pv_deid_note(spark, d).join(before, "note_id", "left_semi").select("note_id", (F.col("note_text").isNull() | ~F.col("note_text").rlike("[A-Za-z0-9_]@[A-Za-z0-9_]")).alias("clean"))
 
 
 @query("SELECT note_id, count(*) AS spans FROM truth GROUP BY note_id")
