@@ -138,3 +138,16 @@ def access_audit(statements: DataFrame, tables: DataFrame) -> DataFrame:
     """Statements that name a tagged table, an upper bound on reads; distinct texts meet the table names."""
     texts = statements.groupBy("statement").agg(F.count("*").alias("runs"))
     return texts.join(F.broadcast(tables), F.contains(F.lower("statement"), F.lower("table_name"))).groupBy("table_name").agg(F.sum("runs").alias("runs"))
+
+
+def published(report: DataFrame, rounded: dict[str, int], without: set[str]) -> DataFrame:
+    """A report without some of its columns and with numbers rounded."""
+    return report.select(*[F.round(c, rounded[c]).alias(c) if c in rounded else F.col(c) for c in report.columns if c not in without])
+
+
+def published_windows(windows: DataFrame, names: list[str], size: str, flagged: str, known: set[str]) -> DataFrame:
+    """Sizes and flag rates of windows, hidden where the size or the number flagged is small; names that aren't ``known`` are refused."""
+    if unknown := set(names) - known:
+        raise ValueError(f"unknown names: {sorted(unknown)}")
+    fine = ~(is_small(F.col(size)) | is_small(F.col(flagged)))
+    return windows.select(*names, F.when(fine, F.col(size)).alias(size), F.when(fine, F.round(F.col(flagged) / F.col(size), 3)).alias("flag_rate"))

@@ -202,12 +202,6 @@ def mt_story_totals(spark: SparkSession, d: str) -> DataFrame:
     return stays.crossJoin(op.visit_view(a.encounter(spark, d)).query([], ["visits"]))
 
 
-@query("SELECT * FROM (PIVOT (SELECT event_type, CAST(user_id % 3 AS VARCHAR) AS tier FROM events) ON tier IN ('0', '1', '2') USING count(*) GROUP BY event_type)")
-def mt_eval_report(spark: SparkSession, d: str) -> DataFrame:
-    e = a.table(spark, d, "events").withColumn("tier", (F.col("user_id") % 3).cast("string"))
-    return e.groupBy("event_type").pivot("tier", ["0", "1", "2"]).count().fillna(0)
-
-
 @query("SELECT patient_id, name, value FROM (SELECT patient_id, CAST(count(*) AS BIGINT) AS visits, CAST(count_if(encounter_class = 'inpatient') AS BIGINT) AS stays FROM encounter GROUP BY ALL) UNPIVOT (value FOR name IN (visits, stays))")
 def mt_unpivot_scores(spark: SparkSession, d: str) -> DataFrame:
     g = a.encounter(spark, d).groupBy("patient_id").agg(F.count("*").alias("visits"), F.count_if(F.col("encounter_class") == "inpatient").alias("stays"))

@@ -210,8 +210,3 @@ VIEWS["flagged_year"] = "SELECT admit_year AS part, count(*)::DOUBLE AS n, count
 @query(f"SELECT part, n::BIGINT AS n, k::BIGINT AS k, k / n AS rate, {WILSON_LOW} AS low, {WILSON_HIGH} AS high FROM flagged_year")
 def rt_flag_rate(spark: SparkSession, d: str) -> DataFrame:
     return op.flag_rates(signal(spark, d), F.col("length_of_stay") > 5, F.col("admit_year"))
-
-
-@query(f"SELECT part, NOT (0.4 BETWEEN low AND high) AS triggered, CASE WHEN 0.4 BETWEEN low AND high THEN 'keep' WHEN abs(rate - 0.4) < 0.05 THEN 'new cutoff' ELSE 'retrain' END AS action FROM (SELECT part, k / n AS rate, {WILSON_LOW} AS low, {WILSON_HIGH} AS high FROM flagged_year)")
-def rt_decide(spark: SparkSession, d: str) -> DataFrame:
-    return op.decide(rt_flag_rate(spark, d), 0.4).select("part", "triggered", "action")

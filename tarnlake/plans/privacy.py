@@ -72,7 +72,7 @@ def pv_deid_encounter(spark: SparkSession, d: str) -> DataFrame:
     return op.shift_encounters(a.encounter(spark, d), keys)
 
 
-@query()
+@query("SELECT patient_id, left(h, 32) AS deid_id, CAST(('0x' || substr(h, 33, 8))::BIGINT % 364 + 1 AS INT) AS offset_days FROM (SELECT patient_id, sha256('round salt:' || patient_id) AS h FROM patient WHERE patient_id % 10 <> 0)")
 def pv_deid_key(spark: SparkSession, d: str) -> DataFrame:
     p = a.patient(spark, d)
     return op.deid_keys(p, p.where("patient_id % 10 = 0").select("patient_id"), "round salt")

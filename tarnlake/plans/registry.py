@@ -49,5 +49,5 @@ def shared(build: Query) -> Query:
     return get
 
 
-for _module in ("basics", "stays", "measures", "privacy", "quality", "models", "texts", "questions", "storage"):
+for _module in ("basics", "stays", "measures", "privacy", "quality", "models", "texts", "questions", "storage", "retraining", "publishing"):
     importlib.import_module(f"tarnlake.plans.{_module}")
