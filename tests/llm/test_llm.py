@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tarnlake.llm import boost, chat, collide, components, hamming, jaccard, mix, pack, passages, quality, shards, toxicity
+from tarnlake.llm import boost, chat, collide, components, hamming, jaccard, mix, pack, passages, quality, running, shards, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -190,6 +190,45 @@ def test_packing_round_trip(spark, corpus):
     assert pack.pack_documents(docs.limit(0), path, 2).count() == 0
 
 
+def test_units_are_placed_as_a_simulated_round_robin_would(spark):
+    rng = np.random.default_rng(6)
+    sizes = {None: rng.integers(1, 900, 12), "a": rng.integers(1, 2000, 30), "b": rng.integers(1, 60, 80), **{f"s{i}": [int(rng.integers(1, 300))] for i in range(300)}}
+    rows = [(i, i % 50, s, int(n)) for i, (s, n) in enumerate((s, n) for s, v in sizes.items() for n in v)]
+    quanta = {s: int(rng.integers(1, 40)) << pack.PLACES for s in sizes}
+    narrow = spark.createDataFrame(rows, "row long, doc_id long, source string, tokens long")
+    total = sum(r[3] for r in rows)
+    got = pack.place_units(narrow, spark.createDataFrame(list(quanta.items()), "of string, quantum long"), 256, total, len(rows), 100).collect()
+    part = running.hash_bucket(F.xxhash64("doc_id", "row"), running.bucket_count(len(rows)))
+    order = {r["row"]: (r["p"], r["m"], r["row"]) for r in narrow.select("row", part.alias("p"), F.xxhash64("doc_id").alias("m")).collect()}
+    turn = {r["of"]: r["q"] for r in spark.createDataFrame([(s,) for s in sizes], "of string").select("of", F.xxhash64("of").alias("q")).collect()}
+    queues = {s: [(r[0], a, min(100, r[3] - a)) for r in sorted((r for r in rows if r[2] == s), key=lambda r: order[r[0]]) for a in range(0, r[3], 100)] for s in sizes}
+    deficit, want, place = dict.fromkeys(sizes, 0), {}, 0
+    while any(queues.values()):
+        for s in sorted(sizes, key=lambda s: turn[s]):
+            deficit[s] += quanta[s] if queues[s] else 0
+            while queues[s] and queues[s][0][2] << pack.PLACES <= deficit[s]:
+                row, a, n = queues[s].pop(0)
+                deficit[s] -= n << pack.PLACES
+                want[row, a] = (n, place)
+                place += n
+    assert {(r["row"], r["start"]): (r["length"], r["place"]) for r in got} == want
+
+
+def test_packing_follows_proportions(spark):
+    rng = np.random.default_rng(8)
+    docs = make(spark, [(i, sentence(rng, int(rng.integers(5, 400))), f"s{i % 3}") for i in range(240)])
+    rows = pack.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2, 4096, {"s0": 0.6, "s1": 0.3}).collect()
+    of = {i: f"s{i % 3}" for i in range(240)}
+    ends = max(r["sequence_id"] for r in rows if of[r["doc_id"]] == "s0")
+    for window in range(0, ends - 1):
+        held = collections.Counter()
+        for r in rows:
+            if r["sequence_id"] == window:
+                held[of[r["doc_id"]]] += r["length"]
+        for s, p in (("s0", 0.6), ("s1", 0.3), ("s2", 0.1)):
+            assert abs(held[s] - p * 4096) <= 2 * pack.UNIT + 4096 * 0.02
+
+
 def test_chat_reads_back(spark):
     bad = "a\\<|im_end|>\n<|im_start|>\\"
     rows = [(1, 0, "user", bad), (1, 1, "assistant", bad), (1, 2, "user", None), (2, 0, "user", "x"), (3, 1, None, "é"), (3, 0, "assistant", "<"), (3, 2, "a\nb\\", "|>")]
