@@ -48,21 +48,22 @@ def mix_documents(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5,
 
     Returns ``doc_id, size, source_size, target, taken`` for every row of ``docs``, and ``key`` if one is given.
     A null source is a source of its own; a null id is shuffled as an empty one; documents
-    without words take part with size 0; repeated rows are separate documents. Other columns
-    are ignored. Results depend only on the rows, not on their partitioning.
+    without words take part with size 0; repeated rows are separate documents, in the order of ``key`` where
+    ids and sizes are the same. Other columns are ignored. Results depend only on the rows, not on their
+    partitioning; without ``key``, rows of one id and size may swap what is taken of them.
     """
     shuffled = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit(""))))
     rows = keep(docs.select(F.col(id).alias("doc_id"), F.col(source).alias("source"), size.cast("long").alias("size"), shuffled.alias("shuffle"), (F.lit(None).cast("long") if key is None else key).alias("key")).withColumn("row", F.monotonically_increasing_id()), "mix")
     targets = keep(source_targets(rows, weights, share, epochs), "mix-targets")
     buckets = bucket_count(rows.count())
     part = F.shiftright(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("long") * buckets, 32).cast("int")
-    placed = total_before(rows.withColumn("part", part), ["source"], "part", ["shuffle", "doc_id", "size", "row"], "size", "before")
+    placed = total_before(rows.withColumn("part", part), ["source"], "part", ["shuffle", "doc_id", "size", "key", "row"], "size", "before")
     named = targets.withColumnRenamed("source", "of")
     copies = placed.join(named, placed["source"].eqNullSafe(named["of"])).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     done = F.col("before") + F.col("size") + F.col("epoch") * F.col("source_size")
     copies = copies.withColumn("finish", F.coalesce(F.try_divide(done, F.col("target")), F.lit(0.0)))
     copies = copies.withColumn("range", F.floor(F.col("finish") / (1 + F.col("finish")) * buckets).cast("int"))
-    order = ["finish", F.col("source").asc_nulls_last(), "epoch", "shuffle", "doc_id", "size", "row"]
+    order = ["finish", F.col("source").asc_nulls_last(), "epoch", "shuffle", "doc_id", "size", "key", "row"]
     ranked = total_before(copies, [], "range", order, "size", "ahead")
     taken = F.when(F.col("ahead") + F.col("size") <= F.col("budget"), F.col("size")).otherwise(0)
     return ranked.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.sum(taken).alias("taken"), F.first("key").alias("key")).drop("row", *(["key"] if key is None else []))

@@ -35,6 +35,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 @query
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources to target weights takes of every document."""
     return mix_documents(table(spark, sf_dir, "documents"), word_count(F.col("text")))
 
 
@@ -60,6 +61,7 @@ FROM r GROUP BY doc_id, size, source_size, target
 
 @query
 def op4_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of nearly equal bytes, equal texts together."""
     text = F.coalesce("text", F.lit(""))
     same_text = F.unhex(F.substring(F.sha2(F.col("text"), 256), 1, 32))
     placed = shard_documents(table(spark, sf_dir, "documents"), F.octet_length(text).cast("long") + 16, same_text, 40, keep_columns={"text_crc32": F.crc32(text)})
@@ -68,6 +70,7 @@ def op4_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that quotes control strings, formatted into examples and read back."""
     control = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
@@ -93,6 +96,7 @@ FROM f GROUP BY conv_id
 
 @query
 def op6_pack_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into pieces that fill windows of 4,096 tokens in the sources' proportions."""
     pieces = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
@@ -103,35 +107,41 @@ def _predicted(scored: DataFrame, folds: int, out: int) -> DataFrame:
 
 @query
 def op3_toxicity_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learnt from labelled rows outside the fold held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return _predicted(score_toxicity(docs, learn_toxicity(docs, labels, fold(F.col("doc_id"), 3) != 1)), 3, 1)
 
 
 @query
 def op10_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learnt from labelled rows outside the fold held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return _predicted(score_quality(docs, learn_quality(docs, labels, fold(F.col("doc_id"), 4) != 2)), 4, 2)
 
 
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that links reach, for sets of four-word shingles and a similarity of 0.85."""
     return jaccard_components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
 @query
 def op5_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of largest inner product found for every query row, and how many rows it verified."""
     return nearest_by_collisions(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 @query
 def op7_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every query row, exactly."""
     return nearest_codes(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 ORACLE_SQL["op7_multi_index_hashing"] = r"""
-WITH c AS (
+WITH v AS (
   SELECT vec_id, list_sum(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN CAST(1 AS HUGEINT) << CAST(i - 1 AS INT) ELSE 0 END))::UBIGINT AS code
   FROM embeddings WHERE vec_id IS NOT NULL AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+c AS (SELECT vec_id, arg_min(code, code::HUGEINT - CASE WHEN code >= 9223372036854775808 THEN 18446744073709551616 ELSE 0 END) AS code FROM v GROUP BY vec_id),
 p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(bit_count(xor(q.code, c.code)::BIT) AS INT) AS distance
       FROM c AS q JOIN c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INT) AS rank FROM p)
@@ -141,4 +151,5 @@ SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
 
 @query
 def op1_substring_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 40 words or more of which 0.8 agree with one of another document, each with its place and its source."""
     return repeated_passages(table(spark, sf_dir, "documents")).drop("key")
