@@ -23,7 +23,7 @@ def row_scope(df: DataFrame, scopes: DataFrame, reader: str, column: str = "stat
     own = scopes.where(F.col("reader") == reader)
     every = own.where(F.col("scope") == "*").agg((F.count("*") > 0).alias("_all"))
     named = own.select(F.col("scope").alias(column)).distinct().withColumn("_named", F.lit(True))
-    return df.join(F.broadcast(named), column, "left").crossJoin(F.broadcast(every)).where(F.col("_all") | F.col("_named")).select(*df.columns)
+    return df.join(named, column, "left").crossJoin(F.broadcast(every)).where(F.col("_all") | F.col("_named")).select(*df.columns)
 
 
 def deid_keys(patients: DataFrame, known: DataFrame, secret: str) -> DataFrame:
@@ -38,7 +38,11 @@ def deid_patients(patients: DataFrame, ref: Column, group_least: int = 5, oldest
     age = whole_years(F.col("birth_date"), F.coalesce("death_date", ref))
     years = lambda c: F.when(F.col("_age") <= oldest, (F.floor(F.year(c) / band) * band).cast("int"))
     rows = patients.withColumn("_age", age).withColumn("_birth", years("birth_date")).withColumn("_death", years("death_date"))
-    rows = rows.withColumn("hidden", (F.count("*").over(Window.partitionBy("_birth", "gender", "_death")) < group_least) | (F.col("_age") > oldest))
+    # Counted with a map-side combine and joined back: a few hundred groups hold everyone.
+    group = [F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in ("_birth", "gender", "_death")]
+    rows = rows.withColumn("_group", F.concat_ws("|", *group))
+    rows = rows.join(rows.groupBy("_group").agg(F.count("*").alias("_people")), "_group")
+    rows = rows.withColumn("hidden", (F.col("_people") < group_least) | (F.col("_age") > oldest))
     show = lambda c: F.when(~F.col("hidden"), c)
     return rows.select("patient_id", show(F.col("_birth")).alias("birth_year_from"), show(F.col("_death")).alias("death_year_from"), F.col("hidden").alias("years_suppressed"), show(F.col("death_date").isNotNull()).alias("is_deceased"), "gender", "state")
 
@@ -134,8 +138,14 @@ def tag_drift(columns: DataFrame, tags: DataFrame, policies: DataFrame, pattern:
     return loose.unionByName(bare.select(F.lit("identifier without tag").alias("problem"), F.concat_ws(".", "table_name", "column_name").alias("subject")))
 
 
+#: Tagged tables that an audit takes, at most: their names go to every task.
+MOST_TABLES = 100_000
+
+
 def access_audit(statements: DataFrame, tables: DataFrame) -> DataFrame:
     """Statements that name a tagged table, an upper bound on reads; distinct texts meet the table names."""
+    if tables.limit(MOST_TABLES + 1).count() > MOST_TABLES:
+        raise ValueError(f"more than {MOST_TABLES} tagged tables")
     texts = statements.groupBy("statement").agg(F.count("*").alias("runs"))
     return texts.join(F.broadcast(tables), F.contains(F.lower("statement"), F.lower("table_name"))).groupBy("table_name").agg(F.sum("runs").alias("runs"))
 
@@ -151,3 +161,25 @@ def published_windows(windows: DataFrame, names: list[str], size: str, flagged:
         raise ValueError(f"unknown names: {sorted(unknown)}")
     fine = ~(is_small(F.col(size)) | is_small(F.col(flagged)))
     return windows.select(*names, F.when(fine, F.col(size)).alias(size), F.when(fine, F.round(F.col(flagged) / F.col(size), 3)).alias("flag_rate"))
+
+
+def hidden_refusals(levels: DataFrame, group: str, count: str, hidden: Column, tile: DataFrame) -> DataFrame:
+    """``problem, rows``: groups whose hidden counts can be worked out from what is shown.
+
+    Refused are a hidden level that is alone, hidden levels that sum up to 1 to 10, and a published total
+    (``group, total``) that leaves 1 to 10 beside the levels shown.
+    """
+    per = levels.groupBy(group).agg(F.count_if(hidden).alias("alone"), F.sum(F.when(hidden, F.col(count)).otherwise(0)).alias("under"), F.sum(F.when(~hidden, F.col(count)).otherwise(0)).alias("shown")).join(tile, group)
+    checks = {"lone hidden level": F.col("alone") == 1, "small hidden sum": is_small(F.col("under")), "small leftover": is_small(F.col("total") - F.col("shown"))}
+    one = per.agg(*[F.count_if(v).alias(k) for k, v in checks.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("problem"), F.col(f"`{k}`").alias("rows")) for k in checks])).alias("x")).select("x.*").where("rows > 0")
+
+
+def published_scores(report: DataFrame, whole: str, least: int = 30) -> DataFrame:
+    """A scorer's evaluation as it may be published: ``rows, recall, average_precision, brier, verdict``.
+
+    Numbers are rounded and shown for ``whole`` only, and not where 1 to 10 were caught or missed; other
+    rows keep a verdict on whether they can be judged. Counts go.
+    """
+    fine = (F.col("rows") == whole) & ~is_small(F.col("caught")) & ~is_small(F.col("missed"))
+    return report.select("rows", *[F.when(fine, F.round(c, 3)).alias(c) for c in ("recall", "average_precision", "brier")], F.when(F.col("hits") < least, "too few").otherwise("judged").alias("verdict"))

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from tarnlake.functions.columns import ratio
 from tarnlake.operators import drift as op
 from tarnlake.operators import modelling as ml
+from tarnlake.operators import stays as stay_op
 from tarnlake.plans.basics import WILSON_HIGH, WILSON_LOW
 from tarnlake.plans.registry import query
 from tarnlake.plans.sql_views import VIEWS
 from tarnlake.plans.stays import signal
+from tarnlake.sources import adapters as a
 
 SPLIT = ("1995-01-01", "1999-01-01", "1998-12-01")
 VIEWS["part"] = "SELECT *, CASE WHEN admit_day >= DATE '1995-01-01' AND admit_day < DATE '1999-01-01' AND discharge_day <= DATE '1998-12-01' THEN 'train' WHEN admit_day >= DATE '1999-01-01' THEN 'production' ELSE 'gap' END AS part FROM signal"
@@ -31,9 +33,17 @@ def ml_time_split(spark: SparkSession, d: str) -> DataFrame:
     return parts(spark, d).groupBy("part").agg(F.count("*").alias("stays"))
 
 
-@query("SELECT patient_id, stay_no FROM signal WHERE NOT arrived_via_emergency")
+#: A procedure that most stays of its kind return from by plan, so that a model may leave them out.
+BYPASS = "P3"
+
+
+@query(f"SELECT 'all' AS population, count(*) AS stays FROM signal UNION ALL SELECT 'no_bypass', count(*) FROM signal s WHERE NOT EXISTS (FROM procedure p WHERE p.patient_id = s.patient_id AND p.code = '{BYPASS}' AND p.done_on BETWEEN s.admit_day AND s.discharge_day)")
 def ml_population(spark: SparkSession, d: str) -> DataFrame:
-    return signal(spark, d).where(~F.col("arrived_via_emergency")).select("patient_id", "stay_no")
+    """Index stays, and those without bypass surgery."""
+    stays = signal(spark, d)
+    during = stay_op.count_within(stays, a.procedure(spark, d).where(F.col("code") == BYPASS).select("patient_id", F.col("done_on").alias("day"), F.lit("bypass").alias("tag")), {"bypass": (F.col("admit_day"), F.col("discharge_day"))})
+    counts = during.agg(F.count("*").alias("all"), F.count_if(F.col("bypass") == 0).alias("no_bypass"))
+    return counts.unpivot([], ["all", "no_bypass"], "population", "stays")
 
 
 @query("SELECT patient_id, stay_no, score, CASE WHEN length_of_stay > 5 THEN 1 ELSE 0 END AS rule FROM ruled")

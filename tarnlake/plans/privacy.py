@@ -132,10 +132,18 @@ def pv_secondary_interval(spark: SparkSession, d: str) -> DataFrame:
     return op.secondary(cells(spark, d), "signal", "readmitted", "level").select("signal", "level", "hidden")
 
 
+VIEWS["guarded"] = "SELECT signal, count_if(readmitted BETWEEN 1 AND 10) AS alone, sum(CASE WHEN readmitted BETWEEN 1 AND 10 THEN readmitted ELSE 0 END) AS under, sum(CASE WHEN readmitted BETWEEN 1 AND 10 THEN 0 ELSE readmitted END) AS shown, sum(readmitted) AS total FROM cell GROUP BY signal"
+
+
 @query("""SELECT * FROM (SELECT 'no role: rest_stays' AS problem, count(*) AS rows FROM celled UNION ALL SELECT 'no role: rest_readmitted', count(*) FROM celled UNION ALL SELECT 'small count: readmitted', count_if(readmitted BETWEEN 1 AND 10) FROM celled
-UNION ALL SELECT 'unknown text: signal', count_if(signal NOT IN ('0', '1', '2', '3')) FROM celled) WHERE rows > 0""")
+UNION ALL SELECT 'unknown text: signal', count_if(signal NOT IN ('0', '1', '2', '3')) FROM celled UNION ALL SELECT 'lone hidden level', count_if(alone = 1) FROM guarded UNION ALL SELECT 'small hidden sum', count_if(under BETWEEN 1 AND 10) FROM guarded
+UNION ALL SELECT 'small leftover', count_if(total - shown BETWEEN 1 AND 10) FROM guarded) WHERE rows > 0""")
 def pv_publish_guard(spark: SparkSession, d: str) -> DataFrame:
-    return op.publish_guard(cells(spark, d), {"index_stays": "size", "readmitted": "count"}, {"signal": ["0", "1", "2", "3"]})
+    """All six refusals: texts, roles and counts by column, and what hidden levels give away by group."""
+    rows = cells(spark, d)
+    columns = op.publish_guard(rows, {"index_stays": "size", "readmitted": "count"}, {"signal": ["0", "1", "2", "3"]})
+    tile = rows.groupBy("signal").agg(F.sum("readmitted").alias("total"))
+    return columns.unionByName(op.hidden_refusals(rows, "signal", "readmitted", op.is_small(F.col("readmitted")), tile))
 
 
 @query("SELECT payer, CASE WHEN payer = 'BUILDING' THEN payer ELSE 'Payer ' || row_number() OVER (PARTITION BY payer = 'BUILDING' ORDER BY count(*) DESC, payer) END AS pseudonym FROM patient GROUP BY payer")
@@ -148,10 +156,3 @@ def pv_pseudonymise(spark: SparkSession, d: str) -> DataFrame:
 def pv_access_audit(spark: SparkSession, d: str) -> DataFrame:
     log = a.table(spark, d, "events").select(F.concat(F.lit("SELECT * FROM NATION_"), F.col("user_id") % 25).alias("statement"))
     return op.access_audit(log, a.table(spark, d, "nation").select(F.col("n_name").alias("table_name")))
-
-
-@query("SELECT signal, CASE WHEN r BETWEEN 1 AND 10 OR n - r BETWEEN 1 AND 10 THEN NULL ELSE round(r::DOUBLE / n, 3) END AS recall FROM (SELECT signal, CAST(sum(readmitted) AS BIGINT) AS r, CAST(sum(index_stays) AS BIGINT) AS n FROM cell GROUP BY signal)")
-def pv_publish_model(spark: SparkSession, d: str) -> DataFrame:
-    g = cells(spark, d).groupBy("signal").agg(F.sum("readmitted").alias("r"), F.sum("index_stays").alias("n"))
-    fine = ~(F.col("r").between(1, 10) | (F.col("n") - F.col("r")).between(1, 10))
-    return g.select("signal", F.when(fine, F.round(F.col("r") / F.col("n"), 3)).alias("recall"))

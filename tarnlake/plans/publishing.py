@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tarnlake.functions.columns import is_small, ratio
 from tarnlake.operators import privacy, quality
-from tarnlake.plans.models import REPORT, dr_report
+from tarnlake.plans.models import REPORT, dr_report, ml_evaluate
 from tarnlake.plans.questions import RATE, _rate
-from tarnlake.plans.registry import query
+from tarnlake.plans.registry import ORACLE_SQL, query
 from tarnlake.plans.sql_views import VIEWS
 from tarnlake.plans.stays import events, signal
 from tarnlake.sources import adapters as a
@@ -139,6 +139,16 @@ def pv_publish_drift(spark: SparkSession, d: str) -> DataFrame:
     return privacy.published(dr_report(spark, d), {"psi": 3}, {"training_rate"})
 
 
+@query()
+def pv_publish_model(spark: SparkSession, d: str) -> DataFrame:
+    """The rule's evaluation as it may be published."""
+    return privacy.published_scores(ml_evaluate(spark, d), "all")
+
+
+ORACLE_SQL["pv_publish_model"] = f"""SELECT rows, CASE WHEN fine THEN round(recall, 3) END AS recall, CASE WHEN fine THEN round(average_precision, 3) END AS average_precision, CASE WHEN fine THEN round(brier, 3) END AS brier,
+CASE WHEN hits < 30 THEN 'too few' ELSE 'judged' END AS verdict FROM (SELECT *, rows = 'all' AND NOT (caught BETWEEN 1 AND 10 OR missed BETWEEN 1 AND 10) AS fine FROM ({ORACLE_SQL['ml_evaluate']}))"""
+
+
 VIEWS["window_flag"] = "SELECT admit_year, admit_reason, count(*) AS stays, count_if(length_of_stay > 8) AS flagged FROM signal GROUP BY ALL"
 
 

@@ -152,10 +152,24 @@ def dq_fhir_reconcile(spark: SparkSession, d: str) -> DataFrame:
     return op.reconcile(dm_flatten_fhir(spark, d), tabular)
 
 
-@query()
+FINGERPRINT = "SELECT count(*) AS rows, CAST(sum(('0x' || left(md5(concat_ws(chr(1), {0})), 15))::HUGEINT) AS VARCHAR) AS digest_sum FROM {1}"
+
+
+def _texts(*columns: str) -> str:
+    return ", ".join(f"coalesce(CAST({x} AS VARCHAR), chr(0))" for x in columns)
+
+
+@query(FINGERPRINT.format(_texts("encounter_id", "patient_id", "encounter_class", "reason", "total_cost"), "encounter"))
 def ag_fingerprint(spark: SparkSession, d: str) -> DataFrame:
-    return op.fingerprint(a.encounter(spark, d))
+    """One number for a table's rows, whatever their order."""
+    return op.fingerprint(a.encounter(spark, d).select("encounter_id", "patient_id", "encounter_class", "reason", "total_cost"))
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS name, rows, digest_sum FROM ({FINGERPRINT.format(_texts(*x), n)})" for n, x in (("patient", ("patient_id", "full_name", "birth_date", "state")), ("condition", ("patient_id", "encounter_id", "code", "onset_date", "resolved_date")))))
+def dq_fingerprint(spark: SparkSession, d: str) -> DataFrame:
+    """Fingerprints of several tables, to be compared before and after a change."""
+    one = lambda name, *x: op.fingerprint(getattr(a, name)(spark, d).select(*x)).withColumn("name", F.lit(name))
+    return one("patient", "patient_id", "full_name", "birth_date", "state").unionByName(one("condition", "patient_id", "encounter_id", "code", "onset_date", "resolved_date"))
 
 
-dq_fingerprint = query(None, "dq_fingerprint")(lambda spark, d: op.gate({"encounter": op.fingerprint(a.encounter(spark, d)).select("rows"), "patient": op.fingerprint(a.patient(spark, d)).select("rows")}))
 assert RULES.window_days == 30

@@ -28,21 +28,37 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return put
 
 
-_shared: dict[tuple[str, str, str], DataFrame] = {}
+#: Shared tables that are remembered, at most; the oldest goes first.
+MOST_SHARED = 8
+_shared: dict[tuple, DataFrame] = {}
+
+
+def stamp(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of a folder's files, two levels deep: rewritten tables have another stamp."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for one in fs.listStatus(root):
+        inner = fs.listStatus(one.getPath()) if one.isDirectory() else [one]
+        found += [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in inner]
+    return tuple(sorted(found))
 
 
 def shared(build: Query) -> Query:
-    """An intermediate table that many queries start from: checkpointed at its first use in an application.
+    """An intermediate table that many queries start from: checkpointed at its first use over unchanged input files.
 
-    That also cuts its long lineage, which each further step of a query would analyse again.
-    The folder is the cluster's ``spark.checkpoint.dir``; a temporary one only where that is unset (tests).
+    That also cuts its long lineage, which each further step of a query would analyse again. It is
+    built when a query that needs it is, so that takes a job. The folder is the cluster's
+    ``spark.checkpoint.dir``; a temporary one only where that is unset (tests).
     """
 
     def get(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, build.__name__, sf_dir)
+        key = (spark.sparkContext.applicationId, build.__name__, sf_dir, stamp(spark, sf_dir))
         if key not in _shared:
             if not spark.conf.get("spark.checkpoint.dir", ""):
                 spark.sparkContext.setCheckpointDir(f"file://{tempfile.gettempdir()}/tarnlake-checkpoints")
+            while len(_shared) >= MOST_SHARED:
+                _shared.pop(next(iter(_shared)))
             _shared[key] = build(spark, sf_dir).checkpoint()
         return _shared[key]
 
