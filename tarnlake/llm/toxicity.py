@@ -17,13 +17,13 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from tarnlake.llm.boost import Boosted, fit_boosted
 from tarnlake.llm.labelled import sample_documents
 from tarnlake.llm.scratch import importable
-from tarnlake.llm.words import lower, span_hashes, text_runs, word_spans
+from tarnlake.llm.words import distinct_sorted, lower, shingle_hashes, span_hashes, text_runs, word_hashes, word_spans
 
 #: Documents of either label to learn from, at most.
 LEARN_DOCS = 2000
 #: Bytes of the ordinary dictionary and, at most, of what is toxic in the other.
 ORDINARY_BYTES, TOXIC_BYTES = 6144, 4096
-LEVEL, GRAM, LONGEST, MANY, MOST_GAIN, STORE_WORDS = 9, 4, 9, 6, 12, 100_000
+LEVEL, GRAM, LONGEST, MANY, MOST_GAIN, STORE_WORDS = 9, 4, 9, 6, 12, 500_000
 #: A count is no chance when its Poisson log likelihood ratio is so large.
 UNLIKELY = 15.0
 #: Classes of a gain for its window's length.
@@ -41,22 +41,28 @@ class ToxicityModel:
     thresholds: Boosted | None  # over what a document's windows say
     base: float  # share of toxic documents learned from; the score of texts without windows
 
-    def kinds(self) -> Callable[[bytes], int]:
-        """Kind of a window, by the bytes that the toxic dictionary saves over the ordinary one."""
+    def kinds(self) -> Callable[[list[bytes]], np.ndarray]:
+        """Kinds of windows, by the bytes that the toxic dictionary saves over the ordinary one."""
         same = {"level": LEVEL, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
         if not self.toxic:
-            return lambda window: 0
-        a, b = (zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), **same).compress for d in (self.ordinary, self.toxic))
+            return lambda windows: np.zeros(len(windows), dtype=np.int64)
+        a, b = (zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), **same).multi_compress_to_buffer for d in (self.ordinary, self.toxic))
 
         # The compressor leaves the last bytes of its input unmatched and keeps what it can't shrink as it is; the frame keeps a window clear of both.
-        def kind(window: bytes) -> int:
-            framed = b"\x02" * 24 + b" " + window + b" " + b"\x02" * 16
-            gain = min(max(len(a(framed)) - len(b(framed)), 0), MOST_GAIN)
-            return gain * COVERS + min(gain * COVERS // (len(window) + 1), COVERS - 1)
-
-        return kind
-
-    def scores(self, data: np.ndarray, offsets: np.ndarray, gain: Callable[[bytes], int], known: dict[int, int]) -> np.ndarray:
+        def kinds(windows: list[bytes]) -> np.ndarray:
+            out = []
+            for part in range(0, len(windows), 20_000):
+                some = windows[part : part + 20_000]
+                framed = [b"\x02" * 24 + b" " + w + b" " + b"\x02" * 16 for w in some]
+                one, two = (np.fromiter(map(len, f(framed)), dtype=np.int64, count=len(framed)) for f in (a, b))
+                gain = np.clip(one - two, 0, MOST_GAIN)
+                size = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
+                out.append(gain * COVERS + np.minimum(gain * COVERS // (size + 1), COVERS - 1))
+            return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+        return kinds
+
+    def scores(self, data: np.ndarray, offsets: np.ndarray, kinds_of: Callable[[list[bytes]], np.ndarray], known: dict[int, int]) -> np.ndarray:
         """Scores of the texts in ``data``; a window is a word, and equal windows are compressed once."""
         data = lower(data)
         row, starts, ends = word_spans(data, offsets)
@@ -67,9 +73,8 @@ class ToxicityModel:
             known.clear()
         raw = data.tobytes()
         keys = hashes.tolist()
-        for h, i in zip(keys, first.tolist(), strict=True):
-            if h not in known:
-                known[h] = gain(raw[starts[i] : ends[i]])
+        new = [(h, i) for h, i in zip(keys, first.tolist(), strict=True) if h not in known]
+        known.update(zip([h for h, _ in new], kinds_of([raw[starts[i] : ends[i]] for _, i in new]).tolist(), strict=True))
         kinds = np.fromiter((known[h] for h in keys), dtype=np.int64, count=len(keys))[inverse]
         found = window_statistics(row, self.evidence[kinds], len(offsets) - 1)
         if self.thresholds is None:
@@ -99,19 +104,21 @@ def _stretches(word: str) -> list[tuple[int, int]]:
 def _typical(toxic: list[str], ordinary: list[str]) -> set[str]:
     """Stretches in many times more toxic than ordinary documents, and more than chance would give."""
 
-    def documents_with(texts: list[str]) -> Counter:
+    def documents_with(texts: list[str], wanted: dict[str, int] | None) -> Counter:
         found: Counter = Counter()
         for text in texts:
-            found.update({f" {w}"[s:e] for w in set(_LETTERS.findall(text.lower())) for s, e in _stretches(w)})
+            here = {f" {w}"[s:e] for w in set(_LETTERS.findall(text.lower())) for s, e in _stretches(w)}
+            found.update(here if wanted is None else here & wanted.keys())
         return found
 
-    a, b = documents_with(toxic), documents_with(ordinary)
+    a = {g: n for g, n in documents_with(toxic, None).items() if n >= 4}
+    b = documents_with(ordinary, a)
     each = len(toxic) / len(ordinary)
 
     def stands_out(n: int, due: float) -> bool:
         return n >= MANY * due and n * np.log(n / due) - (n - due) >= UNLIKELY
 
-    return {g for g, n in a.items() if n >= 4 and stands_out(n, each * (b[g] + 1))}
+    return {g for g, n in a.items() if stands_out(n, each * (b[g] + 1))}
 
 
 def _toxic_content(toxic: list[str], typical: set[str]) -> bytes:
@@ -135,16 +142,18 @@ def _toxic_content(toxic: list[str], typical: set[str]) -> bytes:
 
 
 def _unlike(texts: list[str]) -> list[int]:
-    """Indexes of texts that share less than half of their runs of four words with earlier ones."""
-    seen: set[tuple[str, ...]] = set()
-    kept = []
-    for i, text in enumerate(texts):
-        words = (text or "").split()
-        runs = {tuple(words[j : j + 4]) for j in range(max(1, len(words) - 3))}
-        if 2 * len(runs & seen) < len(runs):
-            kept.append(i)
-            seen |= runs
-    return kept
+    """Indexes of texts of which at least half of the runs of four words occur in no earlier one."""
+    if not texts:
+        return []
+    found = []
+    for first, data, offsets in text_runs(pa.array(texts, pa.string())):
+        row, _, h = shingle_hashes(*word_hashes(data, offsets), 4)
+        row, h = distinct_sorted(row, h)
+        found.append((row + first, h))
+    row, h = (np.concatenate(x) for x in zip(*found, strict=True))
+    new = np.bincount(row[np.unique(h, return_index=True)[1]], minlength=len(texts))
+    runs = np.bincount(row, minlength=len(texts))
+    return np.flatnonzero((2 * new >= runs) & ((runs > 0) | (np.arange(len(texts)) == 0))).tolist()
 
 
 def fit_toxicity(texts: list[str], labels: list[int]) -> ToxicityModel:
@@ -171,13 +180,16 @@ def fit_toxicity(texts: list[str], labels: list[int]) -> ToxicityModel:
         shared = b" ".join(samples)[-ORDINARY_BYTES:]
     # The toxic stretches take the place of bytes that no text holds, so all else lies at the same distance in both.
     model = ToxicityModel(content + shared, b"\x01" * len(content) + shared, np.zeros(kinds), None, base)
-    kind = model.kinds()
+    kinds_of_words = model.kinds()
     known: dict[bytes, int] = {}
-    words = [(t or "").lower().encode().split() for t in texts]
-    for w in {w for text in words for w in text}:
-        known[w] = kind(w)
-    row = np.repeat(np.arange(len(texts)), [len(w) for w in words])
-    found = np.array([known[w] for text in words for w in text], dtype=np.int64)
+    kinds_of = []
+    for text in texts:
+        words = (text or "").lower().encode().split()
+        new = [w for w in set(words) if w not in known]
+        known.update(zip(new, kinds_of_words(new).tolist(), strict=True))
+        kinds_of.append(np.fromiter((known[w] for w in words), dtype=np.int16, count=len(words)))
+    row = np.repeat(np.arange(len(texts)), [len(k) for k in kinds_of])
+    found = np.concatenate(kinds_of).astype(np.int64)
     y = np.array(labels, dtype=float)
     counts = np.stack([np.bincount(found[y[row] == v], minlength=kinds) for v in (0, 1)]).astype(float)
     share = (counts + 0.5 * counts.sum(axis=1, keepdims=True) / counts.sum()) / (counts.sum(axis=1, keepdims=True) + 1)

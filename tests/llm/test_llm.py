@@ -135,6 +135,23 @@ def test_passages_of_phrases_that_many_hold(spark):
     assert [sum(any(t[j : j + 40] == r for j in range(len(t) - 39)) for t in left) for r in runs] == [1] * 21
 
 
+def test_near_copies_behind_many_holders_of_their_seeds(spark):
+    rng = np.random.default_rng(29)
+    shared = sentence(rng, 60).split()
+    edited = shared.copy()
+    edited[20] = edited[41] = "other"
+    around = lambda ws: f"{sentence(rng, 40)} {' '.join(ws)} {sentence(rng, 40)}"
+    keys = lambda rows: {r["doc_id"]: r["key"] for r in make(spark, rows).select("doc_id", passages.row_key().alias("key")).collect()}
+    tries = [(i, around(shared if i % 2 else edited), "a") for i in range(80)]
+    late = sorted(tries, key=lambda r, k=keys(tries): k[r[0]])
+    rows = [next(r for r in reversed(late) if r[0] % 2 == p) for p in (0, 1)]
+    both = {r[0] for r in rows}
+    rows += [(100 + 20 * o + i, around(shared[o : o + 26]), "b") for o in (0, 12, 22, 34) for i in range(9)]
+    found = passages.repeated_passages(make(spark, rows)).collect()
+    assert {frozenset((r["doc_id"], r["source_doc_id"])) for r in found} == {frozenset(both)}
+    assert max(r["end"] - r["start"] for r in found) >= 58
+
+
 def test_chain_is_collinear_and_pays_for_gaps():
     x, y, size = np.array([0, 10, 20, 400]), np.array([5, 15, 2, 405]), np.full(4, 6)
     first = passages.chain(x, y, size)[0].tolist()
