@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarnlake.functions.columns import is_small, ratio
 from tarnlake.operators import privacy, quality
 from tarnlake.plans.models import REPORT, dr_report, ml_evaluate
-from tarnlake.plans.questions import RATE, _rate
+from tarnlake.plans.questions import QUESTIONS, RATE, _rate
 from tarnlake.plans.registry import ORACLE_SQL, query
 from tarnlake.plans.sql_views import VIEWS
 from tarnlake.plans.stays import events, signal
@@ -168,3 +168,13 @@ def pv_mask_toggle_check(spark: SparkSession, d: str) -> DataFrame:
     views = [privacy.masked_view(p, tags, clear).select("patient_id", F.col("full_name").alias("shown"), F.lit(step).alias("step")) for step, clear in steps]
     rows = reduce(DataFrame.unionByName, views).join(p.select("patient_id", "full_name"), "patient_id")
     return rows.groupBy("step").agg(F.count("*").alias("rows"), F.count_if(F.col("shown") == F.col("full_name")).alias("clear"))
+
+
+ALL_QUESTIONS = {**{k: (sql, lambda s, d, f=f: f(signal(s, d))) for k, (sql, f) in QUESTIONS.items()}, **MORE}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS question, count(*) AS rows FROM ({sql})" for k, (sql, _) in ALL_QUESTIONS.items()))
+def mt_questions(spark: SparkSession, d: str) -> DataFrame:
+    """All questions and how many rows their answers have."""
+    counts = [answer(spark, d).agg(F.lit(k).alias("question"), F.count("*").alias("rows")) for k, (_, answer) in ALL_QUESTIONS.items()]
+    return reduce(DataFrame.unionByName, counts)

@@ -144,7 +144,7 @@ VIEWS["score_bin"] = "SELECT admit_year, part, outcome_readmitted, length_of_sta
 
 
 @query("""WITH t AS (SELECT bin, count(*)::DOUBLE / sum(count(*)) OVER () AS p FROM score_bin WHERE part = 'train' GROUP BY bin), y AS (SELECT DISTINCT admit_year FROM score_bin WHERE part <> 'train'), b AS (SELECT DISTINCT bin FROM score_bin),
-q AS (SELECT admit_year, bin, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY admit_year) AS q FROM score_bin WHERE part <> 'train' GROUP BY ALL),
+q AS (SELECT admit_year, bin, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY admit_year) AS q FROM score_bin WHERE part <> 'train' GROUP BY admit_year, bin),
 g AS (SELECT y.admit_year, greatest(coalesce(t.p, 0), 0.0001) AS p, greatest(coalesce(q.q, 0), 0.0001) AS q FROM y CROSS JOIN b LEFT JOIN t USING (bin) LEFT JOIN q ON q.admit_year = y.admit_year AND q.bin = b.bin),
 m AS (SELECT admit_year, sum((q - p) * ln(q / p)) AS psi FROM g GROUP BY admit_year)
 SELECT admit_year, any_value(psi) AS psi, avg((length_of_stay > 5)::INT)::DOUBLE AS flag_rate, avg(outcome_readmitted::INT)::DOUBLE AS readmission_rate FROM score_bin JOIN m USING (admit_year) WHERE part <> 'train' GROUP BY admit_year""")

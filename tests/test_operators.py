@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnlake.functions import columns as c
-from tarnlake.operators import modelling, privacy, quality, spans, stays
+from tarnlake.functions import ranks
+from tarnlake.operators import modelling, privacy, quality, retraining, spans, stays
 from tarnlake.sources import sinks
 from tarnlake.streaming import ingest
 
@@ -84,6 +85,56 @@ def test_deid_keys_are_stable_and_only_new(spark):
     assert set(b) == set(range(25, 50)) and all(a[k] == b[k] for k in b)
 
 
+def test_quantiles_and_places_without_one_task(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = np.r_[rng.normal(size=3000), np.full(2000, 0.5)]
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)] + [(9999, None)], "i int, x double")
+    got = ranks.quantiles(df, F.col("x"), [0.0, 0.1, 0.5, 0.77, 1.0]).first()["quantiles"]
+    assert got == pytest.approx(list(np.quantile(x, [0.0, 0.1, 0.5, 0.77, 1.0])), abs=1e-12)
+    placed = ranks.numbered(df, [F.asc_nulls_last("x"), F.asc("i")], F.col("x"), "r").collect()
+    want = {i: r for r, (_, i) in enumerate(sorted([(float(v), i) for i, v in enumerate(x)] + [(float("inf"), 9999)]), 1)}
+    assert {r["i"]: r["r"] for r in placed} == want
+
+
+def test_frequent_categories_have_no_cap(spark):
+    rows = spark.range(1200 * 20).select((F.col("id") % 1200).cast("string").alias("gender"), F.lit("r").alias("admit_reason"))
+    assert len(modelling.frequent(rows)["gender"]) == 1200
+
+
+def test_results_match_within_a_tolerance_whatever_the_grid(spark):
+    a = spark.createDataFrame([("X", 1.004), ("y", 2.0), ("y", None)], "k string, v double")
+    same = spark.createDataFrame([(2.003, "Y ", 7), (1.006, "x", 8), (None, "y", 9)], "v double, k string, more int")
+    other = spark.createDataFrame([(2.003, "Y"), (1.02, "x"), (None, "y")], "v double, k string")
+    assert quality.same_results(a, same).first()["same"] and not quality.same_results(a, other).first()["same"]
+
+
+def test_events_are_counted_within_stays(spark):
+    rows = [(1, 1, day("2020-01-05"), day("2020-01-08")), (1, 2, day("2020-01-09"), day("2020-01-09")), (2, 1, day("2020-01-05"), day("2020-01-08"))]
+    df = spark.createDataFrame(rows, "patient_id int, stay_no int, admit_day date, discharge_day date")
+    events = spark.createDataFrame([(1, day("2020-01-08"), "x"), (1, day("2020-01-04"), "x"), (1, day("2020-01-03"), "x"), (3, day("2020-01-05"), "x"), (2, None, "x")], "patient_id int, day date, tag string")
+    got = {(r["patient_id"], r["stay_no"]): r["x"] for r in stays.count_within(df, events, {"x": (F.date_sub("admit_day", 1), F.col("discharge_day"))}).collect()}
+    assert got == {(1, 1): 2, (1, 2): 1, (2, 1): 0}
+
+
+def test_history_refuses_a_date_twice(spark, tmp_path):
+    decided = spark.createDataFrame([(day("2020-01-01"), "keep"), (day("2021-01-01"), "retrain")], "as_of date, action string")
+    path = str(tmp_path / "h")
+    log = retraining.replay(spark, decided, ["2020-01-01"], path, "2021-01-01").orderBy("step").collect()
+    assert [(r["mode"], r["action"]) for r in log] == [("replay", "keep"), ("live", "retrain")]
+    with pytest.raises(ValueError, match="decided before"):
+        retraining.replay(spark, decided, ["2020-01-01"], path, "2021-01-01")
+    with pytest.raises(ValueError, match="in order"):
+        retraining.replay(spark, decided, ["2021-01-01"], path, "2020-01-01")
+
+
+def test_a_needle_of_two_categories_gives_two_spans(spark):
+    notes = spark.createDataFrame([(1, "Ann saw Ann, not Annie")], "note_id long, note_text string")
+    needles = spark.createDataFrame([(1, "name", "Ann"), (1, "place", "Ann"), (1, "name", "")], "note_id long, category string, needle string")
+    assert sorted((r["char_start"], r["category"]) for r in spans.find_needles(notes, needles).collect()) == [(0, "name"), (0, "place"), (8, "name"), (8, "place")]
+
+
 def test_leak_guard():
     with pytest.raises(ValueError, match="outcome_x"):
         modelling.guarded(["age_at_admit", "outcome_x"])
