@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tarnlake.llm.blocks import Block, Search, search_blocks
 
 #: Projections; half a window's width for radius 1; the factor by which radii grow.
-PROJECTIONS, WIDTH, GROWTH = 192, 0.5, 1.03
+PROJECTIONS, WIDTH, GROWTH = 256, 0.5, 1.03
 #: Standard deviations below the expected collisions of a vector just inside the radius.
 SLACK = 0.7
 #: Queries that look for the first radius, which is their mean k-th distance among so many rows, drawn out to all.
