@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlake.llm.scratch import importable
+
 #: Bytes of text of either label to learn from, at most.
 LEARN_BYTES = 64_000_000
 
@@ -31,3 +38,18 @@ def sample_documents(docs: DataFrame, labels: DataFrame, label: str, learn: Colu
     upto = F.sum("size").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
     fit = sizes.withColumn("upto", upto).groupBy("doc_id", "label").agg(F.max("upto").alias("upto")).where(F.col("upto") <= most_bytes).select("doc_id", "label")
     return docs.select("doc_id", "text").join(F.broadcast(fit), "doc_id")
+
+
+def fit_in_a_task(sample: DataFrame, fit: Callable[[list[str], list[int]], Any]) -> Any:
+    """What ``fit`` makes of the texts and labels of a bounded ``sample``, in order of id and text.
+
+    It runs in one task, so the driver never holds the texts, only the model.
+    """
+    importable(sample.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r["doc_id"], r["text"] or "", r["label"]) for b in batches for r in b.to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit([r[1] for r in rows], [r[2] for r in rows]))], pa.binary())], ["model"])
+
+    found = sample.select("doc_id", "text", "label").repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else fit([], [])

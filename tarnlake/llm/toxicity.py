@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tarnlake.llm.boost import Boosted, fit_boosted
-from tarnlake.llm.labelled import sample_documents
+from tarnlake.llm.labelled import fit_in_a_task, sample_documents
 from tarnlake.llm.scratch import importable
 from tarnlake.llm.words import distinct_sorted, lower, shingle_hashes, span_hashes, text_runs, word_hashes, word_spans
 
@@ -200,8 +200,7 @@ def fit_toxicity(texts: list[str], labels: list[int]) -> ToxicityModel:
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int = LEARN_DOCS) -> ToxicityModel:
     """Fit on at most ``most`` learning documents of either label, of at most LEARN_BYTES (the documented bound); all of their text is used."""
-    found = sorted((x["doc_id"], x["text"] or "", x["label"]) for x in sample_documents(docs, labels, "toxic", learn, most).collect())
-    return fit_toxicity([x[1] for x in found], [x[2] for x in found])
+    return fit_in_a_task(sample_documents(docs, labels, "toxic", learn, most), fit_toxicity)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id: str = "doc_id", text: str = "text") -> DataFrame:
