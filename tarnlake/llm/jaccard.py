@@ -18,14 +18,16 @@ from tarnlake.llm.words import distinct_sorted, mix, shingle_hashes, text_runs,
 
 #: Bits of a set's parity sketch: the power of two from twice its size, within these bounds.
 LEAST_BITS, MOST_SKETCH = 256, 8192
-#: Shingles in more prefixes than this come last in the common order, at most so many of them.
+#: Shingles in more prefixes than this come last in the common order; of more than so many, those in the most prefixes.
 FREQUENT, MOST_FREQUENT = 24, 1_000_000
 #: What reading one more posting of a list weighs against one subset, in the choice of the boundary.
 SCAN_COST = 4.0
 #: Members of an inverted list that one task compares at a time.
 BLOCK = 512
 #: A token that more members than this of one batch hold is first gathered within the batch.
-CROWD = 8
+CROWD = 256
+#: Groups that crowds of one token fall into, at most.
+SALTS = 4096
 #: Sets that are compared with one copy of their hub's set.
 STREAM = 2000
 #: Passing pairs that a task holds before it hands them on.
@@ -151,8 +153,8 @@ def _crowds(token: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch
     crowd = np.repeat(size > CROWD, size)
     lead = first[size > CROWD]
     token, key, n = (np.r_[v, v[lead]] for v in (token, key, n))
-    salt = int(mix(key.view(np.uint64)).sum() >> np.uint64(2)) | 1  # follows from the batch, so a task that runs again gives the same
-    group = np.r_[np.where(crowd, salt, 0), np.zeros(len(lead), np.int64)]
+    salt = int(mix(key.view(np.uint64)).sum() % np.uint64(SALTS)) + 1  # follows from the batch, so a task that runs again gives the same
+    group = np.r_[np.where(crowd, salt, 0), np.zeros(len(lead), np.int64)].astype(np.int32)
     return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(group), pa.array(key), pa.array(n)], ["token", "salt", "key", "n"])
 
 
@@ -447,20 +449,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     sizes = {r["n"]: r["count"] for r in classes.where("n < 64").groupBy("n").count().collect()}
     light = boundary(rule, sizes)
     only = texts.select("text")
-    counted = only.mapInArrow(_postings(rule, light, None), "token long").groupBy("token").count().where(F.col("count") > FREQUENT)
-    often = counted.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT).select("token").toArrow()["token"].to_numpy()
+    counted = keep(only.mapInArrow(_postings(rule, light, None), "token long").groupBy("token").count().where(F.col("count") > FREQUENT), "counted")
+    steps = sorted(counted.groupBy(F.floor(F.log2("count")).cast("int").alias("step")).agg(F.count("*").alias("tokens")).collect(), reverse=True)
+    fit = [r["step"] for r, upto in zip(steps, itertools.accumulate(r["tokens"] for r in steps), strict=True) if upto <= MOST_FREQUENT]
+    often = counted.where(F.log2("count") >= (min(fit) if fit else 64)).select("token").toArrow()["token"].to_numpy()
     frequent = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)) if len(often) else np.zeros(0, np.uint64))
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _postings(rule, light, frequent.value)(batches)
 
     in_list = Window.partitionBy("token", "salt").orderBy("key")
-    lists = only.mapInArrow(postings, "token long, salt long, key long, n long").withColumn("hub", F.first("key").over(in_list)).withColumn("hub_n", F.first("n").over(in_list))
+    lists = only.mapInArrow(postings, "token long, salt int, key long, n long").withColumn("hub", F.first("key").over(in_list)).withColumn("hub_n", F.first("n").over(in_list))
     members = keep(lists.where("hub <> key").drop("salt"), "lists")
     sketches = classes.select("key", "sketch")
-    stars = members.where(f"{den} * least(n, hub_n) >= {num} * greatest(n, hub_n)").select(F.col("key").alias("a"), F.col("hub").alias("b"), "n", "hub_n").distinct()
-    seen = stars.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("key").alias("b"), F.col("sketch").alias("y")), "b")
-    close = keep(seen.mapInArrow(_close(rule), "a long, b long"), "close")
+    stars = members.where(f"{den} * least(n, hub_n) >= {num} * greatest(n, hub_n)").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+    x = classes.select(F.col("key").alias("a"), "n", F.col("sketch").alias("x"))
+    y = classes.select(F.col("key").alias("b"), F.col("n").alias("hub_n"), F.col("sketch").alias("y"))
+    close = keep(stars.join(x, "a").join(y, "b").mapInArrow(_close(rule), "a long, b long"), "close")
     links = _verify(only, rule, close)
     groups = keep(connected_components(links), "groups")
 
