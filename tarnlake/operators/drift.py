@@ -169,7 +169,7 @@ def cluster_bootstrap(scored: DataFrame, key: str, first: Column, second: Column
     """The interval of the difference between two scorers' means, over resamples of whole clusters."""
     per = scored.groupBy(key).agg(F.sum(first).alias("a"), F.sum(second).alias("b_"), F.count(first).alias("n"))
     draws = resampled(per, key, ["a", "b_", "n"], resamples, seed)
-    return interval(draws, (F.col("a") - F.col("b_")) / F.col("n"))
+    return interval(draws, F.try_divide(F.col("a") - F.col("b_"), F.col("n")))
 
 
 def cut_bootstrap(scored: DataFrame, key: str, score: str, rule: Column, hit: str, share: float, resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
@@ -197,7 +197,7 @@ def verdicts(scored: DataFrame, group: str, key: str, first: Column, second: Col
     u = F.pmod(F.xxhash64(F.lit(seed), "b", key), F.lit(1 << 30)).cast("double") / (1 << 30)
     per = scored.groupBy(group, key).agg(F.sum(first - second).alias("gain"), F.count("*").alias("n"))
     drawn = per.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("w", reduce(lambda x, y: x + y, [(u >= s).cast("int") for s in POISSON]))
-    draws = drawn.groupBy(group, "b").agg((F.sum(F.col("w") * F.col("gain")) / F.sum(F.col("w") * F.col("n"))).alias("d"))
+    draws = drawn.groupBy(group, "b").agg(F.try_divide(F.sum(F.col("w") * F.col("gain")), F.sum(F.col("w") * F.col("n"))).alias("d"))
     bounds = draws.groupBy(group).agg(F.percentile("d", F.lit(0.025)).alias("low"))
     hits = scored.groupBy(group).agg(F.count_if(hit).alias("hits"))
     return bounds.join(hits, group).select(group, "low", "hits", verdict(F.col("low"), F.col("hits")).alias("verdict"))

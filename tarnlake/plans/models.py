@@ -16,8 +16,8 @@ from tarnlake.plans.stays import signal
 from tarnlake.sources import adapters as a
 
 SPLIT = ("1995-01-01", "1999-01-01", "1998-12-01")
-VIEWS["part"] = "SELECT *, CASE WHEN admit_day >= DATE '1995-01-01' AND admit_day < DATE '1999-01-01' AND discharge_day <= DATE '1998-12-01' THEN 'train' WHEN admit_day >= DATE '1999-01-01' THEN 'production' ELSE 'gap' END AS part FROM signal"
-VIEWS["ruled"] = "SELECT *, (length_of_stay * 10 + conditions_at_admit)::DOUBLE AS score, CASE WHEN length_of_stay > 5 THEN 0.3 ELSE 0.1 END AS p FROM part"
+VIEWS["stay_part"] = "SELECT *, CASE WHEN admit_day >= DATE '1995-01-01' AND admit_day < DATE '1999-01-01' AND discharge_day <= DATE '1998-12-01' THEN 'train' WHEN admit_day >= DATE '1999-01-01' THEN 'production' ELSE 'gap' END AS part FROM signal"
+VIEWS["ruled"] = "SELECT *, (length_of_stay * 10 + conditions_at_admit)::DOUBLE AS score, CASE WHEN length_of_stay > 5 THEN 0.3 ELSE 0.1 END AS p FROM stay_part"
 
 
 def parts(spark: SparkSession, d: str) -> DataFrame:
@@ -28,7 +28,7 @@ def ruled(spark: SparkSession, d: str) -> DataFrame:
     return parts(spark, d).withColumn("score", (F.col("length_of_stay") * 10 + F.col("conditions_at_admit")).cast("double")).withColumn("p", F.when(F.col("length_of_stay") > 5, 0.3).otherwise(0.1))
 
 
-@query("SELECT part, count(*) AS stays FROM part GROUP BY part")
+@query("SELECT part, count(*) AS stays FROM stay_part GROUP BY part")
 def ml_time_split(spark: SparkSession, d: str) -> DataFrame:
     return parts(spark, d).groupBy("part").agg(F.count("*").alias("stays"))
 
@@ -51,7 +51,7 @@ def ml_rule_baseline(spark: SparkSession, d: str) -> DataFrame:
     return ruled(spark, d).select("patient_id", "stay_no", "score", (F.col("length_of_stay") > 5).cast("int").alias("rule"))
 
 
-@query("SELECT r.patient_id, r.stay_no, coalesce(m.rate, (SELECT avg(outcome_readmitted::INT) FROM part WHERE part = 'train'))::DOUBLE AS p FROM part r LEFT JOIN (SELECT admit_reason, avg(outcome_readmitted::INT) AS rate FROM part WHERE part = 'train' GROUP BY ALL) m USING (admit_reason) WHERE r.part = 'production'")
+@query("SELECT r.patient_id, r.stay_no, coalesce(m.rate, (SELECT avg(outcome_readmitted::INT) FROM stay_part WHERE part = 'train'))::DOUBLE AS p FROM stay_part r LEFT JOIN (SELECT admit_reason, avg(outcome_readmitted::INT) AS rate FROM stay_part WHERE part = 'train' GROUP BY ALL) m USING (admit_reason) WHERE r.part = 'production'")
 def ag_group_mean_map(spark: SparkSession, d: str) -> DataFrame:
     x = parts(spark, d)
     hit = F.avg(F.col("outcome_readmitted").cast("double"))
@@ -113,10 +113,10 @@ def ml_verdict(spark: SparkSession, d: str) -> DataFrame:
 
 
 FEATURE_SQL = ", ".join(f"coalesce({c}, 3650)::DOUBLE AS {c}" if c == "days_since_last_discharge" else f"{c}::DOUBLE AS {c}" for c in [*ml.NUMBERS, *ml.FLAGS])
-KEPT_SQL = ", ".join(f"CASE WHEN {c} IN (SELECT {c} FROM part WHERE part = 'train' GROUP BY {c} HAVING count(*) >= 20) THEN {c} ELSE 'infrequent' END AS {c}" for c in ml.CATEGORIES)
+KEPT_SQL = ", ".join(f"CASE WHEN {c} IN (SELECT {c} FROM stay_part WHERE part = 'train' GROUP BY {c} HAVING count(*) >= 20) THEN {c} ELSE 'infrequent' END AS {c}" for c in ml.CATEGORIES)
 
 
-@query(f"SELECT patient_id, stay_no, {FEATURE_SQL}, {KEPT_SQL}, outcome_readmitted::DOUBLE AS label FROM part")
+@query(f"SELECT patient_id, stay_no, {FEATURE_SQL}, {KEPT_SQL}, outcome_readmitted::DOUBLE AS label FROM stay_part")
 def ml_features(spark: SparkSession, d: str) -> DataFrame:
     x = parts(spark, d)
     rows = ml.features(x, ml.frequent(x.where("part = 'train'")))
@@ -136,11 +136,11 @@ def ml_oof(spark: SparkSession, d: str) -> DataFrame:
     return ml.out_of_fold(ml.features(x, ml.frequent(x))).select("patient_id", "stay_no", "fold", "score")
 
 
-VIEWS["edge"] = "SELECT list_distinct(quantile_cont(length_of_stay::DOUBLE, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges FROM part WHERE part = 'train'"
-VIEWS["binned"] = "SELECT part, len(list_filter(edges, lambda e: e < length_of_stay)) AS bin FROM part CROSS JOIN edge WHERE part <> 'gap'"
+VIEWS["edge"] = "SELECT list_distinct(quantile_cont(length_of_stay::DOUBLE, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9])) AS edges FROM stay_part WHERE part = 'train'"
+VIEWS["binned"] = "SELECT part, len(list_filter(edges, lambda e: e < length_of_stay)) AS bin FROM stay_part CROSS JOIN edge WHERE part <> 'gap'"
 VIEWS["psi_number"] = "SELECT sum((q - p) * ln(q / p)) AS psi FROM (SELECT greatest(count_if(part = 'train')::DOUBLE / sum(count_if(part = 'train')) OVER (), 0.0001) AS p, greatest(count_if(part = 'production')::DOUBLE / sum(count_if(part = 'production')) OVER (), 0.0001) AS q FROM binned GROUP BY bin)"
-VIEWS["psi_reason"] = "SELECT sum((q - p) * ln(q / p)) AS psi FROM (SELECT greatest(count_if(part = 'train')::DOUBLE / sum(count_if(part = 'train')) OVER (), 0.0001) AS p, greatest(count_if(part = 'production')::DOUBLE / sum(count_if(part = 'production')) OVER (), 0.0001) AS q FROM part WHERE part <> 'gap' GROUP BY admit_reason)"
-VIEWS["psi_flag"] = "SELECT sum((q - p) * ln(q / p)) AS psi FROM (SELECT greatest(count_if(part = 'train')::DOUBLE / sum(count_if(part = 'train')) OVER (), 0.0001) AS p, greatest(count_if(part = 'production')::DOUBLE / sum(count_if(part = 'production')) OVER (), 0.0001) AS q FROM part WHERE part <> 'gap' GROUP BY is_planned)"
+VIEWS["psi_reason"] = "SELECT sum((q - p) * ln(q / p)) AS psi FROM (SELECT greatest(count_if(part = 'train')::DOUBLE / sum(count_if(part = 'train')) OVER (), 0.0001) AS p, greatest(count_if(part = 'production')::DOUBLE / sum(count_if(part = 'production')) OVER (), 0.0001) AS q FROM stay_part WHERE part <> 'gap' GROUP BY admit_reason)"
+VIEWS["psi_flag"] = "SELECT sum((q - p) * ln(q / p)) AS psi FROM (SELECT greatest(count_if(part = 'train')::DOUBLE / sum(count_if(part = 'train')) OVER (), 0.0001) AS p, greatest(count_if(part = 'production')::DOUBLE / sum(count_if(part = 'production')) OVER (), 0.0001) AS q FROM stay_part WHERE part <> 'gap' GROUP BY is_planned)"
 
 
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -159,7 +159,7 @@ def dr_status(spark: SparkSession, d: str) -> DataFrame:
     return op.psi(*_sides(spark, d), {"length_of_stay": "number"}).select(op.status(F.col("psi")).alias("status"))
 
 
-VIEWS["yearly"] = "SELECT admit_year, count(*)::DOUBLE AS n, count_if(outcome_readmitted)::DOUBLE AS k, (SELECT avg(outcome_readmitted::INT) FROM part WHERE part = 'train')::DOUBLE AS ref FROM signal GROUP BY admit_year"
+VIEWS["yearly"] = "SELECT admit_year, count(*)::DOUBLE AS n, count_if(outcome_readmitted)::DOUBLE AS k, (SELECT avg(outcome_readmitted::INT) FROM stay_part WHERE part = 'train')::DOUBLE AS ref FROM signal GROUP BY admit_year"
 
 
 def yearly(spark: SparkSession, d: str) -> DataFrame:
@@ -179,7 +179,7 @@ def dr_rate_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 REPORT = f"""SELECT 'length_of_stay' AS feature, psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi <= 0.25 THEN 'watch' ELSE 'shifted' END AS status FROM psi_number UNION ALL SELECT 'admit_reason', psi, CASE WHEN psi < 0.1 THEN 'stable' WHEN psi <= 0.25 THEN 'watch' ELSE 'shifted' END FROM psi_reason
-UNION ALL SELECT 'is_planned', psi, (SELECT CASE WHEN ref BETWEEN {WILSON_LOW} AND {WILSON_HIGH} THEN 'stable' WHEN abs(k / n - ref) >= 0.05 THEN 'shifted' ELSE 'watch' END FROM (SELECT count_if(part = 'production')::DOUBLE AS n, count_if(part = 'production' AND is_planned)::DOUBLE AS k, avg(is_planned::INT) FILTER (WHERE part = 'train')::DOUBLE AS ref FROM part)) FROM psi_flag"""
+UNION ALL SELECT 'is_planned', psi, (SELECT CASE WHEN ref BETWEEN {WILSON_LOW} AND {WILSON_HIGH} THEN 'stable' WHEN abs(k / n - ref) >= 0.05 THEN 'shifted' ELSE 'watch' END FROM (SELECT count_if(part = 'production')::DOUBLE AS n, count_if(part = 'production' AND is_planned)::DOUBLE AS k, avg(is_planned::INT) FILTER (WHERE part = 'train')::DOUBLE AS ref FROM stay_part)) FROM psi_flag"""
 
 
 @query(REPORT)
@@ -192,10 +192,10 @@ def rt_shifted_features(spark: SparkSession, d: str) -> DataFrame:
     return dr_report(spark, d).where("status = 'shifted'").select("feature")
 
 
-VIEWS["profiled"] = "SELECT *, admit_reason || ' / ' || gender || ' / ' || conditions_at_admit AS profile FROM part"
+VIEWS["profiled"] = "SELECT *, admit_reason || ' / ' || gender || ' / ' || conditions_at_admit AS profile FROM stay_part"
 
 
-@query("SELECT profile AS category, count_if(part = 'production') AS rows, count_if(part = 'production')::DOUBLE / (SELECT count(*) FROM part WHERE part = 'production') AS share FROM profiled WHERE part <> 'gap' GROUP BY profile HAVING count_if(part = 'train') = 0")
+@query("SELECT profile AS category, count_if(part = 'production') AS rows, count_if(part = 'production')::DOUBLE / (SELECT count(*) FROM stay_part WHERE part = 'production') AS share FROM profiled WHERE part <> 'gap' GROUP BY profile HAVING count_if(part = 'train') = 0")
 def dr_unseen_categories(spark: SparkSession, d: str) -> DataFrame:
     """Profiles of reason, gender and number of conditions that production has and training never had."""
     train, prod = (x.withColumn("profile", F.concat_ws(" / ", "admit_reason", "gender", F.col("conditions_at_admit").cast("string"))) for x in _sides(spark, d))
@@ -209,7 +209,7 @@ def rt_windows(spark: SparkSession, d: str) -> DataFrame:
     return signal(spark, d).agg(inside("check_from", "check_to").alias("check_stays"), inside("cut_from", "cut_to").alias("cut_stays"))
 
 
-@query("SELECT avg((length_of_stay > 5)::INT)::DOUBLE AS budget FROM part WHERE part = 'train'")
+@query("SELECT avg((length_of_stay > 5)::INT)::DOUBLE AS budget FROM stay_part WHERE part = 'train'")
 def rt_budget(spark: SparkSession, d: str) -> DataFrame:
     return parts(spark, d).where("part = 'train'").agg(F.avg((F.col("length_of_stay") > 5).cast("double")).alias("budget"))
 

@@ -1,8 +1,7 @@
-"""All queries over the library's own operators, and their SQL."""
+"""Where queries over the library's own operators register, with their SQL; ``plans.all`` imports them all."""
 
 from __future__ import annotations
 
-import importlib
 import tempfile
 from collections.abc import Callable
 
@@ -49,13 +48,15 @@ def shared(build: Query) -> Query:
 
     That also cuts its long lineage, which each further step of a query would analyse again. It is
     built when a query that needs it is, so that takes a job. The folder is the cluster's
-    ``spark.checkpoint.dir``; a temporary one only where that is unset (tests).
+    ``spark.checkpoint.dir``; a temporary one only where that is unset in local mode (tests).
     """
 
     def get(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, build.__name__, sf_dir, stamp(spark, sf_dir))
         if key not in _shared:
             if not spark.conf.get("spark.checkpoint.dir", ""):
+                if not spark.sparkContext.master.startswith("local"):
+                    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
                 spark.sparkContext.setCheckpointDir(f"file://{tempfile.gettempdir()}/tarnlake-checkpoints")
             while len(_shared) >= MOST_SHARED:
                 _shared.pop(next(iter(_shared)))
@@ -63,7 +64,3 @@ def shared(build: Query) -> Query:
         return _shared[key]
 
     return get
-
-
-for _module in ("basics", "stays", "measures", "privacy", "quality", "models", "texts", "questions", "storage", "retraining", "publishing"):
-    importlib.import_module(f"tarnlake.plans.{_module}")

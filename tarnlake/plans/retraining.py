@@ -20,10 +20,10 @@ from tarnlake.sources import sinks
 from tarnlake.sources.shared import shared_folder
 
 DATES, LIVE, BUDGET, CUTOFF = ["1996-07-02", "1997-07-02", "1998-07-02"], "1999-07-02", 0.25, 50.0
-VIEWS["model_rate"] = "SELECT admit_reason, sum(outcome_readmitted::INT)::DOUBLE AS k, count(*)::DOUBLE AS n FROM part WHERE part = 'train' GROUP BY ALL"
-VIEWS["fold_rate"] = "SELECT admit_reason, patient_id % 5 AS fold, sum(outcome_readmitted::INT)::DOUBLE AS k, count(*)::DOUBLE AS n FROM part WHERE part = 'train' GROUP BY ALL"
-VIEWS["window_score"] = """SELECT p.patient_id, p.stay_no, p.part, p.outcome_readmitted, coalesce((m.k - CASE WHEN p.part = 'train' THEN coalesce(f.k, 0) ELSE 0 END) / nullif(m.n - CASE WHEN p.part = 'train' THEN coalesce(f.n, 0) ELSE 0 END, 0), (SELECT avg(outcome_readmitted::INT) FROM part WHERE part = 'train'))::DOUBLE AS score
-  FROM part p LEFT JOIN model_rate m USING (admit_reason) LEFT JOIN fold_rate f ON f.admit_reason = p.admit_reason AND f.fold = p.patient_id % 5"""
+VIEWS["model_rate"] = "SELECT admit_reason, sum(outcome_readmitted::INT)::DOUBLE AS k, count(*)::DOUBLE AS n FROM stay_part WHERE part = 'train' GROUP BY ALL"
+VIEWS["fold_rate"] = "SELECT admit_reason, patient_id % 5 AS fold, sum(outcome_readmitted::INT)::DOUBLE AS k, count(*)::DOUBLE AS n FROM stay_part WHERE part = 'train' GROUP BY ALL"
+VIEWS["window_score"] = """SELECT p.patient_id, p.stay_no, p.part, p.outcome_readmitted, coalesce((m.k - CASE WHEN p.part = 'train' THEN coalesce(f.k, 0) ELSE 0 END) / nullif(m.n - CASE WHEN p.part = 'train' THEN coalesce(f.n, 0) ELSE 0 END, 0), (SELECT avg(outcome_readmitted::INT) FROM stay_part WHERE part = 'train'))::DOUBLE AS score
+  FROM stay_part p LEFT JOIN model_rate m USING (admit_reason) LEFT JOIN fold_rate f ON f.admit_reason = p.admit_reason AND f.fold = p.patient_id % 5"""
 
 
 def scores(spark: SparkSession, d: str) -> DataFrame:
@@ -162,7 +162,7 @@ def dr_report_years(spark: SparkSession, d: str) -> DataFrame:
     return moved.join(rates, "admit_year").select("admit_year", "psi", "flag_rate", "readmission_rate")
 
 
-@query("SELECT rows, n, round(recall, 3) AS recall FROM (SELECT 'train' AS rows, count(*) AS n, count_if(outcome_readmitted AND length_of_stay > 5)::DOUBLE / nullif(count_if(outcome_readmitted), 0) AS recall FROM part WHERE part = 'train' UNION ALL SELECT 'production', count(*), count_if(outcome_readmitted AND length_of_stay > 5)::DOUBLE / nullif(count_if(outcome_readmitted), 0) FROM part WHERE part = 'production')")
+@query("SELECT rows, n, round(recall, 3) AS recall FROM (SELECT 'train' AS rows, count(*) AS n, count_if(outcome_readmitted AND length_of_stay > 5)::DOUBLE / nullif(count_if(outcome_readmitted), 0) AS recall FROM stay_part WHERE part = 'train' UNION ALL SELECT 'production', count(*), count_if(outcome_readmitted AND length_of_stay > 5)::DOUBLE / nullif(count_if(outcome_readmitted), 0) FROM stay_part WHERE part = 'production')")
 def rt_rule_recall(spark: SparkSession, d: str) -> DataFrame:
     """The rule's recall on either side of the split."""
     hit = F.col("outcome_readmitted")

@@ -9,7 +9,7 @@ import os
 import duckdb
 import pytest
 
-from tarnlake.plans.registry import ORACLE_SQL, QUERIES
+from tarnlake.plans.all import ORACLE_SQL, QUERIES
 
 #: One or more of every family; the driver compares all of them.
 NAMES = ["rd_rate", "rd_gate", "rd_ladder", "rd_events", "rd_signals", "cg_gap", "dm_patient_360", "dm_dim_date", "mt_kpi_tiles", "mt_separates", "dq_quarantine", "dq_gate_row", "dq_reconcile", "pv_deid_patient", "pv_complementary", "pv_secondary_interval", "pv_kanon", "dr_report", "ml_evaluate", "tx_score", "wn_nonoverlap_greedy", "ag_rollup", "fn_date", "st_except_all",
