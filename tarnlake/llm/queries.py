@@ -16,8 +16,11 @@ from tarnlake.llm.labelled import fold
 from tarnlake.llm.mix import mix_documents, word_count
 from tarnlake.llm.pack import pack_documents
 from tarnlake.llm.passages import repeated_passages
+from tarnlake.llm.phrases import collocations
 from tarnlake.llm.quality import learn_quality, score_quality
+from tarnlake.llm.rules import broke_base, rule_cascade
 from tarnlake.llm.shards import shard_documents
+from tarnlake.llm.squares import periodic_runs
 from tarnlake.llm.toxicity import learn_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +156,72 @@ SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
 def op1_substring_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 40 words or more of which 0.8 agree with one of another document, each with its place and its source."""
     return repeated_passages(table(spark, sf_dir, "documents")).drop("key")
+
+
+@query
+def op11_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text and what the cascade of quality rules says of it."""
+    judged = rule_cascade(table(spark, sf_dir, "documents"), whole=True)
+    base = broke_base(F.col("n_words"), F.col("n_repeat_words"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
+
+
+ORACLE_SQL["op11_rule_cascade"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d))),
+p AS (SELECT r, count(DISTINCT x) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS x FROM g WHERE c > 1) GROUP BY r),
+l AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS again FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+s AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(l.again, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words, coalesce(l.n, 0) AS n_lines FROM d LEFT JOIN p USING (r) LEFT JOIN l USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 10 * n_symbols > 2 * n_words OR 2 * n_dup_lines > n_lines) AS kept FROM b
+"""
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text, of which a tenth (by crc32 of the id) has its tail replaced by a repeated stretch.
+
+    A null id has no crc32, so its text stays as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    g, n = F.col("_g"), F.size("_w")
+    a = F.pmod(g, n)
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    word = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at("_w", (F.when(i < a, i).otherwise(a + F.pmod(i - a, p)) + 1).cast("int")))
+    planted = table(spark, sf_dir, "documents").select("doc_id", "text", (h / 10).cast("long").alias("_g"), F.when(h % 10 == 0, words).alias("_w"))
+    planted = planted.select("doc_id", F.when(F.size("_w") > 0, F.array_join(word, " ")).otherwise(F.col("text")).alias("text"))
+    found = periodic_runs(planted)
+    most = F.reduce("runs", F.lit(None).cast("struct<start: long, length: long, period: long>"), lambda best, x: F.when(best.isNull() | (x["length"] * best["period"] > best["length"] * x["period"]), x).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"])), "\n")
+    found = found.withColumn("best", most).withColumn("lines", F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""))
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", milli.alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2,000 phrases of words that occur together."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+_INNER = ", ".join(f"CASE WHEN m > {k} AND {i} + {k} - 1 <= m THEN array_to_string(w[{i}:{i + k - 1}], ' ') END" for k in (2, 3) for i in range(1, 4))
+ORACLE_SQL["op13_phrase_collocations"] = rf"""
+WITH p AS (SELECT row_number() OVER () AS r, lang, piece FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w), (VALUES (1), (2), (3), (4)) v(m) WHERE i + m - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+e AS MATERIALIZED (SELECT lang || ' ' || phrase AS key, f FROM f WHERE f >= 30),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE m > 1 AND f >= 30),
+k AS (SELECT *, array_to_string(w[:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest FROM c, (VALUES (1), (2), (3)) v(k) WHERE k < m),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r, (CAST(a AS HUGEINT) * 2000000) // (x.f + y.f) AS score FROM k JOIN e x ON x.key = k.lang || ' ' || k.first JOIN e y ON y.key = k.lang || ' ' || k.rest),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT lang, phrase, max(a) AS top FROM (SELECT lang, a, unnest([{_INNER}]) AS phrase FROM c WHERE m > 2) WHERE phrase IS NOT NULL GROUP BY ALL),
+t AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank FROM b LEFT JOIN o USING (lang, phrase) WHERE top IS NULL OR 100 * CAST(top AS HUGEINT) < 80 * CAST(a AS HUGEINT))
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score FROM t JOIN n USING (lang) WHERE rank <= 2000
+"""

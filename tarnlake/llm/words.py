@@ -34,8 +34,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def text_runs(column: pa.ChunkedArray | pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of whole texts; null is empty."""
+def text_runs(column: pa.ChunkedArray | pa.Array, size: int = RUN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of runs of whole texts of about ``size`` bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column, "").cast(pa.large_string())
@@ -43,7 +43,7 @@ def text_runs(column: pa.ChunkedArray | pa.Array) -> Iterator[tuple[int, np.ndar
     data = np.frombuffer(column.buffers()[2], dtype=np.uint8) if column.buffers()[2] is not None and column.buffers()[2].size else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + RUN_BYTES, side="right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 
@@ -81,6 +81,26 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return row, span_hashes(lower(data), starts, ends)
 
 
+def encoded_words(data: np.ndarray, inside: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """(number of each word, distinct words): words told apart byte by byte.
+
+    ``data[inside]`` is all of their bytes in a row, ``sizes`` says how many each has.
+    """
+    offsets = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))])
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def array_bytes(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of an array of binary values."""
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(words.buffers()[1], dtype=np.int64, count=len(words) + words.offset + 1)[words.offset :]
+    data = np.frombuffer(words.buffers()[2], dtype=np.uint8) if words.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def shingle_hashes(row: np.ndarray, word: np.ndarray, k: int, whole: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, first word, hash) of runs of k words; with ``whole``, a row of fewer words has them all as one."""
     n = len(word)
