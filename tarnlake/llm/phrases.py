@@ -300,7 +300,7 @@ def count_phrases(docs: DataFrame, words: DataFrame, least: int, leaves: int = L
             found = Leaves(Words(lang, data, offsets), bits.value)
             group = group_of([found.hash[c.astype(np.int64)] for c in found.ids[: DEPTH - 1]], cuts.value)
             begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)]).tolist()
-            for a, b in zip(begin, [*begin[1:], len(group)], strict=True):
+            for a, b in zip(begin, [*begin[1:], len(group)], strict=False):  # no leaves: nothing begins
                 yield pa.RecordBatch.from_arrays([pa.array([int(group[a])]), pa.array([lang]), pa.array([_packed(found, a, b)], pa.binary())], ["group", "lang", "leaves"])
 
     def build(table: pa.Table) -> pa.Table:
