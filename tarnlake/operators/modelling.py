@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NUMBERS = ["age_at_admit", "conditions_at_admit", "length_of_stay", "prior_stays_12m", "prior_emergency_12m", "encounters_in_stay", "days_since_last_discharge"]
@@ -53,6 +53,23 @@ def pipeline(kind: str = "logistic") -> Pipeline:
     return Pipeline(stages=[*stages, model])
 
 
+def signs() -> dict[str, Column]:
+    """Yes/no features of the plain model; what is missing counts as no."""
+    of = {"lab": F.col("has_lab_done"), "pressure": F.col("has_pressure_controlled"), "drug": F.col("has_drug_taken"), "emergency": F.col("arrived_via_emergency"),
+          "long": F.col("length_of_stay") > 5, "ill": F.col("conditions_at_admit") > 3, "before": F.col("prior_stays_12m") > 0}
+    return {k: F.coalesce(x.cast("boolean"), F.lit(False)) for k, x in of.items()}
+
+
+def sign_rows(signals: DataFrame) -> DataFrame:
+    """``signals`` with the yes/no features as numbers and the label, for ``sign_pipeline``."""
+    return signals.withColumns({f"x_{k}": x.cast("double") for k, x in signs().items()}).withColumn("label", F.coalesce("outcome_readmitted", F.lit(False)).cast("double"))
+
+
+def sign_pipeline() -> Pipeline:
+    """Naive Bayes over the yes/no features: its fit is a count, so grouped counts give the same model (``operators.bayes``)."""
+    return Pipeline(stages=[VectorAssembler(inputCols=[f"x_{k}" for k in signs()], outputCol="features"), NaiveBayes(modelType="bernoulli", smoothing=1.0)])
+
+
 def score(model: object, rows: DataFrame) -> DataFrame:
     return model.transform(rows).withColumn("score", vector_to_array("probability")[1]).select(*rows.columns, "score")
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.functions.columns import ratio, wilson
+from tarnlake.functions.ranks import group_quantiles
+from tarnlake.operators import bayes
 from tarnlake.operators.drift import RESAMPLES, POISSON, interval, windows
 from tarnlake.sources import sinks
 
@@ -20,22 +24,6 @@ def champion_meta(history: DataFrame) -> DataFrame:
                           F.greatest(tag("train_to").cast("date"), F.col("tags")["scoring_start"].try_cast("date")).alias("scoring_start"), tag("cutoff").try_cast("double").alias("cutoff"))
 
 
-def group_scores(train: DataFrame, rows: DataFrame, group: str, hit: str, fold: Column) -> DataFrame:
-    """``rows`` with ``score``: their group's training rate; rows that training holds get it without their own fold.
-
-    Sums by group and fold give both, so nothing is fitted once per fold. A group without other rows gets
-    the overall rate.
-    """
-    y = F.col(hit).cast("double")
-    sums = train.withColumn("_f", fold).groupBy(group, "_f").agg(F.sum(y).alias("_k"), F.count("*").alias("_n"))
-    whole = sums.groupBy(group).agg(F.sum("_k").alias("_all_k"), F.sum("_n").alias("_all_n"))
-    overall = train.agg(F.avg(y).alias("_overall"))
-    own = rows.withColumn("_f", fold).join(F.broadcast(whole), group, "left").join(F.broadcast(sums), [group, "_f"], "left").crossJoin(F.broadcast(overall))
-    inside = F.col("part") == "train"
-    k, n = (F.col(f"_all_{c}") - F.when(inside, F.coalesce(f"_{c}", F.lit(0))).otherwise(0) for c in ("k", "n"))
-    return own.withColumn("score", F.coalesce(F.try_divide(k, n), F.col("_overall"))).drop("_f", "_k", "_n", "_all_k", "_all_n", "_overall")
-
-
 def ranking_guard(scored: DataFrame, key: str, champion: str, challenger: str, hit: str, resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
     """``low, mid, high`` of the challenger's average precision less the champion's over resampled clusters, and whether it ranks clearly worse.
 
@@ -59,23 +47,38 @@ def ranking_guard(scored: DataFrame, key: str, champion: str, challenger: str, h
     return out.withColumn("verdict", F.when(F.col("hits") == 0, "not judged").when(F.col("high") < 0, "clearly worse").otherwise("not clearly worse"))
 
 
-def cursors(rows: DataFrame, dates: list[str]) -> DataFrame:
-    """``rows`` once for every date at which a decision is due and whose check or cutoff window they lie in."""
+def cursors(rows: DataFrame, dates: list[str], train_months: int = 36) -> DataFrame:
+    """``rows`` once for every date at which a decision is due, with what they are for it.
+
+    ``window`` is ``check``, ``cut`` or null; ``trains`` says whether a challenger of that date learns from the row: admitted in
+    the ``train_months`` before the check window, its outcome known on the date. A row without any use is left out.
+    """
     each = rows.withColumn("as_of", F.explode(F.array(*[F.lit(x).cast("date") for x in dates])))
     w = windows(F.col("as_of"))
-    inside = lambda a, b: (F.col("admit_day") > w[a]) & (F.col("admit_day") <= w[b])
-    return each.withColumn("window", F.when(inside("check_from", "check_to"), "check").when(inside("cut_from", "cut_to"), "cut")).where("window IS NOT NULL")
+    inside = lambda a, b: (F.col("admit_day") > a) & (F.col("admit_day") <= b)
+    window = F.when(inside(w["check_from"], w["check_to"]), "check").when(inside(w["cut_from"], w["cut_to"]), "cut")
+    trains = inside(F.add_months(w["check_from"], -train_months), w["check_from"]) & (F.col("discharge_day") <= w["check_to"])
+    return each.withColumn("window", window).withColumn("trains", trains).where("window IS NOT NULL OR trains")
 
 
-def decisions(rows: DataFrame, dates: list[str], champion: str, challenger: str, cutoff: float, budget: float) -> DataFrame:
-    """One row per date: what the champion flags in the check window, whether that calls for action, and the smallest change that helps.
+def challenged(rows: DataFrame, dates: list[str], features: Mapping[str, Column], hit: str, fold: Column) -> DataFrame:
+    """``cursors`` with ``challenger``: the score of the model trained for each date, without their own fold for the rows that it learnt from.
 
-    The target share must lie inside the interval of the flag rate. Tried in order: the cutoff as it is; the
-    champion with a cutoff from the window before; a challenger with its own cutoff from there.
+    All dates' models come from one aggregation by date and fold.
     """
     each = cursors(rows, dates)
-    cut = each.where("window = 'cut'").groupBy("as_of").agg(F.percentile(champion, F.lit(1 - budget)).alias("new_cutoff"), F.percentile(challenger, F.lit(1 - budget)).alias("own_cutoff"))
-    check = each.where("window = 'check'").join(cut, "as_of", "left")
+    return bayes.scores(each.where("trains"), each.where("window IS NOT NULL"), ["as_of"], fold, F.col("trains"), F.col(hit), features, "challenger")
+
+
+def decisions(scored: DataFrame, champion: str, challenger: str, cutoff: float, budget: float) -> DataFrame:
+    """One row per date: what the champion flags in the check window, whether that calls for action, and the smallest change that helps.
+
+    ``scored`` has ``as_of, window`` and both scores. The target share must lie inside the interval of the flag rate. Tried in
+    order: the cutoff as it is; the champion with a cutoff from the window before; the challenger with its own cutoff from there.
+    """
+    cut = scored.where("window = 'cut'")
+    new, own = (group_quantiles(cut, ["as_of"], F.col(c), [1 - budget]).select("as_of", F.col("quantiles")[0].alias(name)) for c, name in ((champion, "new_cutoff"), (challenger, "own_cutoff")))
+    check = scored.where("window = 'check'").join(new, "as_of", "left").join(own, "as_of", "left")
     flags = {"keep": F.col(champion) > cutoff, "new cutoff": F.col(champion) > F.col("new_cutoff"), "retrain": F.col(challenger) > F.col("own_cutoff")}
     counts = check.groupBy("as_of").agg(F.count("*").alias("n"), *[F.count_if(v).alias(k) for k, v in flags.items()])
     fits = {k: F.lit(budget).between(*wilson(F.col(f"`{k}`"), F.col("n"))) for k in flags}

@@ -5,9 +5,11 @@ Offsets are 0-based code points, half open.
 
 from __future__ import annotations
 
+import datetime
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +85,88 @@ def find_needles(notes: DataFrame, needles: DataFrame) -> DataFrame:
     return notes.select("note_id", "note_text").join(own, "note_id").mapInPandas(run, SPAN)
 
 
+MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+_MONTH = "|".join(MONTHS)
+#: Fixed shapes of a date in a note; one pass over the text finds them all.
+DATE_SHAPE = re.compile(rf"(?<!\w)(?:(?P<y>\d{{4}})-(?P<m>\d{{2}})-(?P<d>\d{{2}})|(?P<m2>\d{{1,2}})/(?P<d2>\d{{1,2}})/(?P<y2>\d{{4}})|(?P<n3>{_MONTH}) (?P<d3>\d{{1,2}}), (?P<y3>\d{{4}})|(?P<d4>\d{{1,2}}) (?P<n4>{_MONTH}) (?P<y4>\d{{4}}))(?!\w)")
+AGE = re.compile(r"\b(\d{2,3}) year-old")
+OLDEST = 89
+
+
+def date_forms(day: datetime.date) -> set[str]:
+    """The six ways in which a day is written."""
+    y, m, d, name = day.year, day.month, day.day, MONTHS[day.month - 1]
+    return {f"{y:04d}-{m:02d}-{d:02d}", f"{m}/{d}/{y}", f"{m:02d}/{d:02d}/{y}", f"{name} {d}, {y}", f"{name} {d:02d}, {y}", f"{d} {name} {y}"}
+
+
+def dated(m: re.Match[str]) -> datetime.date | None:
+    """The day that a match of ``DATE_SHAPE`` names, if there is such a day."""
+    g = m.groupdict()
+    month = g["m"] or g["m2"] or MONTHS.index(g["n3"] or g["n4"]) + 1
+    try:
+        return datetime.date(*(int(x) for x in (g["y"] or g["y2"] or g["y3"] or g["y4"], month, g["d"] or g["d2"] or g["d3"] or g["d4"])))
+    except ValueError:
+        return None
+
+
+class Dictionary:
+    """One Aho-Corasick automaton over the needles of many owners; a text is read once, whoever it belongs to."""
+
+    def __init__(self, owners: Iterable[Iterable[str]]) -> None:
+        self.automaton = ahocorasick.Automaton()
+        for needle in {n for own in owners for n in own}:
+            self.automaton.add_word(needle, needle)
+        if len(self.automaton):
+            self.automaton.make_automaton()
+
+    def places(self, text: str, own: Container[str]) -> Iterator[tuple[int, int, str]]:
+        """Places of the needles of ``own`` that no letter, digit or underscore touches; those of one needle don't overlap."""
+        if not len(self.automaton):
+            return
+        last: dict[str, int] = {}
+        for stop, needle in self.automaton.iter(text):
+            begin, end = stop + 1 - len(needle), stop + 1
+            if needle in own and begin >= last.get(needle, 0) and not (begin and _WORDY.match(text[begin - 1])) and not (end < len(text) and _WORDY.match(text[end])):
+                last[needle] = end
+                yield begin, end, needle
+
+
+_WORDY = re.compile(r"\w")
+
+
+def patient_spans(notes: DataFrame, values: DataFrame, days: DataFrame) -> DataFrame:
+    """Where each note (``note_id, patient_id, note_text``) holds what its patient's tables know, by category.
+
+    ``values`` (``patient_id, category, needle``) are found as whole words by one automaton over the needles of a whole batch
+    of notes; a value of two categories gives a span of each. Strings that look like a date are spans if they write one of the
+    patient's ``days`` (``patient_id, day``) in one of six forms; ages above 89 are. A null text or patient gives no span,
+    a patient without values still has dates and ages.
+    """
+    own = values.where("needle <> ''").groupBy("patient_id").agg(F.collect_set(F.struct("category", "needle")).alias("needles"))
+    dates = days.groupBy("patient_id").agg(F.collect_set("day").alias("days"))
+    rows = notes.select("note_id", "patient_id", "note_text").join(own, "patient_id", "left").join(dates, "patient_id", "left")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            kinds: list[dict[str, list[str]]] = []
+            for ns in frame["needles"]:
+                kinds.append({})
+                for n in ns if ns is not None else ():
+                    kinds[-1].setdefault(n["needle"], []).append(n["category"])
+            automaton = Dictionary(kinds)
+            rows = []
+            for i, t, own_kinds, own_days in zip(frame["note_id"], frame["note_text"], kinds, frame["days"], strict=True):
+                if not t:
+                    continue
+                rows += [(i, a, b, k, n) for a, b, n in automaton.places(t, own_kinds) for k in sorted(own_kinds[n])]
+                known = set(own_days) if own_days is not None else set()
+                rows += [(i, *m.span(), "date", m.group()) for m in DATE_SHAPE.finditer(t) if (day := dated(m)) in known and m.group() in date_forms(day)]
+                rows += [(i, *m.span(1), "age", m.group(1)) for m in AGE.finditer(t) if int(m.group(1)) > OLDEST]
+            yield pd.DataFrame(rows, columns=["note_id", "char_start", "char_end", "category", "surface"])
+
+    return rows.select("note_id", "note_text", "needles", "days").mapInPandas(run, SPAN)
+
+
 REPLY = "array<struct<text: string, category: string>>"
 
 

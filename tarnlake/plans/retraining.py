@@ -4,50 +4,72 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.functions import ranks
 from tarnlake.functions.columns import ratio
+from tarnlake.operators import bayes, drift, serving
 from tarnlake.operators import modelling as ml
-from tarnlake.operators import drift
 from tarnlake.operators import retraining as op
 from tarnlake.plans.basics import WILSON_HIGH, WILSON_LOW
 from tarnlake.plans.models import parts, ruled
-from tarnlake.plans.registry import query
+from tarnlake.plans.registry import query, shared
 from tarnlake.plans.sql_views import VIEWS
-from tarnlake.sources import sinks
 from tarnlake.sources.shared import shared_folder
 
-DATES, LIVE, BUDGET, CUTOFF = ["1996-07-02", "1997-07-02", "1998-07-02"], "1999-07-02", 0.25, 50.0
-VIEWS["model_rate"] = "SELECT admit_reason, sum(outcome_readmitted::INT)::DOUBLE AS k, count(*)::DOUBLE AS n FROM stay_part WHERE part = 'train' GROUP BY ALL"
-VIEWS["fold_rate"] = "SELECT admit_reason, patient_id % 5 AS fold, sum(outcome_readmitted::INT)::DOUBLE AS k, count(*)::DOUBLE AS n FROM stay_part WHERE part = 'train' GROUP BY ALL"
-VIEWS["window_score"] = """SELECT p.patient_id, p.stay_no, p.part, p.outcome_readmitted, coalesce((m.k - CASE WHEN p.part = 'train' THEN coalesce(f.k, 0) ELSE 0 END) / nullif(m.n - CASE WHEN p.part = 'train' THEN coalesce(f.n, 0) ELSE 0 END, 0), (SELECT avg(outcome_readmitted::INT) FROM stay_part WHERE part = 'train'))::DOUBLE AS score
-  FROM stay_part p LEFT JOIN model_rate m USING (admit_reason) LEFT JOIN fold_rate f ON f.admit_reason = p.admit_reason AND f.fold = p.patient_id % 5"""
+DATES, LIVE, BUDGET, CUTOFF = ["1996-07-02", "1997-07-02", "1998-07-02"], "1999-07-02", 0.25, 0.06
+SIGNS = {"lab": "has_lab_done", "pressure": "has_pressure_controlled", "drug": "has_drug_taken", "emergency": "arrived_via_emergency", "long": "length_of_stay > 5", "ill": "conditions_at_admit > 3", "before": "prior_stays_12m > 0"}
+VIEWS["signed"] = f"SELECT patient_id, stay_no, part, admit_day, discharge_day, patient_id % 5 AS fold, (outcome_readmitted IS TRUE)::INT AS y, {', '.join(f'(({x}) IS TRUE)::INT AS {k}' for k, x in SIGNS.items())} FROM stay_part"
+
+
+def _sums(prefix: str) -> str:
+    """SQL of the counts that a model is made of."""
+    return ", ".join(f"sum({x})::DOUBLE AS {prefix}{name}" for y in (1, 0) for name, x in [(f"n_{y}", f"(y = {y})::INT"), *((f"k_{y}_{k}", f"(y = {y})::INT * {k}") for k in SIGNS)])
+
+
+#: A count of the whole group's model, less the row's own fold if the model has seen the row.
+def _left(seen: str) -> str:
+    return f"(coalesce(w.{{0}}, 0) - CASE WHEN {seen} THEN coalesce(f.f_{{0}}, 0) ELSE 0 END)"
+
+
+VIEWS["champion_sum"] = f"SELECT {_sums('')} FROM signed WHERE part = 'train'"
+VIEWS["champion_fold"] = f"SELECT fold, {_sums('f_')} FROM signed WHERE part = 'train' GROUP BY fold"
+VIEWS["window_score"] = f"SELECT s.*, {bayes.odds_sql(list(SIGNS), _left("s.part = 'train'"))} AS score FROM signed s CROSS JOIN champion_sum w LEFT JOIN champion_fold f ON f.fold = s.fold"
+
+
+def fold() -> Column:
+    return F.pmod(F.col("patient_id"), F.lit(5))
 
 
 def scores(spark: SparkSession, d: str) -> DataFrame:
     x = parts(spark, d)
-    return op.group_scores(x.where("part = 'train'"), x, "admit_reason", "outcome_readmitted", F.col("patient_id") % 5)
+    return bayes.scores(x.where("part = 'train'"), x, [], fold(), F.col("part") == "train", F.col("outcome_readmitted"), ml.signs(), "score")
 
 
 @query("SELECT patient_id, stay_no, score FROM window_score")
 def rt_window_scores(spark: SparkSession, d: str) -> DataFrame:
-    """The model's scores; rows that it was trained on are scored without their own fold."""
+    """The champion's scores; rows that it was trained on are scored without their own fold."""
     return scores(spark, d).select("patient_id", "stay_no", "score")
 
 
-@query("SELECT 'v1' AS version, patient_id, stay_no, score, score > 0.04 AS flagged FROM window_score WHERE part = 'production'")
+VERSIONS = {"v1": "1997-01-01", "v2": "1999-01-01"}
+VIEWS["version_sum"] = " UNION ALL ".join(f"SELECT '{v}' AS version, {_sums('')} FROM signed WHERE part = 'train' AND admit_day < DATE '{day}'" for v, day in VERSIONS.items())
+
+
+@query(f"SELECT version, patient_id, stay_no, score, score >= 0.08 AS flagged FROM (SELECT w.version, patient_id, stay_no, {bayes.odds_sql(list(SIGNS), 'w.{0}')} AS score FROM signed s CROSS JOIN version_sum w WHERE part = 'production')")
 def ml_batch_score(spark: SparkSession, d: str) -> DataFrame:
-    """The champion scores later stays only; one version's rows are replaced, and as many are there as were expected."""
-    path = shared_folder(spark, "scores")
-    later = scores(spark, d).where("part = 'production'")
-    rows = later.select(F.lit("v1").alias("version"), "patient_id", "stay_no", "score", (F.col("score") > 0.04).alias("flagged"))
-    for _ in range(2):
-        sinks.replace_partitions(rows, path, "version")
-    out = spark.read.parquet(path)
-    if out.count() != parts(spark, d).where("part = 'production'").count():
-        raise ValueError("not every later stay was scored once")
+    """Two versions are fitted, saved, promoted in turn and loaded again to score later stays; scoring again replaces a version's rows."""
+    root = shared_folder(spark, "models")
+    x = ml.sign_rows(parts(spark, d))
+    later = x.where("part = 'production'")
+    tags = {"expected": str(later.count()), "cutoff": "0.08"}
+    for version, until in VERSIONS.items():
+        model = ml.sign_pipeline().fit(x.where(f"part = 'train' AND admit_day < DATE'{until}'"))
+        serving.publish(spark, root, version, model, tags | {"admit_before": until})
+        serving.promote(spark, root, version)
+        for _ in range(2):
+            out = serving.batch_score(later, serving.served(spark, root), f"{root}/scores", ["patient_id", "stay_no"])
     return out.select("version", "patient_id", "stay_no", "score", "flagged")
 
 
@@ -68,7 +90,8 @@ def ml_group_cv(spark: SparkSession, d: str) -> DataFrame:
 def ml_window_probe(spark: SparkSession, d: str) -> DataFrame:
     """What training would see from several starting years on."""
     rows = ruled(spark, d).where("admit_day < DATE'1999-01-01'").withColumn("train_year", F.explode(F.array(*[F.lit(y) for y in range(1993, 1997)]))).where("admit_day >= make_date(train_year, 1, 1)")
-    return rows.groupBy("train_year").agg(F.count("*").alias("stays"), F.avg(F.col("outcome_readmitted").cast("double")).alias("rate"), F.percentile("score", F.lit(0.75)).alias("cutoff"))
+    cutoff = ranks.group_quantiles(rows, ["train_year"], F.col("score"), [0.75]).select("train_year", F.col("quantiles")[0].alias("cutoff"))
+    return rows.groupBy("train_year").agg(F.count("*").alias("stays"), F.avg(F.col("outcome_readmitted").cast("double")).alias("rate")).join(cutoff, "train_year", "left")
 
 
 @query(f"SELECT part, {WILSON_LOW} <= 0.4 AND {WILSON_HIGH} >= 0.4 AS on_budget FROM flagged_year")
@@ -86,10 +109,13 @@ def rt_ranking_guard(spark: SparkSession, d: str) -> DataFrame:
 
 
 ALL_DATES = ", ".join(f"(DATE '{x}')" for x in [*DATES, LIVE])
-VIEWS["cursor"] = f"""SELECT r.*, as_of, (length_of_stay * 5 + age_at_admit)::DOUBLE AS other, CASE WHEN admit_day > as_of - 30 - INTERVAL 12 MONTH AND admit_day <= as_of - 30 THEN 'check' WHEN admit_day > as_of - 30 - INTERVAL 24 MONTH AND admit_day <= as_of - 30 - INTERVAL 12 MONTH THEN 'cut' END AS w
-  FROM ruled r, (VALUES {ALL_DATES}) c(as_of)"""
-VIEWS["new_cut"] = f"SELECT as_of, quantile_cont(score, {1 - BUDGET}) AS new_cutoff, quantile_cont(other, {1 - BUDGET}) AS own_cutoff FROM cursor WHERE w = 'cut' GROUP BY as_of"
-VIEWS["tried"] = f"SELECT as_of, count(*)::DOUBLE AS n, count_if(score > {CUTOFF})::DOUBLE AS a, count_if(score > new_cutoff)::DOUBLE AS b, count_if(other > own_cutoff)::DOUBLE AS c FROM cursor LEFT JOIN new_cut USING (as_of) WHERE w = 'check' GROUP BY as_of"
+VIEWS["cursor"] = f"""SELECT s.*, as_of, CASE WHEN admit_day > as_of - 30 - INTERVAL 12 MONTH AND admit_day <= as_of - 30 THEN 'check' WHEN admit_day > as_of - 30 - INTERVAL 24 MONTH AND admit_day <= as_of - 30 - INTERVAL 12 MONTH THEN 'cut' END AS w,
+  admit_day > as_of - 30 - INTERVAL 12 MONTH - INTERVAL 36 MONTH AND admit_day <= as_of - 30 - INTERVAL 12 MONTH AND discharge_day <= as_of - 30 AS trains FROM window_score s, (VALUES {ALL_DATES}) c(as_of)"""
+VIEWS["rival_sum"] = f"SELECT as_of, {_sums('')} FROM cursor WHERE trains GROUP BY as_of"
+VIEWS["rival_fold"] = f"SELECT as_of, fold, {_sums('f_')} FROM cursor WHERE trains GROUP BY as_of, fold"
+VIEWS["rivalled"] = f"SELECT s.as_of, s.w, s.score, {bayes.odds_sql(list(SIGNS), _left('s.trains'))} AS other FROM cursor s LEFT JOIN rival_sum w ON w.as_of = s.as_of LEFT JOIN rival_fold f ON f.as_of = s.as_of AND f.fold = s.fold WHERE s.w IS NOT NULL"
+VIEWS["new_cut"] = f"SELECT as_of, quantile_cont(score, {1 - BUDGET}) AS new_cutoff, quantile_cont(other, {1 - BUDGET}) AS own_cutoff FROM rivalled WHERE w = 'cut' GROUP BY as_of"
+VIEWS["tried"] = f"SELECT as_of, count(*)::DOUBLE AS n, count_if(score > {CUTOFF})::DOUBLE AS a, count_if(score > new_cutoff)::DOUBLE AS b, count_if(other > own_cutoff)::DOUBLE AS c FROM rivalled LEFT JOIN new_cut USING (as_of) WHERE w = 'check' GROUP BY as_of"
 
 
 def _fits(k: str) -> str:
@@ -100,9 +126,11 @@ def _fits(k: str) -> str:
 VIEWS["decision"] = f"SELECT as_of, n::BIGINT AS n, a / n AS rate, NOT {_fits('a')} AS triggered, CASE WHEN {_fits('a')} THEN 'keep' WHEN {_fits('b')} THEN 'new cutoff' WHEN {_fits('c')} THEN 'retrain' ELSE 'no candidate' END AS action FROM tried"
 
 
+@shared
 def decided(spark: SparkSession, d: str) -> DataFrame:
-    rows = ruled(spark, d).withColumn("other", (F.col("length_of_stay") * 5 + F.col("age_at_admit")).cast("double"))
-    return op.decisions(rows, [*DATES, LIVE], "score", "other", CUTOFF, BUDGET)
+    """The decisions of all dates: made once, read by each step of the replay."""
+    rows = op.challenged(scores(spark, d), [*DATES, LIVE], ml.signs(), "outcome_readmitted", fold())
+    return op.decisions(rows, "score", "challenger", CUTOFF, BUDGET)
 
 
 @query("SELECT * FROM decision")

@@ -25,6 +25,19 @@ VIEWS: dict[str, str] = {
     "observation": """SELECT event_id AS observation_id, user_id AS patient_id, CASE event_type WHEN 'view' THEN 'systolic' WHEN 'click' THEN 'diastolic' WHEN 'purchase' THEN 'hba1c' WHEN 'signup' THEN 'bmi' ELSE 'other' END AS code,
         ts AS observed_at, value FROM events""",
     "note": "SELECT doc_id AS note_id, text AS note_text FROM documents",
+    "own_name": """SELECT patient_id, full_name AS family, state AS place, array_to_string(list_transform(string_split(lower(b.n_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS born_in, zip, upper(left(c_mktsegment, 1)) || lower(c_mktsegment[2:]) AS given,
+        lpad(CAST(patient_id % 900 + 100 AS VARCHAR), 3, '0') || '-' || lpad(CAST(patient_id * 31 % 90 + 10 AS VARCHAR), 2, '0') || '-' || lpad(CAST(patient_id * 7919 % 9000 + 1000 AS VARCHAR), 4, '0') AS ssn,
+        'S' || lpad(CAST(patient_id * 97 % 100000000 AS VARCHAR), 8, '0') AS license, 'X' || lpad(CAST(patient_id * 89 % 10000000 AS VARCHAR), 7, '0') || 'X' AS passport, birth_date, death_date
+        FROM patient JOIN customer ON c_custkey = patient_id JOIN nation b ON b.n_nationkey = c_custkey * 7 % 25""",
+    "seen_day": "SELECT DISTINCT patient_id, " + DAY.format("started_at") + " AS day FROM encounter",
+    "chart": """SELECT note_id, patient_id, given || ' ' || family || ' of ' || place || ' (' || zip || '), born ' || coalesce(strftime(birth_date, '%B %-d, %Y'), 'unknown') || ' in ' || born_in || '. The re' || given || ' stays. ' || left(text, half)
+        || chr(10) || family || ', ssn ' || ssn || ', seen ' || coalesce(strftime(first_visit, '%Y-%m-%d'), 'unknown') || ' and ' || coalesce(strftime(last_visit, '%-m/%-d/%Y'), 'unknown') || '; ' || given || ' is a ' || (note_id % 120) || ' year-old.' || chr(10)
+        || substr(text, half + 1) || ' License ' || license || ', passport ' || passport || ', last on ' || coalesce(strftime(last_visit, '%-d %B %Y'), 'unknown') || ', died ' || coalesce(strftime(death_date, '%m/%d/%Y'), 'unknown') || ', not on 1/1/1900.' AS note_text
+        FROM (SELECT doc_id AS note_id, doc_id % (SELECT max(patient_id) FROM patient) + 1 AS patient_id, coalesce(text, '') AS text, length(coalesce(text, '')) // 2 AS half FROM documents) JOIN own_name USING (patient_id)
+        LEFT JOIN (SELECT patient_id, min(day) AS first_visit, max(day) AS last_visit FROM seen_day GROUP BY ALL) USING (patient_id)""",
+    "private": """SELECT DISTINCT * FROM (SELECT patient_id, unnest([{'category': 'name', 'needle': given}, {'category': 'name', 'needle': family}, {'category': 'geography', 'needle': place}, {'category': 'geography', 'needle': born_in}, {'category': 'zip', 'needle': zip},
+        {'category': 'ssn', 'needle': ssn}, {'category': 'license', 'needle': license}, {'category': 'other_id', 'needle': passport}], recursive := true) FROM own_name) UNION ALL SELECT DISTINCT patient_id, 'date', unnest([strftime(day, '%Y-%m-%d'), strftime(day, '%-m/%-d/%Y'), strftime(day, '%m/%d/%Y'),
+        strftime(day, '%B %-d, %Y'), strftime(day, '%B %d, %Y'), strftime(day, '%-d %B %Y')]) FROM (SELECT * FROM seen_day UNION SELECT patient_id, birth_date FROM own_name UNION SELECT patient_id, death_date FROM own_name WHERE death_date IS NOT NULL)""",
     "measure_code": "SELECT * FROM (VALUES ('lab_done','C1'),('lab_done','C2'),('pressure_controlled','C3'),('pressure_controlled','C4'),('drug_taken','C5'),('drug_taken','C6')) AS m(measure, code)",
     "data_end": "SELECT " + DAY.format("max(started_at)") + " AS last_day FROM encounter",
     # hospital stays

@@ -177,18 +177,65 @@ def wn_nonoverlap_greedy(spark: SparkSession, d: str) -> DataFrame:
     return own.select("note_id", F.explode(op.leftmost_longest(F.col("s"))).alias("x")).select("note_id", "x.*")
 
 
-@query()
+def _whole(source: str, needles: str) -> str:
+    """SQL of all whole-word places of a note's own needles in ``source`` (``note_id, patient_id, note_text``)."""
+    return f"""SELECT note_id, category, char_start, CAST(char_start + length(needle) AS INT) AS char_end, needle AS surface FROM (SELECT *, CAST(list_sum(list_transform(parts[:n], lambda x: length(x))) + (n - 1) * length(needle) AS INT) AS char_start
+      FROM (SELECT *, unnest(range(1, len(parts))) AS n FROM (SELECT note_id, note_text, category, needle, string_split(note_text, needle) AS parts FROM {source} JOIN {needles} USING (patient_id) WHERE contains(note_text, needle))))
+      WHERE NOT regexp_matches(substr(note_text, char_start, CASE WHEN char_start > 0 THEN 1 ELSE 0 END), '[\\pL\\pN_]') AND NOT regexp_matches(substr(note_text, char_start + length(needle) + 1, 1), '[\\pL\\pN_]')"""
+
+
+def _aged(source: str) -> str:
+    return f"""SELECT note_id, category, char_start, CAST(char_start + size AS INT) AS char_end, left(surface, size) AS surface FROM ({matches_sql(source, 'note_text', r'\b(?:9[0-9]|[1-9][0-9][0-9]) year-old', 'age', 'note_id', 'length(m[n]) - 9')})"""
+
+
+VIEWS["private_span"] = f"SELECT * FROM ({_whole('chart', 'private')}) UNION ALL {_aged('chart')}"
+VIEWS["chart_pattern"] = " UNION ALL ".join(
+    "SELECT note_id, category, char_start, CAST(char_start + size AS INT) AS char_end, left(surface, size) AS surface FROM ("
+    + matches_sql("chart", "note_text", p.replace("(9", "(?:9"), k, "note_id", "length(m[n])" if k != "age" else "length(m[n]) - 9") + ")" for k, p in PATTERNS.items())
+VIEWS["ordered_span"] = "SELECT *, row_number() OVER (PARTITION BY note_id ORDER BY char_start, char_end DESC, category, surface) AS n FROM (SELECT * FROM private_span UNION SELECT * FROM chart_pattern)"
+#: The walk that keeps the longest span at each place, and the text put together from what lies between the kept ones.
+DEID_NOTE = """WITH RECURSIVE walk AS (SELECT *, char_end AS stop, true AS kept FROM ordered_span WHERE n = 1 UNION ALL SELECT o.*, CASE WHEN o.char_start >= w.stop THEN o.char_end ELSE w.stop END, o.char_start >= w.stop FROM ordered_span o JOIN walk w ON o.note_id = w.note_id AND o.n = w.n + 1),
+said AS (SELECT note_id, char_start, char_end, lag(char_end, 1, 0) OVER (PARTITION BY note_id ORDER BY n) AS last_end, CASE category WHEN 'age' THEN '90+' WHEN 'date' THEN coalesce(CASE WHEN regexp_full_match(surface, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN strftime(TRY_CAST(surface AS DATE) + CAST(note_id % 364 + 1 AS INT), '%Y-%m-%d') END, '[DATE]') ELSE '[NAME]' END AS put FROM walk WHERE kept),
+glued AS (SELECT c.note_id, string_agg(substr(c.note_text, s.last_end + 1, s.char_start - s.last_end) || s.put, '' ORDER BY s.char_start) AS front, max(s.char_end) AS last_end FROM chart c JOIN said s USING (note_id) GROUP BY c.note_id)
+SELECT note_id, coalesce(front, '') || substr(note_text, coalesce(last_end, 0) + 1) AS note_text FROM chart LEFT JOIN glued USING (note_id)"""
+
+
+def private_spans(spark: SparkSession, d: str, notes: DataFrame) -> DataFrame:
+    return op.patient_spans(notes, a.private_values(spark, d), a.private_days(spark, d))
+
+
+@query("SELECT DISTINCT * FROM private_span")
+def tx_patient_spans(spark: SparkSession, d: str) -> DataFrame:
+    """The answer key from a patient's tables: names, places, numbers, dates in six forms, high ages."""
+    return private_spans(spark, d, a.chart(spark, d)).distinct()
+
+
+def deid_notes(spark: SparkSession, d: str) -> DataFrame:
+    """Notes without their patient's details and without what the patterns find; dates move by the note's days."""
+    notes = a.chart(spark, d)
+    spans = private_spans(spark, d, notes).unionByName(op.detect_patterns(notes, PATTERNS))
+    return op.redact(notes, spans, (F.col("note_id") % 364 + 1).cast("int"))
+
+
+@query(DEID_NOTE)
 def pv_deid_note(spark: SparkSession, d: str) -> DataFrame:
-    notes = a.note(spark, d)
-    found = op.detect_patterns(notes, {"contact": PATTERNS["contact"], "date": PATTERNS["date"], "ip": PATTERNS["ip"]})
-    return op.redact(notes, found, (F.col("note_id") % 364 + 1).cast("int"))
+    return deid_notes(spark, d)
+
+
+VIEWS["deid_note"] = DEID_NOTE
+VIEWS["redacted"] = "SELECT note_id, patient_id, d.note_text FROM deid_note d JOIN chart USING (note_id)"
 
 
-@query("SELECT note_id, note_text IS NULL OR NOT regexp_matches(note_text, '[A-Za-z0-9_]@[A-Za-z0-9_]') AS clean FROM note WHERE NOT regexp_matches(coalesce(note_text, ''), '[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+')")
+@query(f"""WITH was AS (SELECT category, count(*) AS found FROM (SELECT DISTINCT * FROM private_span) GROUP BY category), still AS (SELECT category, count(*) AS left_over, count(*) FILTER (WHERE category <> 'date' OR NOT regexp_full_match(surface, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')) AS unmoved FROM ({_whole('redacted', 'private')} UNION ALL {_aged('redacted')}) GROUP BY category)
+SELECT category, found, coalesce(left_over, 0) AS left_over, coalesce(unmoved, 0) AS unmoved FROM was LEFT JOIN still USING (category)""")
 def udf_deid_text(spark: SparkSession, d: str) -> DataFrame:
-    """Notes that had no address are left without one."""
-    before = a.note(spark, d).where(~F.coalesce("note_text", F.lit("")).rlike("[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+")).select("note_id")
-    return pv_deid_note(spark, d).join(before, "note_id", "left_semi").select("note_id", (F.col("note_text").isNull() | ~F.col("note_text").rlike("[A-Za-z0-9_]@[A-Za-z0-9_]")).alias("clean"))
+    """Per category: the answer key's spans, and how many the redacted notes still hold: none, but for days that moved onto another of the patient's."""
+    notes = a.chart(spark, d)
+    key = private_spans(spark, d, notes).distinct().groupBy("category").agg(F.count("*").alias("found"))
+    after = private_spans(spark, d, deid_notes(spark, d).join(notes.select("note_id", "patient_id"), "note_id")).distinct()
+    moved = (F.col("category") == "date") & F.col("surface").rlike(r"^\d{4}-\d{2}-\d{2}$")
+    left = after.groupBy("category").agg(F.count("*").alias("left_over"), F.count_if(~moved).alias("unmoved"))
+    return key.join(left, "category", "left").fillna(0, ["left_over", "unmoved"])
 
 
 @query("SELECT note_id, count(*) AS spans FROM truth GROUP BY note_id")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.functions.columns import local_day
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -69,6 +71,45 @@ def note(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("note_id"), F.col("text").alias("note_text"))
 
 
+def identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What names a patient, by kind: ``patient_id, given, family, place, born_in, zip, ssn, license, passport``."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("_n"), F.initcap(F.lower("n_name")).alias("born_in"))
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("patient_id"), (F.col("c_custkey") * 7 % 25).alias("_n"), F.initcap(F.lower("c_mktsegment")).alias("given"))
+    pad = lambda x, n: f"lpad(cast({x} AS string), {n}, '0')"
+    return patient(spark, sf_dir).select("patient_id", F.col("full_name").alias("family"), F.col("state").alias("place"), "zip").join(keys, "patient_id").join(nation, "_n").select(
+        "patient_id", "given", "family", "place", "born_in", "zip", F.expr(f"concat({pad('patient_id % 900 + 100', 3)}, '-', {pad('patient_id * 31 % 90 + 10', 2)}, '-', {pad('patient_id * 7919 % 9000 + 1000', 4)})").alias("ssn"),
+        F.expr(f"concat('S', {pad('patient_id * 97 % 100000000', 8)})").alias("license"), F.expr(f"concat('X', {pad('patient_id * 89 % 10000000', 7)}, 'X')").alias("passport"))
+
+
+def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``note_id, patient_id, note_text``: each document as a note about a patient, whose details stand before, between and after its text."""
+    own = identity(spark, sf_dir).join(patient(spark, sf_dir).select("patient_id", "birth_date", "death_date"), "patient_id")
+    seen = encounter(spark, sf_dir).select("patient_id", local_day("started_at").alias("day")).groupBy("patient_id").agg(F.min("day").alias("first_visit"), F.max("day").alias("last_visit"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("note_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.crossJoin(F.broadcast(own.agg(F.max("patient_id").alias("_most")))).withColumn("patient_id", F.col("note_id") % F.col("_most") + 1)
+    rows = rows.join(own, "patient_id").join(seen, "patient_id", "left")
+    day = lambda c, f: F.coalesce(F.date_format(c, f), F.lit("unknown"))
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    head = F.concat("given", F.lit(" "), "family", F.lit(" of "), "place", F.lit(" ("), "zip", F.lit("), born "), day("birth_date", "MMMM d, yyyy"), F.lit(" in "), "born_in", F.lit(". The re"), "given", F.lit(" stays. "))
+    middle = F.concat(F.lit("\n"), "family", F.lit(", ssn "), "ssn", F.lit(", seen "), day("first_visit", "yyyy-MM-dd"), F.lit(" and "), day("last_visit", "M/d/yyyy"), F.lit("; "), "given", F.lit(" is a "), (F.col("note_id") % 120).cast("string"), F.lit(" year-old.\n"))
+    tail = F.concat(F.lit(" License "), "license", F.lit(", passport "), "passport", F.lit(", last on "), day("last_visit", "d MMMM yyyy"), F.lit(", died "), day("death_date", "MM/dd/yyyy"), F.lit(", not on 1/1/1900."))
+    return rows.select("note_id", "patient_id", F.concat(head, F.substring(F.col("text"), F.lit(1), half), middle, F.col("text").substr(half + 1, F.char_length("text")), tail).alias("note_text"))
+
+
+def private_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``patient_id, category, needle``: all values of a patient's tables that must not be left in a note, but dates."""
+    kinds = {"given": "name", "family": "name", "place": "geography", "born_in": "geography", "zip": "zip", "ssn": "ssn", "license": "license", "passport": "other_id"}
+    pairs = F.array(*[F.struct(F.lit(k).alias("category"), F.trim(c).alias("needle")) for c, k in kinds.items()])
+    return identity(spark, sf_dir).select("patient_id", F.explode(pairs).alias("x")).select("patient_id", "x.*").where("needle <> ''").distinct()
+
+
+def private_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``patient_id, day``: birth, death and every visit's local day."""
+    people = patient(spark, sf_dir)
+    return people.select("patient_id", F.col("birth_date").alias("day")).unionByName(people.select("patient_id", F.col("death_date").alias("day"))).unionByName(
+        encounter(spark, sf_dir).select("patient_id", local_day("started_at").alias("day"))).where("day IS NOT NULL").distinct()
+
+
 #: Code lists: fixed values of the care measures over the codes of these views.
 MEASURES = [("lab_done", "C1"), ("lab_done", "C2"), ("pressure_controlled", "C3"), ("pressure_controlled", "C4"), ("drug_taken", "C5"), ("drug_taken", "C6")]
 PLANNED_REASONS = ["reason 3", "reason 7"]
