@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.functions.columns import is_small, ratio
-from tarnlake.operators import privacy, quality
+from tarnlake.functions.columns import date_key, is_small, ratio
+from tarnlake.operators import grading, privacy, quality
 from tarnlake.plans.models import REPORT, dr_report, ml_evaluate
 from tarnlake.plans.questions import QUESTIONS, RATE, _rate
 from tarnlake.plans.registry import ORACLE_SQL, query
 from tarnlake.plans.sql_views import VIEWS
 from tarnlake.plans.stays import events, signal
 from tarnlake.sources import adapters as a
+from tarnlake.sources import sinks
+from tarnlake.sources.shared import shared_folder
 
 
 def patient_rules() -> dict[str, Column]:
@@ -27,13 +30,16 @@ def patient_rules() -> dict[str, Column]:
     }
 
 
-@query("""SELECT CASE WHEN len(v) = 0 THEN 'kept' ELSE array_to_string(v, ',') END AS outcome, count(*) AS patients FROM (SELECT list_filter([CASE WHEN NOT length(trim(full_name)) > 0 THEN 'has_name' END, CASE WHEN death_date < birth_date THEN 'born_before_death' END,
-CASE WHEN gender NOT IN ('F', 'M') THEN 'known_gender' END, CASE WHEN income < 0 THEN 'income_not_negative' END], lambda x: x IS NOT NULL) AS v FROM patient) GROUP BY outcome""")
+@query("""SELECT md5('patient' || patient_id) AS patient_key, full_name, birth_date, death_date, death_date IS NOT NULL AS is_deceased, gender, state, zip, payer, income, array_to_string(list_filter([CASE WHEN NOT length(trim(full_name)) > 0 THEN 'has_name' END, CASE WHEN death_date < birth_date THEN 'born_before_death' END,
+CASE WHEN gender NOT IN ('F', 'M') THEN 'known_gender' END, CASE WHEN income < 0 THEN 'income_not_negative' END], lambda x: x IS NOT NULL), ',') AS broken FROM patient""")
 def dm_patient(spark: SparkSession, d: str) -> DataFrame:
-    """Patients typed and held to their rules; those that break one go to quarantine with its name."""
-    good, bad = quality.quarantine(a.patient(spark, d), patient_rules())
-    outcome = F.array_join("violations", ",")
-    return good.select(F.lit("kept").alias("outcome")).unionByName(bad.select(outcome.alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("patients"))
+    """Patients typed, keyed and held to their rules, written and read back; those that break one lie whole in quarantine, with the rules' names."""
+    root = shared_folder(spark, "patients")
+    keyed = a.patient(spark, d).select(patient_key(F.col("patient_id")).alias("patient_key"), "full_name", "birth_date", "death_date", F.col("death_date").isNotNull().alias("is_deceased"), "gender", "state", "zip", "payer", "income")
+    good, bad = quality.quarantine(keyed, patient_rules())
+    sinks.overwrite(good.withColumn("broken", F.lit("")), f"{root}/patient")
+    sinks.overwrite(bad.withColumn("broken", F.array_join("violations", ",")).drop("violations"), f"{root}/quarantine")
+    return spark.read.parquet(f"{root}/patient").unionByName(spark.read.parquet(f"{root}/quarantine"))
 
 
 #: Fact tables: source, code, day, value, and the rule a row must meet.
@@ -50,17 +56,55 @@ FACT_SQL = {
 }
 
 
-def build_fact(rows: DataFrame, name: str, code: str, day: str, value: str, rule: str) -> DataFrame:
-    """``fact, patient_id, code, day, value, kept``: one shape for every fact; a row without patient, code or day, or against its rule, is not kept."""
-    shaped = rows.select(F.lit(name).alias("fact"), "patient_id", F.expr(code).alias("code"), F.expr(day).alias("day"), F.expr(value).cast("double").alias("value"), F.coalesce(F.expr(rule), F.lit(False)).alias("kept"))
-    return shaped.withColumn("kept", F.col("kept") & F.col("patient_id").isNotNull() & F.col("code").isNotNull() & F.col("day").isNotNull())
+FACT_ROWS = " UNION ALL ".join(f"""SELECT '{n}' AS fact, 'patient' || patient_id AS who, {c} AS code, {t} AS day, CAST({v} AS DOUBLE) AS value, list_filter([CASE WHEN patient_id IS NULL THEN 'no_patient' END, CASE WHEN {c} IS NULL THEN 'no_code' END,
+  CASE WHEN {t} IS NULL THEN 'no_day' END, CASE WHEN ({r}) IS NOT TRUE THEN 'against_rule' END], lambda x: x IS NOT NULL) AS broken FROM {n}""" for n, (c, t, v, r) in FACT_SQL.items())
 
 
-@query("SELECT fact, count(*) AS rows, count_if(kept) AS kept, count(DISTINCT code) AS codes, min(day) AS first_day, max(day) AS last_day, count(value) AS with_value FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS fact, {c} AS code, {t} AS day, CAST({v} AS DOUBLE) AS value, coalesce({r}, false) AND patient_id IS NOT NULL AND {c} IS NOT NULL AND {t} IS NOT NULL AS kept FROM {n}" for n, (c, t, v, r) in FACT_SQL.items()) + ") GROUP BY fact")
+def fact_tables(spark: SparkSession, d: str, root: str) -> None:
+    """Write all facts with surrogate keys to ``facts``, one partition a fact, and whole rows that break a rule to ``quarantine``, one partition a rule.
+
+    Keys are digests of the natural keys, so a rebuild gives the same ones without a lookup and facts join their dimensions by them.
+    """
+    for n, (code, day, value, rule) in FACTS.items():
+        rows = getattr(a, n)(spark, d).select(F.lit(n).alias("fact"), "patient_id", F.expr(code).alias("code"), F.expr(day).alias("day"), F.expr(value).cast("double").alias("value"), F.coalesce(F.expr(rule), F.lit(False)).alias("fine"))
+        rules = {"no_patient": F.col("patient_id").isNotNull(), "no_code": F.col("code").isNotNull(), "no_day": F.col("day").isNotNull(), "against_rule": F.col("fine")}
+        good, bad = quality.quarantine(rows, rules)
+        keyed = good.select("fact", patient_key(F.col("patient_id")).alias("patient_key"), F.md5(F.concat(F.col("fact"), F.lit("/"), "code")).alias("code_key"), date_key("day").alias("date_key"), "value")
+        sinks.replace_partitions(keyed, f"{root}/facts", "fact")
+        broken = bad.withColumn("rule", F.col("violations")[0]).drop("fine", "violations")
+        sinks.replace_partitions(broken.withColumn("value", F.col("value").cast("double")), f"{root}/quarantine/{n}", "rule")
+
+
+def patient_key(id: Column) -> Column:
+    return F.md5(F.concat(F.lit("patient"), id.cast("string")))
+
+
+@query(f"SELECT fact, md5(who) AS patient_key, md5(fact || '/' || code) AS code_key, CAST(year(day) * 10000 + month(day) * 100 + day(day) AS INT) AS date_key, value, NULL AS rule FROM ({FACT_ROWS}) WHERE len(broken) = 0 UNION ALL SELECT fact, md5(who), md5(fact || '/' || code), CAST(year(day) * 10000 + month(day) * 100 + day(day) AS INT), value, broken[1] FROM ({FACT_ROWS}) WHERE len(broken) > 0")
 def dm_facts(spark: SparkSession, d: str) -> DataFrame:
-    """All facts built by one function from their specifications, and what each holds."""
-    facts = reduce(DataFrame.unionByName, [build_fact(getattr(a, n)(spark, d), n, *spec) for n, spec in FACTS.items()])
-    return facts.groupBy("fact").agg(F.count("*").alias("rows"), F.count_if("kept").alias("kept"), F.count_distinct("code").alias("codes"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count("value").alias("with_value"))
+    """All facts built from their specifications, written and read back: kept rows by their keys, and those in quarantine with the first rule that they break."""
+    root = shared_folder(spark, "facts")
+    fact_tables(spark, d, root)
+    kept = spark.read.parquet(f"{root}/facts").select("fact", "patient_key", "code_key", "date_key", "value", F.lit(None).cast("string").alias("rule"))
+    aside = [bad for n in FACTS if not (bad := read_if_any(spark, f"{root}/quarantine/{n}")).isEmpty()]
+    keys = lambda df: df.select("fact", patient_key(F.col("patient_id")).alias("patient_key"), F.md5(F.concat("fact", F.lit("/"), "code")).alias("code_key"), date_key("day").alias("date_key"), "value", "rule")
+    return reduce(DataFrame.unionByName, [kept, *map(keys, aside)])
+
+
+def read_if_any(spark: SparkSession, path: str) -> DataFrame:
+    """A quarantine folder's rows; one that nothing was written to has none."""
+    schema = "fact string, patient_id long, code string, day date, value double, rule string"
+    sinks.create_if_absent(spark, path, spark.createDataFrame([], schema).schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+@query("SELECT fact, year(day) AS year, gender, count(*) AS rows, count(DISTINCT patient_id) AS patients FROM (SELECT fact, patient_id, day FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS fact, patient_id, {t} AS day FROM {n} WHERE ({r}) IS TRUE AND patient_id IS NOT NULL AND {c} IS NOT NULL AND {t} IS NOT NULL" for n, (c, t, v, r) in FACT_SQL.items()) + ")) JOIN patient USING (patient_id) GROUP BY ALL")
+def dm_fact_star(spark: SparkSession, d: str) -> DataFrame:
+    """The facts read back and joined to patients and days by their surrogate keys."""
+    root = shared_folder(spark, "facts")
+    fact_tables(spark, d, root)
+    people = a.patient(spark, d).select("patient_id", "gender", patient_key(F.col("patient_id")).alias("patient_key"))
+    star = spark.read.parquet(f"{root}/facts").join(people, "patient_key")
+    return star.groupBy("fact", F.floor(F.col("date_key") / 10000).cast("long").alias("year"), "gender").agg(F.count("*").alias("rows"), F.count_distinct("patient_id").alias("patients"))
 
 
 VIEWS["member"] = "SELECT payer AS member, count(*) AS stays, count_if(readmitted) AS returned, avg(length_of_stay)::DOUBLE AS days, CAST(sum(stay_cost) AS DECIMAL(34,2)) AS cost FROM returns WHERE is_index_stay GROUP BY payer"
@@ -121,16 +165,42 @@ for _name, (_sql, _answer) in MORE.items():
     query(_sql, _name)(_answer)
 
 
-VIEWS["answered"] = "SELECT CASE o_orderkey % 3 WHEN 0 THEN 'assistant' WHEN 1 THEN 'model' ELSE 'rule' END AS contestant, CASE WHEN o_totalprice < 100000 THEN 'easy' WHEN o_totalprice < 200000 THEN 'medium' ELSE 'hard' END AS tier, CASE WHEN o_orderstatus = 'F' THEN 'right' WHEN o_orderstatus = 'O' THEN 'wrong' ELSE 'error' END AS verdict FROM orders"
+#: Questions of the contest by tier, those whose order counts, and one that the data can't answer.
+TIERS = {"q_rate_by_gender": "easy", "q_first_stays": "easy", "q_long_stays": "medium", "q_rate_by_age_band": "medium", "q_dearest_stays": "hard", "q_reasons_over_average": "hard"}
+ORDERED, OPEN = {"q_dearest_stays"}, "u_home_address"
+_SAID = {q: QUESTIONS[q][0] for q in TIERS}
+#: What three contestants say: all right in other words; planted mistakes; and answers that never come to a result.
+ANSWERS: dict[str, dict[str, str | None]] = {
+    "careful": {q: f"SELECT * FROM ({sql}) ORDER BY 1" if q not in ORDERED else sql for q, sql in _SAID.items()} | {"q_first_stays": "SELECT count_if(days_since_last_discharge IS NULL) AS n, 'first' AS what FROM signal", OPEN: "refuse."},
+    "careless": {"q_rate_by_gender": _SAID["q_rate_by_gender"].replace("FROM signal", "FROM signal WHERE is_planned"), "q_first_stays": "SELECT count(*) FROM signal", "q_long_stays": "SELECT patient_id FROM no_such_table", "q_rate_by_age_band": "REFUSE",
+                 "q_dearest_stays": "SELECT * FROM (" + _SAID["q_dearest_stays"] + ") ORDER BY stay_cost, patient_id, stay_no", "q_reasons_over_average": _SAID["q_reasons_over_average"], OPEN: "SELECT patient_id FROM signal"},
+    "rash": {"q_rate_by_gender": "DROP TABLE signal", "q_first_stays": "SELECT 1; SELECT 2", "q_long_stays": "SELECT a.patient_id FROM signal a, (VALUES (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12), (13), (14), (15), (16), (17), (18), (19), (20), (21), (22), (23), (24), (25), (26), (27), (28), (29), (30)) AS t(n)", OPEN: None},
+}
+REPLIED = {"refuse.": ("correct", "wrongly_refused"), "REFUSE": ("correct", "wrongly_refused"), None: ("error", "error"), "DROP TABLE signal": ("", "blocked"), "SELECT 1; SELECT 2": ("", "blocked"), "SELECT patient_id FROM no_such_table": ("", "sql_error")}
+
+
+def _verdict_sql(question: str, reply: str | None) -> str:
+    """SQL of the verdict: what needs no result is plain, results are compared row by row on the columns that are asked for."""
+    if question == OPEN:
+        return f"'{REPLIED[reply][0]}'" if reply in REPLIED else "'answered_unanswerable'"
+    if reply in REPLIED:
+        return f"'{REPLIED[reply][1]}'"
+    gold, place = _SAID[question], ", row_number() OVER ()" if question in ORDERED else ""
+    width = {"q_first_stays": "#1", "q_long_stays": "#1"}.get(question, "*")
+    a_, g_ = f"SELECT {width}{place} FROM ({reply})", f"SELECT {width}{place} FROM ({gold})"
+    return f"CASE WHEN (SELECT count(*) FROM ({reply})) > 10000 THEN 'too_many_rows' WHEN EXISTS (({a_}) EXCEPT ALL ({g_})) OR EXISTS (({g_}) EXCEPT ALL ({a_})) THEN 'wrong_result' ELSE 'correct' END"
+
+
+VIEWS["graded"] = " UNION ALL ".join(f"SELECT '{who}' AS contestant, '{({**TIERS, OPEN: 'unanswerable'})[q]}' AS tier, {_verdict_sql(q, replies.get(q))} AS verdict" for who, replies in ANSWERS.items() for q in [*TIERS, OPEN])
 
 
-@query("SELECT contestant, tier, count_if(verdict = 'right') AS \"right\", count_if(verdict = 'wrong') AS wrong, count_if(verdict = 'error') AS error FROM answered GROUP BY contestant, tier")
+@query("SELECT contestant, tier, " + ", ".join(f"count_if(verdict = '{v}') AS {v}" for v in grading.VERDICTS) + " FROM graded GROUP BY contestant, tier")
 def mt_eval_report(spark: SparkSession, d: str) -> DataFrame:
-    """Verdicts of all answers by contestant and tier of difficulty."""
-    o = a.table(spark, d, "orders")
-    price = F.col("o_totalprice")
-    answers = o.select(F.element_at(F.array(F.lit("assistant"), F.lit("model"), F.lit("rule")), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("contestant"), F.when(price < 100000, "easy").when(price < 200000, "medium").otherwise("hard").alias("tier"), F.when(F.col("o_orderstatus") == "F", "right").when(F.col("o_orderstatus") == "O", "wrong").otherwise("error").alias("verdict"))
-    return answers.groupBy("contestant", "tier").pivot("verdict", ["right", "wrong", "error"]).count().fillna(0)
+    """Three contestants' answers run and graded against the right results, counted by contestant and tier of difficulty."""
+    stays = signal(spark, d)
+    questions = {q: grading.Question(tier, lambda q=q: QUESTIONS[q][1](stays), q in ORDERED) for q, tier in TIERS.items()} | {OPEN: grading.Question("unanswerable", None)}
+    named = {who: {q: re.sub(r"\bsignal\b", "{signal}", r) if r else r for q, r in replies.items()} for who, replies in ANSWERS.items()}
+    return grading.report(grading.graded(spark, questions, named, {"signal": stays}))
 
 
 @query(f"SELECT feature, round(psi, 3) AS psi, status FROM ({REPORT})")

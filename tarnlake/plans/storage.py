@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarnlake.functions import columns as c
-from tarnlake.operators import quality
+from tarnlake.operators import quality, refresh
 from tarnlake.plans.registry import query
 from tarnlake.sources import adapters as a
 from tarnlake.sources import sinks
@@ -54,15 +54,18 @@ def sm_incremental_files(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").groupBy(F.col("_batch_id").alias("batch")).agg(F.count("*").alias("rows"))
 
 
-@query(f"SELECT CAST(encounter_id AS VARCHAR) AS encounter_id, CASE WHEN NOT {EARLY} THEN reason END AS reason FROM encounter")
+@query(f"SELECT CAST(encounter_id AS VARCHAR) AS encounter_id, CASE WHEN NOT {EARLY} THEN reason END AS reason, CASE WHEN NOT {EARLY} AND encounter_id % 5 = 0 THEN encounter_class || ', ' || patient_id END AS remark, CASE WHEN {EARLY} THEN 'b1' ELSE 'b2' END AS batch FROM encounter")
 def src_schema_evolve(spark: SparkSession, d: str) -> DataFrame:
-    """A later batch brings a new column; earlier rows have none."""
+    """Later files bring new columns, one with commas in its name and values; the running stream widens its table, and earlier rows have none."""
     root = shared_folder(spark, "evolve")
-    rows = a.encounter(spark, d).select("encounter_id", "reason")
-    for batch, part in (("b1", rows.where(EARLY).select("encounter_id")), ("b2", rows.where(f"NOT {EARLY}"))):
-        land(part, f"{root}/in")
-        ingest.ingest_csv(spark, f"{root}/in", ingest.header(spark, f"{root}/in"), f"{root}/out", f"{root}/state", batch)
-    return spark.read.option("mergeSchema", True).parquet(f"{root}/out").select("encounter_id", "reason")
+    rows = a.encounter(spark, d).select("encounter_id", "reason", F.concat("encounter_class", F.lit(", "), "patient_id").alias("remark, free"))
+    late = rows.where(f"NOT {EARLY}")
+    batches = {"b1": [rows.where(EARLY).select("encounter_id")], "b2": [late.where("encounter_id % 5 <> 0").select("reason", "encounter_id"), late.where("encounter_id % 5 = 0")], "b3": []}
+    for batch, parts in batches.items():
+        for part in parts:
+            land(part, f"{root}/in")
+        ingest.ingest_evolving(spark, f"{root}/in", f"{root}/out", f"{root}/state", batch)
+    return ingest.evolved(spark, f"{root}/out").select("encounter_id", "reason", F.col("`remark, free`").alias("remark"), F.col("_batch_id").alias("batch"))
 
 
 @query("SELECT CAST(encounter_id AS VARCHAR) AS encounter_id, true AS from_csv, true AS has_time, 'b1' AS batch FROM encounter")
@@ -231,18 +234,19 @@ def snk_parquet_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query("SELECT patient_id, count(*) AS visits, CAST(sum(total_cost) AS DECIMAL(24,2)) AS cost, sum(total_cost) > 100000 AS dear FROM encounter GROUP BY patient_id")
+@query("SELECT patient_id, count(*) AS visits, CAST(sum(total_cost) AS DECIMAL(24,2)) AS cost, min(started_at) AS first_at, max(started_at) AS last_at, sum(total_cost) > 100000 AS dear FROM encounter GROUP BY patient_id")
 def snk_materialized_view(spark: SparkSession, d: str) -> DataFrame:
-    """Derived tables, each read back by the next, refreshed twice: a refresh replaces, it never adds."""
+    """Two views, one derived from the other, brought up to date with three batches in turn: they equal a full rebuild."""
     root = shared_folder(spark, "views")
-    views = {
-        "by_patient": lambda: a.encounter(spark, d).groupBy("patient_id").agg(F.count("*").alias("visits"), F.sum("total_cost").alias("cost")),
-        "dear": lambda: spark.read.parquet(f"{root}/by_patient").withColumn("dear", F.col("cost") > 100000),
-    }
-    for _ in range(2):
-        for name, build in views.items():
-            sinks.overwrite(build(), f"{root}/{name}")
-    return spark.read.parquet(f"{root}/dear")
+    visits = a.encounter(spark, d)
+    for batch in range(3):
+        refresh.refresh(spark, root, visits.where(F.col("encounter_id") % 3 == batch), visit_views())
+    return spark.read.parquet(f"{root}/dear").drop("_bucket")
+
+
+def visit_views() -> list[refresh.Totals | refresh.Derived]:
+    measures = {"visits": ("count", F.lit(1)), "cost": ("sum", F.col("total_cost")), "first_at": ("min", F.col("started_at")), "last_at": ("max", F.col("started_at"))}
+    return [refresh.Totals("by_patient", ("patient_id",), measures), refresh.Derived("dear", "by_patient", {"dear": F.col("cost") > 100000})]
 
 
 @query("SELECT patient_id, 'masked' AS full_name, state FROM patient")

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+
+from tarnlake.sources import sinks
+
+LINEAGE = StructType([StructField("_source_file", StringType()), StructField("_ingested_at", TimestampType()), StructField("_batch_id", StringType())])
 
 
 def text_schema(columns: list[str]) -> StructType:
@@ -12,11 +19,28 @@ def text_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
+def first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``file, line``: the first line of every file, wherever the file is split.
+
+    It lies in the split that begins at byte 0; the rows of a split come in order within its task.
+    """
+    rows = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.monotonically_increasing_id().alias("at"))
+    return rows.where("begin = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+
+
+def column_names(line: str) -> list[str]:
+    """The names in a header; those in quotes may hold commas."""
+    return next(csv.reader([line]))
+
+
 def header(spark: SparkSession, folder: str) -> list[str]:
-    """All column names in the folder's files, known ones first; read before a run, so new columns widen the schema."""
+    """All column names in the folder's files, those of earlier files first; read before a run, so new columns widen the schema.
+
+    Only distinct header lines reach the driver, however many files have them.
+    """
     names: list[str] = []
-    for row in spark.read.text(folder).where(F.col("value").isNotNull()).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.first("value").alias("first")).orderBy("f").collect():
-        names += [n for n in row["first"].split(",") if n not in names]
+    for row in first_lines(spark, folder).groupBy("line").agg(F.min("file").alias("file")).orderBy("file").collect():
+        names += [n for n in column_names(row["line"]) if n not in names]
     return names
 
 
@@ -30,6 +54,51 @@ def ingest_csv(spark: SparkSession, folder: str, columns: list[str], out: str, c
     with_lineage(stream, batch_id).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+DECLARED = StructType([StructField("place", IntegerType()), StructField("name", StringType())])
+
+
+def declared(spark: SparkSession, out: str) -> list[str]:
+    """Columns of the table at ``out`` so far, in the order in which they came."""
+    sinks.create_if_absent(spark, f"{out}/columns", DECLARED)
+    return [r["name"] for r in spark.read.schema(DECLARED).parquet(f"{out}/columns").orderBy("place").collect()]
+
+
+def ingest_evolving(spark: SparkSession, folder: str, out: str, checkpoint: str, batch_id: str, files: int = 1000) -> None:
+    """Land CSV files not seen before, whatever columns they have: a batch that brings new ones widens the table.
+
+    A micro-batch (``files`` files at most) reads its files' headers, adds unknown columns to the declared ones, and
+    appends the rows by their own header; older rows have null in the new columns. A micro-batch that runs
+    again after a failure replaces what it had written.
+    """
+
+    def land(lines: DataFrame, epoch: int) -> None:
+        session = lines.sparkSession
+        paths = [r["f"] for r in lines.select(F.input_file_name().alias("f")).distinct().collect()]
+        if not paths:
+            return
+        by_line: dict[str, list[str]] = {}
+        for r in first_lines(session, paths).collect():  # as many as a micro-batch has files
+            by_line.setdefault(r["line"], []).append(r["file"])
+        known = declared(session, out)
+        fresh = list(dict.fromkeys(n for line in sorted(by_line, key=lambda x: min(by_line[x])) for n in column_names(line) if n not in known))
+        if fresh:
+            sinks.append(session.createDataFrame([(len(known) + i, n) for i, n in enumerate(fresh)], DECLARED), f"{out}/columns", DECLARED)
+        parts = []
+        for line, own in by_line.items():
+            rows = session.read.schema(text_schema(column_names(line))).option("header", True).csv(own)
+            have = with_lineage(rows, batch_id)
+            parts.append(have.select(*[F.col(f"`{n}`") if n in rows.columns else F.lit(None).cast("string").alias(n) for n in [*known, *fresh]], *LINEAGE.names))
+        sinks.replace_partitions(reduce(DataFrame.unionByName, parts).withColumn("_epoch", F.lit(f"{batch_id}-{epoch}")), f"{out}/rows", "_epoch")
+
+    stream = spark.readStream.format("text").option("maxFilesPerTrigger", files).load(folder)
+    stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def evolved(spark: SparkSession, out: str) -> DataFrame:
+    """The table that ``ingest_evolving`` has landed, with all columns declared so far."""
+    return spark.read.schema(StructType([*text_schema(declared(spark, out)).fields, *LINEAGE.fields])).parquet(f"{out}/rows")
+
+
 def ingest_all(spark: SparkSession, entities: dict[str, list[str]], landing: str, out: str, checkpoints: str, batch_id: str) -> None:
     """One independent stream per entity."""
     for entity, columns in entities.items():
