@@ -146,17 +146,39 @@ POISSON = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.981011
 RESAMPLES = 1000
 
 
+#: Draws that one digest gives: 32 bits each.
+PER_DIGEST = 4
+
+
+def drawn(per: DataFrame, key: str, resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
+    """``per`` once for every resample ``b`` (from 0) with the Poisson(1) weight ``w`` of its cluster, weights of 0 left out.
+
+    Instead of drawing clusters with replacement, each cluster gets a weight per resample from a digest of seed, cluster
+    and block of four resamples: a rerun, or another engine, draws the same.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"), F.col("_block").cast("string")))
+    blocks = per.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((resamples - 1) // PER_DIGEST)))).withColumn("_digest", digest)
+
+    def weight(i: int) -> Column:
+        u = F.conv(F.substring("_digest", 8 * i + 1, 8), 16, 10).cast("double") / (1 << 32)
+        return reduce(lambda x, y: x + y, [(u >= s).cast("int") for s in POISSON])
+
+    each = F.array(*[F.struct((F.col("_block") * PER_DIGEST + i).alias("b"), weight(i).alias("w")) for i in range(PER_DIGEST)])
+    return blocks.withColumn("_x", F.explode(each)).where(f"_x.w > 0 AND _x.b < {resamples}").select(*per.columns, "_x.b", "_x.w")
+
+
+def drawn_sql(per: str, key: str, resamples: int = RESAMPLES, seed: int = 7) -> str:
+    """The same draws as SQL over ``per``."""
+    u = f"(('0x' || substr(md5(concat_ws(':', '{seed}', {key}, b // {PER_DIGEST})), 8 * (b % {PER_DIGEST}) + 1, 8))::BIGINT / 4294967296.0::DOUBLE)"
+    return f"SELECT * FROM (SELECT *, {' + '.join(f'(u >= {s}::DOUBLE)::INT' for s in POISSON)} AS w FROM (SELECT *, {u} AS u FROM {per}, range({resamples}) r(b))) WHERE w > 0"
+
+
 def resampled(per: DataFrame, key: str, sums: list[str], resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
     """``b`` and the weighted totals of ``sums`` for every resample of whole clusters (one row of ``per`` each).
 
-    Instead of drawing clusters with replacement, each cluster gets a Poisson(1) weight per resample
-    from a hash of (seed, resample, cluster), so a rerun draws the same. A task takes a share of the
-    clusters through all resamples and sends one row per resample on.
+    A task takes a share of the clusters through all resamples and sends one row per resample on.
     """
-    u = F.pmod(F.xxhash64(F.lit(seed), "b", key), F.lit(1 << 30)).cast("double") / (1 << 30)
-    weight = reduce(lambda x, y: x + y, [(u >= s).cast("int") for s in POISSON])
-    drawn = per.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("w", weight)
-    return drawn.groupBy("b").agg(*[F.sum(F.col("w") * F.col(s)).alias(s) for s in sums])
+    return drawn(per, key, resamples, seed).groupBy("b").agg(*[F.sum(F.col("w") * F.col(s)).alias(s) for s in sums])
 
 
 def interval(draws: DataFrame, value: Column) -> DataFrame:
@@ -194,10 +216,8 @@ def verdict(low: Column, hits: Column, least: int = 30) -> Column:
 
 def verdicts(scored: DataFrame, group: str, key: str, first: Column, second: Column, hit: str, resamples: int = RESAMPLES, seed: int = 7) -> DataFrame:
     """``group, low, hits, verdict``: per group, whether ``second``'s mean error is surely below ``first``'s."""
-    u = F.pmod(F.xxhash64(F.lit(seed), "b", key), F.lit(1 << 30)).cast("double") / (1 << 30)
     per = scored.groupBy(group, key).agg(F.sum(first - second).alias("gain"), F.count("*").alias("n"))
-    drawn = per.withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(resamples)))).withColumn("w", reduce(lambda x, y: x + y, [(u >= s).cast("int") for s in POISSON]))
-    draws = drawn.groupBy(group, "b").agg(F.try_divide(F.sum(F.col("w") * F.col("gain")), F.sum(F.col("w") * F.col("n"))).alias("d"))
+    draws = drawn(per, key, resamples, seed).groupBy(group, "b").agg(F.try_divide(F.sum(F.col("w") * F.col("gain")), F.sum(F.col("w") * F.col("n"))).alias("d"))
     bounds = draws.groupBy(group).agg(F.percentile("d", F.lit(0.025)).alias("low"))
     hits = scored.groupBy(group).agg(F.count_if(hit).alias("hits"))
     return bounds.join(hits, group).select(group, "low", "hits", verdict(F.col("low"), F.col("hits")).alias("verdict"))

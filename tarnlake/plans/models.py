@@ -93,20 +93,32 @@ def _errors() -> tuple:
     return F.pow(y - 0.1, F.lit(2)), F.pow(y - F.col("p"), F.lit(2))
 
 
-@query()
+INTERVAL = "SELECT q[1] AS low, q[2] AS mid, q[3] AS high FROM (SELECT quantile_cont(d, [0.025, 0.5, 0.975]) AS q FROM ({}))"
+VIEWS["error_sum"] = "SELECT patient_id, sum(pow(y - 0.1, 2)) AS a, sum(pow(y - p, 2)) AS b_, count(*) AS n FROM (SELECT patient_id, p, outcome_readmitted::INT::DOUBLE AS y FROM ruled) WHERE y IS NOT NULL GROUP BY patient_id"
+
+
+@query(INTERVAL.format(f"SELECT (sum(w * a) - sum(w * b_)) / sum(w * n) AS d FROM ({op.drawn_sql('error_sum', 'patient_id')}) GROUP BY b"))
 def ml_cluster_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """How much the rule's chances improve on one chance for all: the interval of the difference of mean squared errors."""
     return op.cluster_bootstrap(ruled(spark, d), "patient_id", *_errors())
 
 
-@query()
+VIEWS["cut_sum"] = """SELECT patient_id, count_if(score > cutoff)::DOUBLE AS flags, count_if(length_of_stay > 5)::DOUBLE AS ruled, count_if(score > cutoff AND outcome_readmitted)::DOUBLE AS caught, count_if(length_of_stay > 5 AND outcome_readmitted)::DOUBLE AS by_rule, count_if(outcome_readmitted)::DOUBLE AS hits
+  FROM ruled CROSS JOIN (SELECT quantile_cont(score, 0.9) AS cutoff FROM ruled) GROUP BY patient_id"""
+
+
+@query(INTERVAL.format(f"SELECT (caught - coalesce(by_rule * least(1.0::DOUBLE, flags / nullif(ruled, 0)), 0)) / nullif(hits, 0) AS d FROM (SELECT {', '.join(f'sum(w * {x}) AS {x}' for x in ('flags', 'ruled', 'caught', 'by_rule', 'hits'))} FROM ({op.drawn_sql('cut_sum', 'patient_id')}) GROUP BY b)"))
 def ml_cut_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """The score's recall at its cutoff against the rule's, thinned to as many flags."""
     rows = parts(spark, d).withColumn("score", (F.col("length_of_stay") * 10 + F.col("conditions_at_admit")).cast("double"))
     return op.cut_bootstrap(rows, "patient_id", "score", F.col("length_of_stay") > 5, "outcome_readmitted", 0.1)
 
 
-@query()
+VIEWS["gain_sum"] = "SELECT admit_year, patient_id, sum(pow(y - 0.1, 2) - pow(y - p, 2)) AS gain, count(*) AS n FROM (SELECT admit_year, patient_id, p, outcome_readmitted::INT::DOUBLE AS y FROM ruled) GROUP BY ALL"
+
+
+@query(f"""SELECT admit_year, low, hits, CASE WHEN hits < 30 THEN 'too few' WHEN low > 0 THEN 'beats' ELSE 'no better' END AS verdict FROM (SELECT admit_year, quantile_cont(d, 0.025) AS low FROM (SELECT admit_year, b, sum(w * gain) / sum(w * n) AS d FROM ({op.drawn_sql('gain_sum', 'patient_id')}) GROUP BY ALL) GROUP BY admit_year)
+JOIN (SELECT admit_year, count_if(outcome_readmitted) AS hits FROM ruled GROUP BY admit_year) USING (admit_year)""")
 def ml_verdict(spark: SparkSession, d: str) -> DataFrame:
     """Per year: does the rule beat one chance for all, by the lower bound of the bootstrap's interval?"""
     return op.verdicts(ruled(spark, d), "admit_year", "patient_id", *_errors(), "outcome_readmitted")

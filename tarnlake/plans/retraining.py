@@ -13,7 +13,7 @@ from tarnlake.operators import bayes, drift, serving
 from tarnlake.operators import modelling as ml
 from tarnlake.operators import retraining as op
 from tarnlake.plans.basics import WILSON_HIGH, WILSON_LOW
-from tarnlake.plans.models import parts, ruled
+from tarnlake.plans.models import INTERVAL, parts, ruled
 from tarnlake.plans.registry import query, shared
 from tarnlake.plans.sql_views import VIEWS
 from tarnlake.sources.shared import shared_folder
@@ -101,7 +101,12 @@ def rt_on_budget(spark: SparkSession, d: str) -> DataFrame:
     return rates.select("part", F.lit(0.4).between(F.col("low"), F.col("high")).alias("on_budget"))
 
 
-@query()
+VIEWS["ranked_sum"] = "SELECT patient_id, who, s, sum(y) AS k, count(*) AS n FROM (SELECT patient_id, outcome_readmitted::INT AS y, unnest([{'who': 0, 's': score}, {'who': 1, 's': age_at_admit::DOUBLE}], recursive := true) FROM ruled) GROUP BY ALL"
+
+
+@query(INTERVAL.replace("SELECT q[1]", "SELECT hits, CASE WHEN hits = 0 THEN 'not judged' WHEN q[3] < 0 THEN 'clearly worse' ELSE 'not clearly worse' END AS verdict, q[1]").format(
+    f"""SELECT max(ap) FILTER (WHERE who = 1) - max(ap) FILTER (WHERE who = 0) AS d FROM (SELECT b, who, sum(k * tp / rank) / nullif(sum(k), 0) AS ap FROM (SELECT *, sum(n) OVER (PARTITION BY b, who ORDER BY s DESC) AS rank, sum(k) OVER (PARTITION BY b, who ORDER BY s DESC) AS tp
+    FROM (SELECT b, who, s, sum(w * k)::DOUBLE AS k, sum(w * n)::DOUBLE AS n FROM ({drift.drawn_sql('ranked_sum', 'patient_id')}) GROUP BY ALL)) GROUP BY ALL) GROUP BY b""") + " CROSS JOIN (SELECT count_if(outcome_readmitted) AS hits FROM ruled)")
 def rt_ranking_guard(spark: SparkSession, d: str) -> DataFrame:
     """Does a score by age alone rank clearly worse than the rule's?"""
     rows = ruled(spark, d).withColumn("other", F.col("age_at_admit").cast("double"))
