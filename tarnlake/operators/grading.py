@@ -58,13 +58,12 @@ def verdict(spark: SparkSession, question: Question, reply: str | None, views: M
     if gated(reply):
         return "blocked"
     try:
-        answer = spark.sql(reply, **views)
-        rows = answer.limit(MOST_ROWS + 1).count()
+        rows = spark.sql(reply, **views).limit(MOST_ROWS + 1).toArrow()  # runs it once; what is compared is what it gave
     except PySparkException:
         return "sql_error"
-    if rows > MOST_ROWS:
+    if rows.num_rows > MOST_ROWS:
         return "too_many_rows"
-    gold = question.gold()
+    gold, answer = question.gold(), spark.createDataFrame(rows.rename_columns([f"c{i}" for i in range(rows.num_columns)]))
     both = (placed(gold), placed(answer)) if question.ordered else (gold, answer)
     return "correct" if same_results(*both).first()["same"] else "wrong_result"
 
