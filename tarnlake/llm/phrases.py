@@ -110,7 +110,8 @@ def hash_filter(hashes: DataFrame, rows: int) -> np.ndarray:
     return out
 
 
-def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes a filter of ``hash_filter`` lets through."""
     at = h & np.int64(len(bits) * 8 - 1)
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
@@ -123,7 +124,7 @@ class Leaves:
     """
 
     def __init__(self, w: Words, bits: np.ndarray) -> None:
-        used = np.flatnonzero(_passes(bits, w.hash))
+        used = np.flatnonzero(passes(bits, w.hash))
         used = used[np.argsort(w.hash[used], kind="stable")]
         place = np.zeros(len(w.hash), dtype=np.uint64)
         place[used] = np.arange(1, len(used) + 1)
