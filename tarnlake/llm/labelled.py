@@ -31,13 +31,14 @@ def sample_documents(docs: DataFrame, labels: DataFrame, label: str, learn: Colu
     """``doc_id, text, label`` of at most ``most`` learning documents for each of the labels 0 and 1.
 
     Of these, in the order of a hash of the id, as many whole texts as have ``most_bytes`` bytes for
-    a label; so what a driver collects is bounded in rows and in bytes.
+    a label; so what a driver collects is bounded in rows and in bytes. A single text above the bound is not
+    learnt from and takes no other's place.
     """
     ids = sample_ids(labels, label, 0, learn, most).unionByName(sample_ids(labels, label, 1, learn, most))
-    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")).join(F.broadcast(ids), "doc_id")
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")).join(F.broadcast(ids), "doc_id").where(F.col("size") <= most_bytes)
     upto = F.sum("size").over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
     fit = sizes.withColumn("upto", upto).groupBy("doc_id", "label").agg(F.max("upto").alias("upto")).where(F.col("upto") <= most_bytes).select("doc_id", "label")
-    return docs.select("doc_id", "text").join(F.broadcast(fit), "doc_id")
+    return docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= most_bytes).join(F.broadcast(fit), "doc_id")
 
 
 def fit_in_a_task(sample: DataFrame, fit: Callable[[list[str], list[int]], Any]) -> Any:

@@ -106,6 +106,13 @@ def test_samples_are_bounded_in_rows_and_bytes(spark):
     assert {r["count"] for r in labelled.sample_documents(docs, labels, "toxic", F.lit(True), 20, 5500).groupBy("label").count().collect()} == {5}
 
 
+def test_a_text_above_the_bound_takes_no_others_place(spark):
+    docs = spark.createDataFrame([(i, "x" * (9000 if i < 30 and i % 3 == 0 else 1000)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    found = labelled.sample_documents(docs, labels, "toxic", F.lit(True), 60, 5500)
+    assert {r["count"] for r in found.groupBy("label").count().collect()} == {5} and found.where("length(text) > 5500").isEmpty()
+
+
 def test_shards_have_nearly_equal_bytes_end_to_end(spark):
     rng = np.random.default_rng(13)
     docs = spark.createDataFrame([(i, "y" * int(n)) for i, n in enumerate(rng.integers(1, 3000, 3000))], "doc_id long, text string")
