@@ -10,7 +10,7 @@ from tarnlake.llm.jaccard import jaccard_components
 from tarnlake.llm.mix import mix_documents, word_count
 from tarnlake.llm.pack import pack_documents
 from tarnlake.llm.passages import repeated_passages, row_key, without_passages
-from tarnlake.llm.scratch import free_name, keep
+from tarnlake.llm.scratch import free_name, keep, release
 from tarnlake.llm.toxicity import learn_toxicity, with_toxicity
 
 #: Score from which a document counts as toxic and goes.
@@ -81,8 +81,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each result is written as Parquet and read by the next."""
+    """Apply the stages to documents; each result is written as Parquet, read by the next and deleted when that is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = keep(stage(spark, docs, sf_dir), f"stage-{name}")
+    for i, (name, stage) in enumerate(STAGES):
+        before, docs = docs, keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        if i:
+            release(before)
     return docs

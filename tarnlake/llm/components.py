@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.scratch import keep
+from tarnlake.llm.scratch import keep, release
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,7 +28,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = keep(small.where("a <> b").distinct(), "links")
+        old, edges = edges, keep(small.where("a <> b").distinct(), "links")
+        release(old)
         after = _state(edges)
         if after == before:
             break

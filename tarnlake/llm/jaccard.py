@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.llm.arrow import whole_groups
 from tarnlake.llm.components import connected_components
-from tarnlake.llm.scratch import importable, keep
+from tarnlake.llm.scratch import importable, keep, release
 from tarnlake.llm.words import distinct_sorted, mix, shingle_hashes, text_runs, word_hashes
 
 #: Bits of a set's parity sketch: the power of two from twice its size, within these bounds.
@@ -283,6 +283,7 @@ def _verify(texts: DataFrame, rule: Rule, pairs: DataFrame) -> DataFrame:
     rows = rows.repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
     out = keep(rows.mapInArrow(_linked(rule), "a long, b long"), "linked")
     bits.unpersist()
+    release(ends, found)
     return out
 
 
@@ -453,6 +454,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     steps = sorted(counted.groupBy(F.floor(F.log2("count")).cast("int").alias("step")).agg(F.count("*").alias("tokens")).collect(), reverse=True)
     fit = [r["step"] for r, upto in zip(steps, itertools.accumulate(r["tokens"] for r in steps), strict=True) if upto <= MOST_FREQUENT]
     often = counted.where(F.log2("count") >= (min(fit) if fit else 64)).select("token").toArrow()["token"].to_numpy()
+    release(counted)
     frequent = spark.sparkContext.broadcast(np.sort(often.view(np.uint64)) if len(often) else np.zeros(0, np.uint64))
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -470,7 +472,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     groups = keep(connected_components(links), "groups")
 
     rows = keep(members.select("token", "key", "n").unionByName(members.select("token", F.col("hub").alias("key"), F.col("hub_n").alias("n"))).distinct(), "members")
-    refuted, closest = close.join(links, ["a", "b"], "left_anti"), True
+    release(members)
+    refuted, closest = keep(close.join(links, ["a", "b"], "left_anti"), "refuted"), True
+    release(close)
     while True:
         rooted = rows.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         shares = rooted.groupBy("token", "root").agg(F.count("*").alias("size"))
@@ -490,11 +494,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
             break
         more = candidates.select("a", "b").distinct()
         good = _verify(only, rule, more)
+        past = [refuted, links, groups, good, rows, open_, candidates]
         refuted = keep(refuted.unionByName(more.join(good, ["a", "b"], "left_anti")), "refuted")
         links = keep(links.unionByName(good), "links")
         groups = keep(connected_components(links), "groups")
         # A list without a candidate now has none later: bounds don't change, and components only grow.
         rows, closest = keep(open_.select("token", "key", "n").join(candidates.select("token").distinct(), "token", "left_semi"), "members"), False
+        release(*past)
+    release(refuted, links, rows, open_, candidates)
 
     named = classes.select("key", "least_id").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = named.groupBy("root").agg(F.min("least_id").alias("component_id"))

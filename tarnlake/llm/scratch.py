@@ -33,7 +33,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     This cuts the lineage: what follows reads files that outlive any executor, and a
-    table used twice is computed once. The files go when the session ends.
+    table used twice is computed once. The files go when the session ends, or when :func:`release` is called.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -43,9 +43,26 @@ def keep(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(BATCH, before)
+    where, files = _files(spark, path)
+    files.deleteOnExit(where)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables from :func:`keep` that nothing will read again.
+
+    What was made of them must be written itself by then: after the loss of an executor only its own files are read.
+    """
+    for table in tables:
+        where, files = _files(table.sparkSession, table.kept_at)
+        files.delete(where, True)
 
 
 def importable(spark: SparkSession) -> None:
