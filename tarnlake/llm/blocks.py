@@ -102,7 +102,7 @@ def search_blocks(rows: DataFrame, search: Search, k: int, value: str, best_firs
     data = rows.select(F.pmod(mixed, F.lit(row_blocks)).cast("int").alias("r"), every(query_blocks).alias("q"), F.lit(False).alias("query"), "vec_id", "vector")
     asked = rows.where("query").groupBy("vec_id").agg(F.min("vector").alias("vector"))
     asked = asked.select(every(row_blocks).alias("r"), F.pmod(F.shiftright(mixed, 20), F.lit(query_blocks)).cast("int").alias("q"), F.lit(True).alias("query"), "vec_id", "vector")
-    parts = data.unionByName(asked).repartition(row_blocks * query_blocks, "r", "q").sortWithinPartitions("r", "q", "query")
+    parts = data.unionByName(asked).repartition(row_blocks * query_blocks, "r", "q").sortWithinPartitions("r", "q", "query", "vec_id")
     names = [c.split()[0] for c in value.split(", ")]
     found = parts.mapInArrow(_passing(search, ["query_id", "vec_id", *names]), f"query_id long, vec_id long, {value}")
     own = Window.partitionBy("query_id")

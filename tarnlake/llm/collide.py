@@ -51,11 +51,17 @@ class Arrays:
         self.rows = np.argsort(at, axis=1, kind="stable").astype(np.int32)
         self.values = np.take_along_axis(at, self.rows, axis=1).astype(np.float32)
 
-    def first_radius(self, unit: np.ndarray, k: int) -> float:
-        """A radius within which about k rows of the block lie: where windows begin to open. It decides nothing else."""
-        step = max(1, len(self.ids) // FIRST_ROWS)
-        near = 2 - 2 * unit[:FIRST_QUERIES] @ (self.vectors[::step] / self.top).T
-        return float(np.sqrt(max(1e-9, np.quantile(near, min(1.0, 0.5 * k / len(self.ids))))))
+    def first_radius(self, k: int) -> float:
+        """A radius within which about k rows of the block lie: where windows begin to open.
+
+        It follows from the block's rows alone, some of which stand for queries, so answers don't
+        depend on the queries that come together.
+        """
+        rows = np.arange(0, len(self.ids), max(1, len(self.ids) // FIRST_ROWS))
+        asked = np.arange(0, len(self.ids), max(1, len(self.ids) // FIRST_QUERIES))[:FIRST_QUERIES]
+        unit = self.vectors[asked] / np.sqrt((self.vectors[asked] ** 2).sum(axis=1))[:, None]
+        near = (2 - 2 * unit @ (self.vectors[rows] / self.top).T)[asked[:, None] != rows]
+        return float(np.sqrt(max(1e-9, np.quantile(near, min(1.0, 0.5 * k / len(self.ids)))))) if len(near) else 1e-4
 
     def _ends(self, left: np.ndarray, low: np.ndarray, high: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rows in [left, low) and [high, right) of every array."""
@@ -120,17 +126,15 @@ def collision_search(k: int) -> Search:
 
     def index(block: Block) -> Callable[[Block], Iterator[pa.RecordBatch]]:
         arrays = Arrays(block.ids, block.vectors)
-        first: list[float] = []
+        first = arrays.first_radius(k)
 
         def ask(queries: Block) -> Iterator[pa.RecordBatch]:
             unit = queries.vectors / np.sqrt((queries.vectors**2).sum(axis=1))[:, None]
             own = np.c_[unit, np.zeros(len(unit))] @ arrays.lines
-            if not first:
-                first.append(arrays.first_radius(unit, k))
-            left, right = arrays.windows(own, WIDTH * first[0])
+            left, right = arrays.windows(own, WIDTH * first)
             out = []
             for i, (query_id, vector) in enumerate(zip(queries.ids.tolist(), queries.vectors, strict=True)):
-                rows, scores, verified = arrays.nearest(query_id, vector, own[i], first[0], left[i], right[i], k)
+                rows, scores, verified = arrays.nearest(query_id, vector, own[i], first, left[i], right[i], k)
                 out.append((np.full(len(rows), query_id), arrays.ids[rows], scores, np.r_[verified, np.zeros(len(rows), np.int64)][: len(rows)]))
             columns = [np.concatenate(x) for x in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score", "verified"])

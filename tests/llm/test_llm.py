@@ -266,6 +266,19 @@ def vectors(spark, n=600):
     return v, spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
 
 
+def test_collisions_do_not_depend_on_what_is_asked_together(spark):
+    """More queries than are asked at a time, in other orders, partitions and company: each gets the same answer."""
+    rng = np.random.default_rng(7)
+    rows = [(int(i), [float(x) for x in rng.standard_normal(24)]) for i in range(1500)]
+    answers = []
+    for seed, parts, few in ((1, 3, False), (2, 7, False), (3, 5, True)):
+        df = spark.createDataFrame([rows[i] for i in np.random.default_rng(seed).permutation(len(rows))], "vec_id long, embedding array<double>").repartition(parts)
+        found = collide.nearest_by_collisions(df, (F.col("vec_id") % (20 if few else 4)) == 0, 5).collect()
+        answers.append(sorted(tuple(r) for r in found if r["query_id"] % 20 == 0))
+    assert len(answers[0]) == 75 * 5
+    assert answers[0] == answers[1] == answers[2]
+
+
 def test_collisions_recall(spark):
     v, df = vectors(spark)
     got = collections.defaultdict(list)
