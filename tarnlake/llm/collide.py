@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from tarnlake.llm.blocks import Block, Search, search_blocks
 
 #: Projections; half a window's width for radius 1; the factor by which radii grow.
-PROJECTIONS, WIDTH, GROWTH = 256, 0.5, 1.03
+PROJECTIONS, WIDTH, GROWTH = 256, 2.0, 1.03
 #: Standard deviations below the expected collisions of a vector just inside the radius.
 SLACK = 0.7
-#: Queries that look for the first radius, which is their mean k-th distance among so many rows, drawn out to all.
-FIRST_QUERIES, FIRST_ROWS = 64, 4096
+#: A query's first radius holds so large a share of k in so many rows of the block, drawn out to all; the least square of a radius.
+FIRST_SHARE, FIRST_ROWS, LEAST_SQUARE = 0.5, 4096, 1e-6
 #: Bound on the error of a score in single precision, as a share of the product of both lengths.
 ERROR = 1e-4
 SEED = 20240
@@ -51,25 +51,44 @@ class Arrays:
         self.rows = np.argsort(at, axis=1, kind="stable").astype(np.int32)
         self.values = np.take_along_axis(at, self.rows, axis=1).astype(np.float32)
 
-    def first_radius(self, k: int) -> float:
-        """A radius within which about k rows of the block lie: where windows begin to open.
+    def first_radii(self, queries: Block, k: int) -> np.ndarray:
+        """For each query a radius within which about k rows of the block lie: where its windows begin to open.
 
-        It follows from the block's rows alone, some of which stand for queries, so answers don't
-        depend on the queries that come together.
+        It follows from the query and rows spread evenly over the block, so answers don't depend on
+        the queries that come together.
         """
-        rows = np.arange(0, len(self.ids), max(1, len(self.ids) // FIRST_ROWS))
-        asked = np.arange(0, len(self.ids), max(1, len(self.ids) // FIRST_QUERIES))[:FIRST_QUERIES]
-        unit = self.vectors[asked] / np.sqrt((self.vectors[asked] ** 2).sum(axis=1))[:, None]
-        near = (2 - 2 * unit @ (self.vectors[rows] / self.top).T)[asked[:, None] != rows]
-        return float(np.sqrt(max(1e-9, np.quantile(near, min(1.0, 0.5 * k / len(self.ids)))))) if len(near) else 1e-4
-
-    def _ends(self, left: np.ndarray, low: np.ndarray, high: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rows in [left, low) and [high, right) of every array."""
-        parts = [r[a:b] for r, a, b in zip(self.rows, left.tolist(), low.tolist(), strict=True)] + [r[a:b] for r, a, b in zip(self.rows, high.tolist(), right.tolist(), strict=True)]
-        size = int((low - left).sum() + (right - high).sum())
+        step = max(1, len(self.ids) // FIRST_ROWS)
+        ids, rows = self.ids[::step], self.single[::step] / np.float32(self.top)
+        unit = queries.vectors / np.sqrt((queries.vectors**2).sum(axis=1))[:, None]
+        far = np.empty(len(unit))
+        for i, (own, direction) in enumerate(zip(queries.ids, unit.astype(np.float32), strict=True)):
+            near = (2 - 2 * rows @ direction)[ids != own]
+            far[i] = np.quantile(near, min(1.0, FIRST_SHARE * k / len(self.ids))) if len(near) else 0
+        return np.sqrt(np.maximum(far, LEAST_SQUARE))
+
+    def _often(self, starts: np.ndarray, ends: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """How often each row stands in [start, end) of the arrays ``which``."""
+        parts = [self.rows[j][a:b] for j, a, b in zip(which.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+        size = int((ends - starts).sum())
         if size > len(self.room):
             self.room = np.zeros(2 * size, dtype=np.int64)
-        return np.concatenate(parts, out=self.room[:size])
+        if not parts:
+            return np.zeros(len(self.ids), dtype=np.int64)
+        return np.bincount(np.concatenate(parts, out=self.room[:size]), minlength=len(self.ids))
+
+    def collisions(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Windows [left, right) that each row lies in, counted from what lies outside where that is less."""
+        n = len(self.ids)
+        wide = 2 * (right - left) > n
+        few, many = np.flatnonzero(~wide), np.flatnonzero(wide)
+        zero, end = np.zeros(len(many), dtype=left.dtype), np.full(len(many), n, dtype=right.dtype)
+        outside = self._often(np.r_[zero, right[many]], np.r_[left[many], end], np.r_[many, many])
+        return self._often(left[few], right[few], few) - outside + len(many)
+
+    def grown(self, left: np.ndarray, low: np.ndarray, high: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Windows that grew from [low, high) to [left, right) over each row."""
+        every = np.arange(len(left))
+        return self._often(np.r_[left, high], np.r_[low, right], np.r_[every, every])
 
     def windows(self, at: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
         """Where the windows around ``at`` (queries x projections) begin and end in the arrays."""
@@ -91,17 +110,13 @@ class Arrays:
 
     def nearest(self, query_id: int, vector: np.ndarray, at: np.ndarray, radius: float, left: np.ndarray, right: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """(rows, scores, rows verified) of the k best rows found for a query, whose first windows are [left, right)."""
-        length, n, least = np.sqrt((vector**2).sum()), len(self.ids), threshold()
-        low = high = left
-        count, checked = np.zeros(n, dtype=np.int64), self.ids == query_id
+        length, least = np.sqrt((vector**2).sum()), threshold()
+        count, checked = self.collisions(left, right), self.ids == query_id
         found, scores, verified = np.zeros(0, np.int64), np.zeros(0), 0
         while True:
             if radius > 2 * GROWTH:  # no two unit vectors are further apart: all rows are inside
                 new = np.flatnonzero(~checked)
             else:
-                # Windows grow at their ends; what they hold already is counted.
-                count += np.bincount(self._ends(left, low, high, right), minlength=n)
-                low, high = left, right
                 new = np.flatnonzero((count >= least) & ~checked)
             checked[new] = True
             verified += len(new)
@@ -111,7 +126,10 @@ class Arrays:
             if inside.sum() >= k or radius > 2 * GROWTH:
                 break
             radius *= GROWTH
+            low, high = left, right
             left, right = (x[0] for x in self.windows(at[None], WIDTH * radius))
+            # Windows grow at their ends; what they hold already is counted.
+            count += self.grown(left, low, high, right)
         best = np.lexsort((self.ids[found], -scores))[:k]
         return found[best], scores[best], verified
 
@@ -126,15 +144,16 @@ def collision_search(k: int) -> Search:
 
     def index(block: Block) -> Callable[[Block], Iterator[pa.RecordBatch]]:
         arrays = Arrays(block.ids, block.vectors)
-        first = arrays.first_radius(k)
 
         def ask(queries: Block) -> Iterator[pa.RecordBatch]:
             unit = queries.vectors / np.sqrt((queries.vectors**2).sum(axis=1))[:, None]
-            own = np.c_[unit, np.zeros(len(unit))] @ arrays.lines
-            left, right = arrays.windows(own, WIDTH * first)
+            # One product a query, so its last bits don't depend on the other queries.
+            own = np.stack([u @ arrays.lines for u in np.c_[unit, np.zeros(len(unit))]])
+            first = arrays.first_radii(queries, k)
+            left, right = arrays.windows(own, WIDTH * first[:, None])
             out = []
             for i, (query_id, vector) in enumerate(zip(queries.ids.tolist(), queries.vectors, strict=True)):
-                rows, scores, verified = arrays.nearest(query_id, vector, own[i], first, left[i], right[i], k)
+                rows, scores, verified = arrays.nearest(query_id, vector, own[i], first[i], left[i], right[i], k)
                 out.append((np.full(len(rows), query_id), arrays.ids[rows], scores, np.r_[verified, np.zeros(len(rows), np.int64)][: len(rows)]))
             columns = [np.concatenate(x) for x in zip(*out, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score", "verified"])

@@ -279,6 +279,24 @@ def test_collisions_do_not_depend_on_what_is_asked_together(spark):
     assert answers[0] == answers[1] == answers[2]
 
 
+def test_collisions_are_counted_from_the_shorter_side():
+    """Windows of every width, empty and full ones too, counted at once or as they grow, against one comparison each."""
+    rng = np.random.default_rng(11)
+    arrays = collide.Arrays(np.arange(700), rng.standard_normal((700, 16)) * rng.uniform(0.1, 1, (700, 1)))
+    values = np.empty_like(arrays.values)
+    np.put_along_axis(values, arrays.rows, arrays.values, axis=1)
+    at = rng.standard_normal(collide.PROJECTIONS)
+    before = None
+    for half in (0.0, 0.2, 0.8, 1.5, 9.0):
+        left, right = (x[0] for x in arrays.windows(at[None], half))
+        plain = ((values >= (at - half).astype(np.float32)[:, None]) & (values <= (at + half).astype(np.float32)[:, None])).sum(axis=0)
+        assert (arrays.collisions(left, right) == plain).all()
+        if before:
+            assert (before[2] + arrays.grown(left, before[0], before[1], right) == plain).all()
+        before = left, right, plain
+    assert plain.min() == collide.PROJECTIONS
+
+
 def test_collisions_recall(spark):
     v, df = vectors(spark)
     got = collections.defaultdict(list)
