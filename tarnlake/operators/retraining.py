@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarnlake.functions.columns import ratio, wilson
 from tarnlake.functions.ranks import group_quantiles
 from tarnlake.operators import bayes
-from tarnlake.operators.drift import RESAMPLES, drawn, interval, windows
+from tarnlake.operators.drift import RESAMPLES, interval, resampled, windows
 from tarnlake.sources import sinks
 
 #: What a model version's tags mean when one is missing; fixed values.
@@ -34,7 +34,7 @@ def ranking_guard(scored: DataFrame, key: str, champion: str, challenger: str, h
 
     both = scored.select(key, F.col(hit).cast("int").alias("y"), F.explode(F.array(F.struct(F.lit(0).alias("who"), F.col(champion).alias("s")), F.struct(F.lit(1).alias("who"), F.col(challenger).alias("s")))).alias("x")).select(key, "y", "x.*")
     per = both.groupBy(key, "who", "s").agg(F.sum("y").alias("k"), F.count("*").alias("n"))
-    steps = drawn(per, key, resamples, seed).groupBy("b", "who", "s").agg(F.sum(F.col("w") * F.col("k")).alias("k"), F.sum(F.col("w") * F.col("n")).alias("n"))
+    steps = resampled(per, key, ["k", "n"], ["who", "s"], resamples, seed)
     upto = Window.partitionBy("b", "who").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, 0)
     steps = steps.withColumn("rank", F.sum("n").over(upto)).withColumn("tp", F.sum("k").over(upto))
     precision = steps.groupBy("b", "who").agg(F.try_divide(F.sum(F.col("k") * F.col("tp") / F.col("rank")), F.sum("k")).alias("ap"))
