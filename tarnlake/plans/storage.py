@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -93,13 +96,32 @@ def sm_multi_stream(spark: SparkSession, d: str) -> DataFrame:
 BUNDLES_PER_FILE = 100
 
 
+#: Notes that one task writes, about, and folders that they lie in. A file of its own for each costs far more than its bytes, by which Spark would join tasks.
+NOTES_PER_TASK, NOTE_FOLDERS = 250, 256
+
+
 def _note_files(spark: SparkSession, d: str, root: str) -> None:
-    """Every note as a text file in a folder named by its id."""
-    a.note(spark, d).where("note_text IS NOT NULL").select("note_id", F.col("note_text").alias("value")).repartition("note_id").write.option("lineSep", "\u0001").partitionBy("note_id").text(f"{root}/in")
+    """Every note as a text file named by its id, written by tasks: a table's writer makes a folder for each, which is slower to make and list than the note."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = pa_fs.FileSystem.from_uri(root)
+        n = 0
+        for batch in batches:
+            for i, folder, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                files.create_dir(f"{base}/in/{folder}")
+                with files.open_output_stream(f"{base}/in/{folder}/{i}.txt") as out:
+                    out.write(f"{text}\u0001".encode())
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    folder = F.pmod(F.xxhash64("note_id"), F.lit(NOTE_FOLDERS))
+    notes = a.note(spark, d).where("note_text IS NOT NULL").select("note_id", folder.alias("folder"), "note_text")
+    tasks = max(-(-notes.count() // NOTES_PER_TASK), 1)
+    notes.repartition(tasks, "note_id").mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 
 def _notes_back(spark: SparkSession, root: str) -> DataFrame:
-    # The writer ends every value with one separator.
+    # Every file ends with one separator, so none is empty.
     text = F.col("note_text").substr(F.lit(1), F.char_length("note_text") - 1)
     return spark.read.parquet(f"{root}/out").select(F.col("note_id").cast("long").alias("note_id"), F.char_length(text).cast("long").alias("chars"), F.md5(text.cast("binary")).alias("digest"))
 
@@ -112,7 +134,7 @@ def src_text_stream(spark: SparkSession, d: str) -> DataFrame:
     """Whole text files, one row each, the id taken from the path."""
     root = shared_folder(spark, "texts")
     _note_files(spark, d, root)
-    ingest.ingest_notes(spark, f"{root}/in/*", f"{root}/out", f"{root}/state", "b1", r"note_id=(\d+)/")
+    ingest.ingest_notes(spark, f"{root}/in/*", f"{root}/out", f"{root}/state", "b1")
     return _notes_back(spark, root)
 
 
@@ -122,7 +144,7 @@ def sm_wholetext(spark: SparkSession, d: str) -> DataFrame:
     root = shared_folder(spark, "wholetext")
     _note_files(spark, d, root)
     for batch in ("b1", "b2"):
-        ingest.ingest_notes(spark, f"{root}/in/*", f"{root}/out", f"{root}/state", batch, r"note_id=(\d+)/")
+        ingest.ingest_notes(spark, f"{root}/in/*", f"{root}/out", f"{root}/state", batch)
     return _notes_back(spark, root).select("note_id", (F.col("chars") > 0).alias("whole"))
 
 
