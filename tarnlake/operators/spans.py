@@ -47,16 +47,20 @@ def number_spans_by_char(tokens: DataFrame) -> DataFrame:
     return tokens.withColumn("_new", new).withColumn("part", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def detect_patterns(notes: DataFrame, patterns: dict[str, str], id: str = "note_id", text: str = "note_text") -> DataFrame:
-    """Every match of every pattern, with its place; group 1 is the span if a pattern has one. Positions are what built-in functions don't give."""
+def detect_patterns(notes: DataFrame, patterns: dict[str, str], id: str = "note_id", text: str = "note_text", shift: str | None = None) -> DataFrame:
+    """Every match of every pattern, with its place; group 1 is the span if a pattern has one. Positions are what built-in functions don't give.
+
+    ``shift`` names the column of where a row's text begins in its note; places are the note's own then.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         compiled = {k: re.compile(p) for k, p in patterns.items()}
         for frame in frames:
-            rows = [(i, *m.span(1 if p.groups else 0), k, m.group(1 if p.groups else 0)) for i, t in zip(frame["note_id"], frame["note_text"], strict=True) if t for k, p in compiled.items() for m in p.finditer(t)]
+            rows = [(i, m.start(g) + at, m.end(g) + at, k, m.group(g)) for i, t, at in zip(frame["note_id"], frame["note_text"], frame["shift"], strict=True) if t for k, p in compiled.items() for g in [1 if p.groups else 0] for m in p.finditer(t)]
             yield pd.DataFrame(rows, columns=["note_id", "char_start", "char_end", "category", "surface"])
 
-    return notes.select(F.col(id).cast("long").alias("note_id"), F.col(text).alias("note_text")).mapInPandas(run, SPAN)
+    at = F.lit(0) if shift is None else F.col(shift).cast("int")
+    return notes.select(F.col(id).cast("long").alias("note_id"), F.col(text).alias("note_text"), at.alias("shift")).mapInPandas(run, SPAN)
 
 
 def find_needles(notes: DataFrame, needles: DataFrame) -> DataFrame:
