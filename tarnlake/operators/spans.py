@@ -11,11 +11,15 @@ from collections.abc import Container, Iterable, Iterator
 
 import ahocorasick
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 SPAN = "note_id long, char_start int, char_end int, category string, surface string"
+SPAN_FIELDS = pa.schema([("note_id", pa.int64()), ("char_start", pa.int32()), ("char_end", pa.int32()), ("category", pa.string()), ("surface", pa.string())])
+#: Notes of a batch that are Python objects, and share an automaton, at a time; the rest of it stays in Arrow's memory.
+NOTES = 500
 
 
 def chunk_notes(notes: DataFrame, id: str, text: str, size: int = 2000, step: int = 1800) -> DataFrame:
@@ -141,8 +145,8 @@ _WORDY = re.compile(r"\w")
 def patient_spans(notes: DataFrame, values: DataFrame, days: DataFrame) -> DataFrame:
     """Where each note (``note_id, patient_id, note_text``) holds what its patient's tables know, by category.
 
-    ``values`` (``patient_id, category, needle``) are found as whole words by one automaton over the needles of a whole batch
-    of notes; a value of two categories gives a span of each. Strings that look like a date are spans if they write one of the
+    ``values`` (``patient_id, category, needle``) are found as whole words by one automaton over the needles of NOTES
+    notes; a value of two categories gives a span of each. Strings that look like a date are spans if they write one of the
     patient's ``days`` (``patient_id, day``) in one of six forms; ages above 89 are. A null text or patient gives no span,
     a patient without values still has dates and ages.
     """
@@ -150,25 +154,27 @@ def patient_spans(notes: DataFrame, values: DataFrame, days: DataFrame) -> DataF
     dates = days.groupBy("patient_id").agg(F.collect_set("day").alias("days"))
     rows = notes.select("note_id", "patient_id", "note_text").join(own, "patient_id", "left").join(dates, "patient_id", "left")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            kinds: list[dict[str, list[str]]] = []
-            for ns in frame["needles"]:
-                kinds.append({})
-                for n in ns if ns is not None else ():
-                    kinds[-1].setdefault(n["needle"], []).append(n["category"])
-            automaton = Dictionary(kinds)
-            rows = []
-            for i, t, own_kinds, own_days in zip(frame["note_id"], frame["note_text"], kinds, frame["days"], strict=True):
-                if not t:
-                    continue
-                rows += [(i, a, b, k, n) for a, b, n in automaton.places(t, own_kinds) for k in sorted(own_kinds[n])]
-                known = set(own_days) if own_days is not None else set()
-                rows += [(i, *m.span(), "date", m.group()) for m in DATE_SHAPE.finditer(t) if (day := dated(m)) in known and m.group() in date_forms(day)]
-                rows += [(i, *m.span(1), "age", m.group(1)) for m in AGE.finditer(t) if int(m.group(1)) > OLDEST]
-            yield pd.DataFrame(rows, columns=["note_id", "char_start", "char_end", "category", "surface"])
-
-    return rows.select("note_id", "note_text", "needles", "days").mapInPandas(run, SPAN)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, NOTES):
+                part = batch.slice(first, NOTES).to_pydict()
+                kinds: list[dict[str, list[str]]] = []
+                for ns in part["needles"]:
+                    kinds.append({})
+                    for n in ns or ():
+                        kinds[-1].setdefault(n["needle"], []).append(n["category"])
+                automaton = Dictionary(kinds)
+                rows = []
+                for i, t, own_kinds, own_days in zip(part["note_id"], part["note_text"], kinds, part["days"], strict=True):
+                    if not t:
+                        continue
+                    rows += [(i, a, b, k, n) for a, b, n in automaton.places(t, own_kinds) for k in sorted(own_kinds[n])]
+                    known = set(own_days or ())
+                    rows += [(i, *m.span(), "date", m.group()) for m in DATE_SHAPE.finditer(t) if (day := dated(m)) in known and m.group() in date_forms(day)]
+                    rows += [(i, *m.span(1), "age", m.group(1)) for m in AGE.finditer(t) if int(m.group(1)) > OLDEST]
+                yield pa.RecordBatch.from_pylist([dict(zip(SPAN_FIELDS.names, r, strict=True)) for r in rows], schema=SPAN_FIELDS)
+
+    return rows.select(F.col("note_id").cast("long").alias("note_id"), "note_text", "needles", "days").mapInArrow(run, SPAN)
 
 
 REPLY = "array<struct<text: string, category: string>>"
