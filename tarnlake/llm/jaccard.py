@@ -508,4 +508,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     of_class = named.join(smallest, "root").select("key", "component_id", "root")
     out = prints.select("doc_id", "row", "n", "key").join(of_class, "key", "left")
     own = ["row", "root"] if row is not None else []
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *own)
+    # Written, so its joins are :func:`keep`'s too, and nothing is left of what it is made of.
+    done = keep(out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *own), "components")
+    release(prints, classes, groups)
+    return done
